@@ -40,7 +40,7 @@ from plumbline.plans.trend import append_history, breaches, quality_trend, score
 from plumbline.sources.csv import read_csv, write_csv, write_json
 from plumbline.sources.rows import with_row_id
 from plumbline.sources.staging import load_staging, replace_parquet, replace_table
-from plumbline.streaming.scores import score_stream
+from plumbline.streaming.scores import score_stream, stream_history
 
 __all__ = [
     "CleanSpec",
@@ -87,6 +87,7 @@ __all__ = [
     "scorecard",
     "shape",
     "standardize",
+    "stream_history",
     "summary",
     "untrimmed_values",
     "validity",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -40,3 +40,10 @@ def score_stream(
             counts.unpersist()
 
     return stream.writeStream.foreachBatch(record).option("checkpointLocation", checkpoint)
+
+
+def stream_history(spark: SparkSession, history: str, part: str = "summary") -> DataFrame:
+    """What `score_stream` has recorded so far: the "summary" or the "scorecard" rows."""
+    recorded = spark.read.parquet(f"{history}/{part}")
+    others = [c for c in recorded.columns if c != "batch_id"]
+    return recorded.select(F.col("batch_id").cast("long").alias("batch_id"), *others)
