@@ -7,8 +7,7 @@ cells are spoiled and some rows occur more than once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -35,124 +34,97 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(k: Column, n: int) -> Column:
-    return k % n == 0
-
-
-def _copies(k: Column, **every: int) -> Column:
-    """The base row, and a numbered copy of every n-th row for each n."""
-    extra = [F.when(_every(k, n), F.lit(i)) for i, n in enumerate(every.values(), start=1)]
-    return F.explode(F.array_compact(F.array(F.lit(0), *extra)))
+def _with_copies(df: DataFrame, key: str, *every: int) -> DataFrame:
+    """Every row once as `copy` 0; rows whose key is a multiple of every[i - 1] again as copy i."""
+    copies = "".join(f", if({key} % {n} = 0, {i}, NULL)" for i, n in enumerate(every, start=1))
+    return df.selectExpr("*", f"{key} AS k", f"explode(array_compact(array(0{copies}))) AS copy")
 
 
 def dirty_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    segment = F.col("c_mktsegment")
-    return (
-        table(spark, sf_dir, "customer")
-        .withColumn("copy", _copies(k, exact=67, altered=131))
-        .select(
-            (k * 10 + F.col("copy")).alias("row_id"),
-            F.when(~_every(k, 401), k).alias("c_custkey"),
-            "c_name",
-            "c_nationkey",
-            F.when(_every(k, 17), F.lit(None).cast("double"))
-            .when(_every(k, 101), F.lit(-99999.0))
-            .when(F.col("copy") == 2, F.col("c_acctbal") + 1.0)
-            .otherwise(F.col("c_acctbal"))
-            .alias("c_acctbal"),
-            F.when(_every(k, 33), F.lit(None).cast("string"))
-            .when(_every(k, 211), F.lit("UNKNOWN"))
-            .when(_every(k, 50), F.concat(segment, F.lit("  ")))
-            .when(_every(k, 97), F.lower(segment))
-            .otherwise(segment)
-            .alias("c_mktsegment"),
-        )
+    return _with_copies(table(spark, sf_dir, "customer"), "c_custkey", 67, 131).selectExpr(
+        "k * 10 + copy AS row_id",
+        "if(k % 401 = 0, NULL, k) AS c_custkey",
+        "c_name",
+        "c_nationkey",
+        """CASE WHEN k % 17 = 0 THEN NULL
+                WHEN k % 101 = 0 THEN -99999.0D
+                WHEN copy = 2 THEN c_acctbal + 1.0D
+                ELSE c_acctbal END AS c_acctbal""",
+        """CASE WHEN k % 33 = 0 THEN NULL
+                WHEN k % 211 = 0 THEN 'UNKNOWN'
+                WHEN k % 50 = 0 THEN concat(c_mktsegment, '  ')
+                WHEN k % 97 = 0 THEN lower(c_mktsegment)
+                ELSE c_mktsegment END AS c_mktsegment""",
     )
 
 
 def dirty_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    kind = F.col("p_type")
-    return table(spark, sf_dir, "part").select(
-        k.alias("row_id"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS row_id",
         "p_partkey",
         "p_name",
         "p_brand",
-        F.when(_every(k, 400), F.lower(kind))
-        .when(_every(k, 90), F.concat(F.lit(" "), kind))
-        .otherwise(kind)
-        .alias("p_type"),
-        F.when(~_every(k, 25), F.col("p_size")).alias("p_size"),
+        """CASE WHEN p_partkey % 400 = 0 THEN lower(p_type)
+                WHEN p_partkey % 90 = 0 THEN concat(' ', p_type)
+                ELSE p_type END AS p_type""",
+        "if(p_partkey % 25 = 0, NULL, p_size) AS p_size",
         "p_retailprice",
     )
 
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their day as the batch."""
-    k = F.col("event_id")
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
-        F.to_date("ts").alias("batch_date"),
-        F.when(~_every(k, 83), k).alias("event_id"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "to_date(ts) AS batch_date",
+        "if(event_id % 83 = 0, NULL, event_id) AS event_id",
         "user_id",
-        F.when(_every(k, 59), F.lit(None).cast("string"))
-        .when(_every(k, 41), F.concat(kind, F.lit(" ")))
-        .when(_every(k, 997), F.upper(kind))
-        .otherwise(kind)
-        .alias("event_type"),
-        F.when(_every(k, 19), F.lit(None).cast("double"))
-        .when(_every(k, 53), -F.col("value"))
-        .otherwise(F.col("value"))
-        .alias("value"),
+        """CASE WHEN event_id % 59 = 0 THEN NULL
+                WHEN event_id % 41 = 0 THEN concat(event_type, ' ')
+                WHEN event_id % 997 = 0 THEN upper(event_type)
+                ELSE event_type END AS event_type""",
+        """CASE WHEN event_id % 19 = 0 THEN NULL
+                WHEN event_id % 53 = 0 THEN -value
+                ELSE value END AS value""",
     )
 
 
 def loan_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a loan application, with the defects of a raw extract."""
-    k = F.col("o_orderkey")
-    date = F.col("o_orderdate")
-
-    def pick(index: Column, values: list[str]) -> Column:
-        return F.element_at(F.array(*(F.lit(v) for v in values)), index.cast("int") + 1)
-
-    no_number = F.lit(None).cast("double")
-    region = pick(k % 5, ["North", "South", "East", "West", "Central"])
-    employment = pick(k % 4, ["Employed", "Self-Employed", "Unemployed", "Retired"])
+    regions = "array('North', 'South', 'East', 'West', 'Central')"
+    jobs = "array('Employed', 'Self-Employed', 'Unemployed', 'Retired')"
+    genders = "array('Male', 'male', 'MALE ', 'Female', 'female', 'FEMALE', 'F', 'M')"
+    marital = "array('Single', 'Married', 'Divorced', 'Widowed')"
     return (
-        table(spark, sf_dir, "orders")
-        .withColumn("copy", _copies(k, exact=67))
-        .select(
-            (k * 10 + F.col("copy")).alias("row_id"),
-            F.when(~_every(k, 4001), k).alias("customer_id"),
-            F.when(_every(k, 50), no_number)
-            .when(_every(k, 135), F.lit(-5.0))
-            .otherwise((k % 57 + 18).cast("double"))
-            .alias("age"),
-            F.when(_every(k, 17), no_number)
-            .when(_every(k, 203), F.lit(-100000.0))
-            .otherwise(F.col("o_totalprice"))
-            .alias("annual_income"),
-            F.when(_every(k, 25), no_number)
-            .when(_every(k, 133), F.lit(1200.0))
-            .otherwise((k % 600 + 300).cast("double"))
-            .alias("credit_score"),
-            F.when(_every(k, 171), F.lit(-10.0)).otherwise(F.col("o_totalprice") * 0.5).alias("loan_amount"),
-            (k % 5).alias("existing_loans"),
-            F.when(_every(k, 101), F.concat(region, F.lit("  "))).otherwise(region).alias("region"),
-            F.when(_every(k, 33), F.lit(None).cast("string"))
-            .when(_every(k, 211), F.lit("Student"))
-            .when(_every(k, 311), F.concat(F.lower(employment), F.lit(" ")))
-            .otherwise(employment)
-            .alias("employment_status"),
-            pick(k % 8, ["Male", "male", "MALE ", "Female", "female", "FEMALE", "F", "M"]).alias("gender"),
-            pick((k % 12 - k % 3) / 3, ["Single", "Married", "Divorced", "Widowed"]).alias("marital_status"),
-            F.when(k % 4 == 0, F.date_format(date, "yyyy-MM-dd"))
-            .when(k % 4 == 1, F.date_format(date, "dd/MM/yyyy"))
-            .when(k % 4 == 2, F.date_format(date, "dd-MMM-yyyy"))
-            .otherwise(F.date_format(date, "MM/dd/yyyy"))
-            .alias("application_date"),
-            F.when(_every(k, 7), 1).otherwise(0).cast("long").alias("default_flag"),
+        _with_copies(table(spark, sf_dir, "orders"), "o_orderkey", 67)
+        .selectExpr(
+            "*",
+            f"{regions}[CAST(k % 5 AS INT)] AS place",
+            f"{jobs}[CAST(k % 4 AS INT)] AS job",
+        )
+        .selectExpr(
+            "k * 10 + copy AS row_id",
+            "if(k % 4001 = 0, NULL, k) AS customer_id",
+            "CASE WHEN k % 50 = 0 THEN NULL WHEN k % 135 = 0 THEN -5.0D ELSE k % 57 + 18.0D END AS age",
+            """CASE WHEN k % 17 = 0 THEN NULL
+                    WHEN k % 203 = 0 THEN -100000.0D
+                    ELSE o_totalprice END AS annual_income""",
+            """CASE WHEN k % 25 = 0 THEN NULL
+                    WHEN k % 133 = 0 THEN 1200.0D
+                    ELSE k % 600 + 300.0D END AS credit_score""",
+            "if(k % 171 = 0, -10.0D, o_totalprice * 0.5D) AS loan_amount",
+            "k % 5 AS existing_loans",
+            "if(k % 101 = 0, concat(place, '  '), place) AS region",
+            """CASE WHEN k % 33 = 0 THEN NULL
+                    WHEN k % 211 = 0 THEN 'Student'
+                    WHEN k % 311 = 0 THEN concat(lower(job), ' ')
+                    ELSE job END AS employment_status""",
+            f"{genders}[CAST(k % 8 AS INT)] AS gender",
+            f"{marital}[CAST((k % 12) div 3 AS INT)] AS marital_status",
+            """CASE k % 4 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd')
+                    WHEN 1 THEN date_format(o_orderdate, 'dd/MM/yyyy')
+                    WHEN 2 THEN date_format(o_orderdate, 'dd-MMM-yyyy')
+                    ELSE date_format(o_orderdate, 'MM/dd/yyyy') END AS application_date""",
+            "if(k % 7 = 0, 1L, 0L) AS default_flag",
         )
     )
 

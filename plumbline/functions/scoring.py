@@ -1,4 +1,4 @@
-"""Score arithmetic in whole hundredths.
+"""Score arithmetic in whole hundredths, as SQL expressions.
 
 Percentages and scores are BIGINT hundredths, rounded half up, and become
 doubles only in result tables.  Sums of such integers do not depend on the
@@ -9,9 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 DIMENSIONS = ("completeness", "uniqueness", "validity", "consistency")
 
 # Share of each dimension in the health score, in percent.
@@ -21,27 +18,20 @@ WEIGHTS = {"completeness": 35, "uniqueness": 15, "validity": 35, "consistency":
 GOOD_FROM = 9000
 WARNING_FROM = 7500
 
-FULL = 10000
-
-
-def div(a: Column, b: Column) -> Column:
-    """Integer division."""
-    return F.call_function("div", a, b)
-
 
-def share(part: Column, total: Column) -> Column:
+def share(part: str, total: str) -> str:
     """100 * part / total in hundredths, 0 for an empty table."""
-    return F.when(total > 0, div(part * 20000 + total, total * 2)).otherwise(F.lit(0).cast("long"))
+    return f"if({total} > 0, (({part}) * 20000L + {total}) div ({total} * 2), 0L)"
 
 
-def missing_score(missing: Column, total: Column) -> Column:
+def missing_score(missing: str, total: str) -> str:
     """100 minus the already rounded share."""
-    return F.lit(FULL).cast("long") - share(missing, total)
+    return f"10000L - {share(missing, total)}"
 
 
-def intact_score(bad: Column, total: Column) -> Column:
+def intact_score(bad: str, total: str) -> str:
     """The rounded share of rows that are not bad, 100 for an empty table."""
-    return F.when(total > 0, share(total - bad, total)).otherwise(F.lit(FULL).cast("long"))
+    return f"if({total} > 0, {share(f'{total} - {bad}', total)}, 10000L)"
 
 
 def check_weights(weights: Mapping[str, int]) -> None:
@@ -49,29 +39,27 @@ def check_weights(weights: Mapping[str, int]) -> None:
         raise ValueError(f"weights must give a whole percent for each of {', '.join(DIMENSIONS)}")
 
 
-def health(scores: Mapping[str, Column], weights: Mapping[str, int] = WEIGHTS) -> Column:
+def health(scores: Mapping[str, str], weights: Mapping[str, int] = WEIGHTS) -> str:
     check_weights(weights)
-    weighted = [scores[d] * weights[d] for d in DIMENSIONS]
-    return div(weighted[0] + weighted[1] + weighted[2] + weighted[3] + 50, F.lit(100).cast("long"))
+    weighted = " + ".join(f"{weights[d]}L * {scores[d]}" for d in DIMENSIONS)
+    return f"({weighted} + 50) div 100"
 
 
-def status(hundredths: Column) -> Column:
+def status(hundredths: str) -> str:
     return (
-        F.when(hundredths >= GOOD_FROM, "Good")
-        .when(hundredths >= WARNING_FROM, "Warning")
-        .otherwise("Critical")
+        f"CASE WHEN {hundredths} >= {GOOD_FROM} THEN 'Good' "
+        f"WHEN {hundredths} >= {WARNING_FROM} THEN 'Warning' ELSE 'Critical' END"
     )
 
 
-def mean(hundredths: Column) -> Column:
+def mean(hundredths: str) -> str:
     """Aggregate: mean of hundredths, rounded half up."""
-    n = F.count("*")
-    return div(F.sum(hundredths) * 2 + n, n * 2)
+    return f"(sum({hundredths}) * 2 + count(*)) div (count(*) * 2)"
 
 
-def as_number(hundredths: Column) -> Column:
-    return hundredths / F.lit(100.0)
+def as_number(hundredths: str) -> str:
+    return f"({hundredths}) / 100.0D"
 
 
-def as_hundredths(score: Column) -> Column:
-    return F.round(score * 100).cast("long")
+def as_hundredths(score: str) -> str:
+    return f"CAST(round({score} * 100) AS BIGINT)"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.rules import Rules, outside_range
 from plumbline.functions.text import sentence_case, sql_trim
-from plumbline.operators.table import MAX_BROADCAST_ROWS, Table, fits_broadcast
+from plumbline.operators.table import MAX_BROADCAST_ROWS, ROW, Table, fits_broadcast
 
 
 @dataclass(frozen=True)
@@ -46,24 +46,24 @@ def keep_first(
     key_field = t.field(key)
     if key_field is None:
         raise ValueError(f"no such column: {key}")
-    order = t.ref(row_id)
     repeated = (
-        t.df.select(key_field.key.alias("repeated"), order.alias("at"))
+        t.df.select(key_field.key.alias("repeated"), ROW)
         .groupBy("repeated")
-        .agg(F.count("*").alias("n"), F.min("at").alias("first_at"))
+        .agg(F.expr("count(*) AS n"), F.expr(f"min({ROW}) AS first_at"))
         .where("n > 1")
         .select("repeated", "first_at")
     )
     if fits_broadcast(repeated, max_broadcast_rows):
         kept = (
             t.df.join(F.broadcast(repeated), key_field.key.eqNullSafe(F.col("repeated")), "left")
-            .where(F.col("first_at").isNull() | (F.col("first_at") == order))
+            .where(f"first_at IS NULL OR first_at = {ROW}")
             .drop("repeated", "first_at")
         )
     else:
-        ranked = t.df.withColumn("key", key_field.key)
+        order = W.partitionBy("key").orderBy(ROW)
         kept = (
-            ranked.withColumn("rank", F.row_number().over(W.partitionBy("key").orderBy(order)))
+            t.df.select("*", key_field.key.alias("key"))
+            .select("*", F.row_number().over(order).alias("rank"))
             .where("rank = 1")
             .drop("key", "rank")
         )

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.rules import Rules, outside_range
 from plumbline.functions.values import is_missing
-from plumbline.operators.table import COLUMNS_PER_PASS, MAX_BROADCAST_ROWS, Table
+from plumbline.operators.table import COLUMNS_PER_PASS, MAX_BROADCAST_ROWS, ROW, Table
 
 # Rows logged per column and kind, and the kinds in log order.
 CAP = 50
@@ -40,19 +40,13 @@ def _flagged(t: Table, tests: Sequence[Test]) -> DataFrame:
         chunk = tests[start : start + COLUMNS_PER_PASS]
         marks = F.array(
             *(
-                F.when(
-                    test,
-                    F.struct(
-                        F.lit(kind).alias("kind"), F.lit(place).alias("place"), F.lit(ordinal).alias("ordinal")
-                    ),
-                )
+                F.when(test, F.expr(f"struct({kind} AS kind, {place} AS place, {ordinal} AS ordinal)"))
                 for kind, place, ordinal, test in chunk
             )
         )
         pieces.append(
             t.df.where(reduce(or_, (test for *_, test in chunk)))
-            .select(t.ref(t.row_id).alias("row_index"), F.explode(F.array_compact(marks)).alias("mark"))
-            .select("mark.kind", "mark.place", "mark.ordinal", "row_index")
+            .select(ROW, F.inline(F.array_compact(marks)))
         )
     return reduce(DataFrame.unionByName, pieces)
 
@@ -66,14 +60,14 @@ def _first(flagged: DataFrame, cap: int) -> DataFrame:
     """
     salted = flagged.withColumn("salt", F.spark_partition_id() % SALTS)
     group = ["kind", "place"]
-    near = W.partitionBy(*group, "salt").orderBy("row_index")
-    final = W.partitionBy(*group).orderBy("row_index")
+    near = W.partitionBy(*group, "salt").orderBy(ROW)
+    final = W.partitionBy(*group).orderBy(ROW)
     return (
         salted.withColumn("rank", F.row_number().over(near))
         .where(F.col("rank") <= cap)
         .withColumn("rank", F.row_number().over(final))
         .where(F.col("rank") <= cap)
-        .select("kind", "place", "ordinal", "row_index")
+        .select("kind", "place", "ordinal", ROW)
     )
 
 
@@ -86,10 +80,10 @@ def _duplicates(t: Table, key: str, cap: int) -> DataFrame:
     matters.
     """
     field = t.field(key)
-    rows = t.df.select(field.key.alias("key"), t.ref(t.row_id).alias("row_index"))
+    rows = t.df.select(field.key.alias("key"), ROW)
     earliest = (
         rows.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("row_index").alias("start"))
+        .agg(F.count("*").alias("n"), F.min(ROW).alias("start"))
         .where("n > 1")
         .orderBy("start")
         .limit(cap)
@@ -99,13 +93,13 @@ def _duplicates(t: Table, key: str, cap: int) -> DataFrame:
         earliest = F.broadcast(earliest)
     return (
         rows.join(earliest, F.col("key").eqNullSafe(F.col("repeated")), "left_semi")
-        .orderBy("row_index")
+        .orderBy(ROW)
         .limit(cap)
         .select(
             F.lit(DUPLICATE).alias("kind"),
             F.lit(0).alias("place"),
             F.lit(field.ordinal).alias("ordinal"),
-            "row_index",
+            ROW,
         )
     )
 
@@ -133,7 +127,7 @@ def _log(t: Table, tests: Sequence[Test], key: str | None, cap: int) -> DataFram
     if not parts:
         kind = T.StructType(
             [
-                T.StructField("row_index", T.LongType()),
+                T.StructField(ROW, T.LongType()),
                 T.StructField("column", T.StringType()),
                 T.StructField("issue_type", T.StringType()),
             ]
@@ -142,10 +136,10 @@ def _log(t: Table, tests: Sequence[Test], key: str | None, cap: int) -> DataFram
     kinds = F.array(*(F.lit(k) for k in KINDS))
     return (
         reduce(DataFrame.unionByName, parts)
-        .orderBy("kind", "place", "row_index")
+        .orderBy("kind", "place", ROW)
         .select(
-            "row_index",
-            t.column_name(F.col("ordinal")).alias("column"),
+            ROW,
+            t.column_name(),
             F.element_at(kinds, F.col("kind") + 1).alias("issue_type"),
         )
     )

@@ -16,13 +16,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import scoring
 from plumbline.functions.rules import Rules, violates
 from plumbline.functions.text import compact, strip
-from plumbline.functions.values import hashable, is_missing, nan_to_null
+from plumbline.functions.values import FLOAT_TYPES, hashable, is_missing, nan_to_null
 from plumbline.operators.table import (
     COLUMNS_PER_PASS,
     MAX_BROADCAST_ROWS,
@@ -34,12 +34,17 @@ from plumbline.operators.table import (
 COUNTS = ("total", "missing", "invalid", "duplicate_keys", "formatting")
 
 
-def _long(n: int) -> Column:
-    return F.lit(n).cast("long")
+def _counts(**known: str) -> list[str]:
+    return [f"{known.get(name, '0L')} AS {name}" for name in COUNTS]
 
 
-def _counts(**known: Column) -> list[Column]:
-    return [known.get(name, _long(0)).alias(name) for name in COUNTS]
+def _row(f: Field, **known: str) -> str:
+    return f"struct({', '.join([f'{f.ordinal} AS ordinal', *_counts(**known)])})"
+
+
+def _missing(f: Field) -> str:
+    test = f"{f.ref} IS NULL"
+    return f"{test} OR isnan({f.ref})" if isinstance(f.dtype, FLOAT_TYPES) else test
 
 
 def cell_counts(
@@ -51,36 +56,26 @@ def cell_counts(
     one row per column.
     """
     rules = rules or {}
-    counted_refs = {f.ref for f in counted}
     tests = {f.ref: violates(f.col, f.dtype, rules[f.name]) for f in t.fields if f.name in rules}
-    ruled = [f for f in t.fields if f.name in rules and f.ref not in counted_refs]
-    fields = [*counted, *ruled]
-    zeros = [f for f in listed if f not in fields]
+    ruled = {ref for ref, test in tests.items() if test is not None}
+    fields = [f for f in t.fields if f in counted or f.ref in ruled]
 
     passes = []
     for start in range(0, max(len(fields), 1), COLUMNS_PER_PASS):
         chunk = fields[start : start + COLUMNS_PER_PASS]
-        aggregates = [F.count("*").alias("total")]
+        aggregates = [F.expr("count(*) AS total")]
+        aggregates += [F.expr(f"count_if({_missing(f)}) AS missing_{f.ref}") for f in chunk if f in counted]
+        aggregates += [F.count_if(tests[f.ref]).alias(f"invalid_{f.ref}") for f in chunk if f.ref in ruled]
+        rows = []
         for f in chunk:
-            if f.ref in counted_refs:
-                aggregates.append(F.count_if(is_missing(f.col, f.dtype)).alias(f"missing_{f.ref}"))
-            if tests.get(f.ref) is not None:
-                aggregates.append(F.count_if(tests[f.ref]).alias(f"invalid_{f.ref}"))
-        rows = [
-            F.struct(
-                F.lit(f.ordinal).alias("ordinal"),
-                *_counts(
-                    total=F.col("total") if f.ref in counted_refs else _long(0),
-                    missing=F.col(f"missing_{f.ref}") if f.ref in counted_refs else _long(0),
-                    invalid=F.col(f"invalid_{f.ref}") if tests.get(f.ref) is not None else _long(0),
-                ),
-            )
-            for f in chunk
-        ]
+            known = {"total": "total", "missing": f"missing_{f.ref}"} if f in counted else {}
+            if f.ref in ruled:
+                known["invalid"] = f"invalid_{f.ref}"
+            rows.append(_row(f, **known))
         if start == 0:
-            rows += [F.struct(F.lit(f.ordinal).alias("ordinal"), *_counts()) for f in zeros]
+            rows += [_row(f) for f in listed if f not in fields]
         wide = t.df.groupBy(*t.by_refs).agg(*aggregates)
-        passes.append(wide.select(*t.by_refs, F.inline(F.array(*rows))))
+        passes.append(wide.selectExpr(*t.by_refs, f"inline(array({', '.join(rows)}))"))
     return reduce(DataFrame.unionByName, passes)
 
 
@@ -92,59 +87,53 @@ def text_values(t: Table, fields: Sequence[Field]) -> DataFrame:
     casings exist is read off the least and greatest 128-bit fingerprint, a
     fixed-width aggregate that needs no second shuffle by casing.
     """
-    cells = t.df.select(*t.by_refs, *(f.col.cast("string").alias(f.ref) for f in fields)).unpivot(
+    cells = t.df.selectExpr(*t.by_refs, *(f"CAST({f.ref} AS STRING) AS {f.ref}" for f in fields)).unpivot(
         t.by_refs, [f.ref for f in fields], "ref", "value"
     )
-    stripped = cells.withColumn("stripped", strip(F.col("value")))
-    folded = stripped.withColumn("folded", F.lower("stripped"))
+    stripped = cells.select("*", strip(F.col("value")).alias("stripped"))
+    folded = stripped.selectExpr("*", "lower(stripped) AS folded")
     keyed = folded.select(
         *t.by_refs,
         "ref",
         compact(F.col("folded")).alias("folded"),
-        (F.col("value") != F.col("stripped")).alias("padded"),
-        F.xxhash64("stripped").alias("mark"),
-        F.xxhash64(F.lit("casing"), "stripped").alias("mark2"),
+        F.expr("value <> stripped AS padded"),
+        F.expr("xxhash64(stripped) AS mark"),
+        F.expr("xxhash64('casing', stripped) AS mark2"),
     )
     values = keyed.groupBy(*t.by_refs, "ref", "folded").agg(
-        F.count("*").alias("n"),
-        F.count_if("padded").alias("padded"),
-        F.min("mark").alias("low"),
-        F.max("mark").alias("high"),
-        F.min("mark2").alias("low2"),
-        F.max("mark2").alias("high2"),
+        F.expr("count(*) AS n"),
+        F.expr("count_if(padded) AS padded"),
+        F.expr("min(mark) <> max(mark) OR min(mark2) <> max(mark2) AS variants"),
     )
-    variants = (F.col("low") != F.col("high")) | (F.col("low2") != F.col("high2"))
-    return values.select(*t.by_refs, "ref", "folded", "n", "padded", variants.alias("variants"))
+    return values.selectExpr(*t.by_refs, "CAST(substr(ref, 2) AS INT) AS ordinal", "folded", "n", "padded", "variants")
 
 
 def text_counts(t: Table, fields: Sequence[Field]) -> DataFrame:
     """Missing and formatting counts of text columns."""
-    value = F.col("folded")
-    issues = F.when(value.isNull(), 0).when(F.col("variants"), F.col("n")).otherwise(F.col("padded"))
     per_column = (
         text_values(t, fields)
-        .groupBy(*t.by_refs, "ref")
+        .groupBy(*t.by_refs, "ordinal")
         .agg(
-            F.sum("n").alias("total"),
-            F.sum(F.when(value.isNull(), F.col("n")).otherwise(0)).alias("missing"),
-            F.sum(issues).alias("formatting"),
+            F.expr("sum(n) AS total"),
+            F.expr("sum(if(folded IS NULL, n, 0L)) AS missing"),
+            F.expr("sum(CASE WHEN folded IS NULL THEN 0L WHEN variants THEN n ELSE padded END) AS formatting"),
         )
     )
-    ordinals = F.create_map(*(x for f in fields for x in (F.lit(f.ref), F.lit(f.ordinal))))
-    return per_column.select(
-        *t.by_refs,
-        ordinals[F.col("ref")].alias("ordinal"),
-        *_counts(total=F.col("total"), missing=F.col("missing"), formatting=F.col("formatting")),
+    known = _counts(total="total", missing="missing", formatting="formatting")
+    return per_column.selectExpr(*t.by_refs, "ordinal", *known)
+
+
+def _key_repeats(t: Table, key: Field) -> DataFrame:
+    """Rows, and rows whose key already occurred; missing keys are one key."""
+    groups = t.df.select(*t.by_refs, key.key.alias("key")).groupBy(*t.by_refs, "key").agg(F.expr("count(*) AS n"))
+    return groups.groupBy(*t.by_refs).agg(
+        F.expr("coalesce(sum(n), 0L) AS total"), F.expr("coalesce(sum(n - 1), 0L) AS repeats")
     )
 
 
 def key_counts(t: Table, key: Field) -> DataFrame:
-    """Rows whose key already occurred; missing keys are one key."""
-    groups = t.df.select(*t.by_refs, key.key.alias("key")).groupBy(*t.by_refs, "key").agg(F.count("*").alias("n"))
-    repeats = groups.groupBy(*t.by_refs).agg(F.coalesce(F.sum(F.col("n") - 1), _long(0)).alias("repeats"))
-    return repeats.select(
-        *t.by_refs, F.lit(key.ordinal).alias("ordinal"), *_counts(duplicate_keys=F.col("repeats"))
-    )
+    known = _counts(duplicate_keys="repeats")
+    return _key_repeats(t, key).selectExpr(*t.by_refs, f"{key.ordinal} AS ordinal", *known)
 
 
 def column_counts(
@@ -170,22 +159,21 @@ def column_counts(
     merged = (
         reduce(DataFrame.unionByName, parts)
         .groupBy(*t.by_refs, "ordinal")
-        .agg(*(F.sum(c).alias(c) for c in COUNTS))
+        .agg(*(F.expr(f"sum({c}) AS {c}") for c in COUNTS))
     )
-    return t.named(merged.select(*t.by_refs, "ordinal", t.column_name(F.col("ordinal")).alias("column"), *COUNTS))
+    return t.named(merged.select(*t.by_refs, "ordinal", t.column_name(), *COUNTS))
 
 
 def completeness(df: DataFrame, row_id: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Per column: missing_count, missing_pct, completeness_score."""
     t = Table(df, row_id, by)
-    missing, total = F.col("missing"), F.col("total")
     return t.named(
         cell_counts(t, t.fields).select(
             *t.by_refs,
-            t.column_name(F.col("ordinal")).alias("column"),
-            missing.alias("missing_count"),
-            scoring.as_number(scoring.share(missing, total)).alias("missing_pct"),
-            scoring.as_number(scoring.missing_score(missing, total)).alias("completeness_score"),
+            t.column_name(),
+            F.col("missing").alias("missing_count"),
+            F.expr(f"{scoring.as_number(scoring.share('missing', 'total'))} AS missing_pct"),
+            F.expr(f"{scoring.as_number(scoring.missing_score('missing', 'total'))} AS completeness_score"),
         )
     )
 
@@ -212,17 +200,17 @@ def validity(df: DataFrame, rules: Rules, row_id: str | None = None, by: Sequenc
     """
     t = Table(df, row_id, by)
     ruled = [f for f in t.fields if f.name in rules]
-    invalid, total = F.col("invalid"), F.col("total")
+    # Counting the ruled fields gives each of their rows the table's row count.
     counts = cell_counts(t, ruled or t.fields[:1], rules)
     if not ruled:
-        counts = counts.where(F.lit(False))
+        counts = counts.where("false")
     return t.named(
         counts.select(
             *t.by_refs,
-            t.column_name(F.col("ordinal")).alias("column"),
-            invalid.alias("invalid_count"),
-            scoring.as_number(scoring.share(invalid, total)).alias("invalid_pct"),
-            scoring.as_number(scoring.intact_score(invalid, total)).alias("validity_score"),
+            t.column_name(),
+            F.col("invalid").alias("invalid_count"),
+            F.expr(f"{scoring.as_number(scoring.share('invalid', 'total'))} AS invalid_pct"),
+            F.expr(f"{scoring.as_number(scoring.intact_score('invalid', 'total'))} AS validity_score"),
         )
     )
 
@@ -246,15 +234,14 @@ def consistency(
     """
     t = Table(df, row_id, by)
     fields = _text_fields(t, columns)
-    issues, total = F.col("formatting"), F.col("total")
     return t.named(
         text_counts(t, fields)
-        .where(F.col("missing") < total)
+        .where("missing < total")
         .select(
             *t.by_refs,
-            t.column_name(F.col("ordinal")).alias("column"),
-            issues.alias("formatting_issue_count"),
-            scoring.as_number(scoring.intact_score(issues, total)).alias("consistency_score"),
+            t.column_name(),
+            F.col("formatting").alias("formatting_issue_count"),
+            F.expr(f"{scoring.as_number(scoring.intact_score('formatting', 'total'))} AS consistency_score"),
         )
     )
 
@@ -263,37 +250,28 @@ def padded_values(df: DataFrame, columns: Sequence[str] | None = None, row_id: s
     """Per text column: rows whose value has whitespace around it."""
     t = Table(df, row_id)
     fields = _text_fields(t, columns)
-    flags = [F.count_if(f.col.cast("string") != strip(f.col.cast("string"))).alias(f.ref) for f in fields]
-    passes = [
-        t.df.agg(*flags[i : i + COLUMNS_PER_PASS]).select(
-            F.inline(
-                F.array(
-                    *(
-                        F.struct(F.lit(f.name).alias("column"), F.col(f.ref).alias("padded_count"))
-                        for f in fields[i : i + COLUMNS_PER_PASS]
-                    )
-                )
-            )
-        )
-        for i in range(0, len(fields), COLUMNS_PER_PASS)
-    ]
-    return reduce(DataFrame.unionByName, passes)
+    passes = []
+    for start in range(0, len(fields), COLUMNS_PER_PASS):
+        chunk = fields[start : start + COLUMNS_PER_PASS]
+        texts = [(f, f.col.cast("string")) for f in chunk]
+        wide = t.df.agg(*(F.count_if(text != strip(text)).alias(f.ref) for f, text in texts))
+        rows = ", ".join(f"struct({f.ordinal} AS ordinal, {f.ref} AS padded_count)" for f in chunk)
+        passes.append(wide.selectExpr(f"inline(array({rows}))"))
+    return reduce(DataFrame.unionByName, passes).select(t.column_name(), "padded_count")
 
 
 def case_variants(df: DataFrame, columns: Sequence[str] | None = None, row_id: str | None = None) -> DataFrame:
     """Per text column: values that occur in several casings, and the rows that hold them."""
     t = Table(df, row_id)
     fields = _text_fields(t, columns)
-    hit = F.col("variants") & F.col("folded").isNotNull()
-    names = F.create_map(*(x for f in fields for x in (F.lit(f.ref), F.lit(f.name))))
     return (
         text_values(t, fields)
-        .groupBy("ref")
+        .groupBy("ordinal")
         .agg(
-            F.count_if(hit).alias("variant_values"),
-            F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("variant_rows"),
+            F.expr("count_if(variants) AS variant_values"),
+            F.expr("sum(if(variants, n, 0L)) AS variant_rows"),
         )
-        .select(names[F.col("ref")].alias("column"), "variant_values", "variant_rows")
+        .select(t.column_name(), "variant_values", "variant_rows")
     )
 
 
@@ -303,17 +281,12 @@ def key_uniqueness(df: DataFrame, key: str, row_id: str | None = None, by: Seque
     field = t.field(key)
     if field is None:
         raise ValueError(f"no such column: {key}")
-    groups = t.df.select(*t.by_refs, field.key.alias("key")).groupBy(*t.by_refs, "key").agg(F.count("*").alias("n"))
-    totals = groups.groupBy(*t.by_refs).agg(
-        F.coalesce(F.sum("n"), _long(0)).alias("total"),
-        F.coalesce(F.sum(F.col("n") - 1), _long(0)).alias("repeats"),
-    )
     return t.named(
-        totals.select(
+        _key_repeats(t, field).select(
             *t.by_refs,
             F.lit(key).alias("column"),
             F.col("repeats").alias("duplicate_key_count"),
-            scoring.as_number(scoring.intact_score(F.col("repeats"), F.col("total"))).alias("uniqueness_score"),
+            F.expr(f"{scoring.as_number(scoring.intact_score('repeats', 'total'))} AS uniqueness_score"),
         )
     )
 
@@ -335,10 +308,10 @@ def repeated_rows(
         # The NULL flags keep (NULL, 1) apart from (1, NULL).
         print_ = F.xxhash64(*(f.col for f in marked), *(f.col.isNull() for f in marked))
         rows_marked = rows.withColumn("mark", print_)
-        marks = rows_marked.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
+        marks = rows_marked.groupBy("mark").agg(F.expr("count(*) AS n")).where("n > 1").select("mark")
         if fits_broadcast(marks, max_broadcast_rows):
             rows = rows_marked.join(F.broadcast(marks), "mark", "left_semi").select(*refs)
-    return rows.groupBy(*refs).agg(F.count("*").alias("n")).where("n > 1")
+    return rows.groupBy(*refs).agg(F.expr("count(*) AS n")).where("n > 1")
 
 
 def duplicate_rows(
@@ -346,12 +319,10 @@ def duplicate_rows(
 ) -> DataFrame:
     """One row: rows equal to an earlier row in every column (NULL and NaN equal)."""
     t = Table(df, row_id)
-    repeats = repeated_rows(t, t.fields, max_broadcast_rows).agg(
-        F.coalesce(F.sum(F.col("n") - 1), _long(0)).alias("repeats"), _long(0).alias("total")
-    )
-    total = t.df.agg(_long(0).alias("repeats"), F.count("*").alias("total"))
-    both = repeats.unionByName(total).agg(F.sum("repeats").alias("repeats"), F.sum("total").alias("total"))
-    return both.select(
-        F.col("repeats").alias("duplicate_rows"),
-        scoring.as_number(scoring.share(F.col("repeats"), F.col("total"))).alias("duplicate_rows_pct"),
+    repeats = repeated_rows(t, t.fields, max_broadcast_rows).selectExpr("0L AS total", "n - 1 AS repeats")
+    total = t.df.selectExpr("count(*) AS total", "0L AS repeats")
+    both = total.unionByName(repeats).selectExpr("sum(total) AS total", "sum(repeats) AS repeats")
+    return both.selectExpr(
+        "repeats AS duplicate_rows",
+        f"{scoring.as_number(scoring.share('repeats', 'total'))} AS duplicate_rows_pct",
     )

@@ -19,6 +19,9 @@ from plumbline.functions.values import is_text, key_value
 # wide tables are aggregated in groups of columns that stay below it.
 COLUMNS_PER_PASS = 40
 
+# The row order column inside a Table.
+ROW = "row_index"
+
 # The most rows ever handed to broadcast(); sides that may exceed it take another plan.
 MAX_BROADCAST_ROWS = 500_000
 
@@ -42,43 +45,45 @@ class Field:
 class Table:
     """A DataFrame, its profiled fields, and its bookkeeping columns.
 
-    `row_id` (row order) and `by` (batch columns) are not profiled.
+    `row_id` (row order) and `by` (batch columns) are not profiled.  Field i is
+    column c<i>, so the ordinal can be read off the column's name.
     """
 
     def __init__(self, df: DataFrame, row_id: str | None = None, by: Sequence[str] = ()):
-        names = df.columns
-        absent = [c for c in [row_id, *by] if c is not None and c not in names]
+        self.names = df.columns
+        self.by = list(by)
+        self.row_id = row_id
+        absent = [c for c in [row_id, *by] if c is not None and c not in self.names]
         if absent:
             raise ValueError(f"no such column: {', '.join(absent)}")
-        self.df = df.toDF(*(f"c{i}" for i in range(len(names))))
-        self.names = names
-        self.by = list(by)
-        self._refs = {name: f"c{i}" for i, name in enumerate(names)}
-        profiled = [(n, f) for n, f in zip(names, self.df.schema.fields) if n != row_id and n not in self.by]
-        if not profiled:
+        refs, self.fields = [], []
+        for source in df.schema.fields:
+            if source.name == row_id:
+                refs.append(ROW)
+            elif source.name in self.by:
+                refs.append(f"b{self.by.index(source.name)}")
+            else:
+                ordinal = len(self.fields)
+                self.fields.append(Field(ordinal, source.name, f"c{ordinal}", source.dataType))
+                refs.append(f"c{ordinal}")
+        if not self.fields:
             raise ValueError("a table without columns to profile")
-        self.fields = [Field(i, n, f.name, f.dataType) for i, (n, f) in enumerate(profiled)]
-        self.row_id = row_id
-        self.by_refs = [self._refs[b] for b in self.by]
+        self.df = df.toDF(*refs)
+        self.by_refs = [f"b{i}" for i in range(len(self.by))]
 
     def field(self, name: str | None) -> Field | None:
         return next((f for f in self.fields if f.name == name), None)
 
-    def ref(self, name: str) -> Column:
-        return F.col(self._refs[name])
-
     @property
     def text_fields(self) -> list[Field]:
         return [f for f in self.fields if is_text(f.dtype)]
 
     def named(self, df: DataFrame) -> DataFrame:
         """Give `by` columns their own names back."""
-        for name, ref in zip(self.by, self.by_refs):
-            df = df.withColumnRenamed(ref, name)
-        return df
+        return df.withColumnsRenamed(dict(zip(self.by_refs, self.by))) if self.by else df
 
-    def column_name(self, ordinal: Column) -> Column:
-        return F.element_at(F.array(*(F.lit(f.name) for f in self.fields)), ordinal + 1)
+    def column_name(self, ordinal: str = "ordinal") -> Column:
+        return F.array(*(F.lit(f.name) for f in self.fields))[F.col(ordinal)].alias("column")
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:

@@ -15,43 +15,41 @@ DIMENSION_SCORES = tuple(f"{d}_score" for d in scoring.DIMENSIONS)
 
 
 def _hundredths(counts: DataFrame, weights: Mapping[str, int]) -> DataFrame:
-    total = F.col("total")
-    scores = {
-        "completeness": scoring.missing_score(F.col("missing"), total),
-        "uniqueness": scoring.intact_score(F.col("duplicate_keys"), total),
-        "validity": scoring.intact_score(F.col("invalid"), total),
-        "consistency": scoring.intact_score(F.col("formatting"), total),
-    }
-    scored = counts.select(
+    dimensions = counts.selectExpr(
         "*",
-        *(c.alias(f"h_{d}") for d, c in scores.items()),
-        scoring.share(F.col("missing"), total).alias("h_missing_pct"),
-        scoring.share(F.col("invalid"), total).alias("h_invalid_pct"),
+        f"{scoring.missing_score('missing', 'total')} AS h_completeness",
+        f"{scoring.intact_score('duplicate_keys', 'total')} AS h_uniqueness",
+        f"{scoring.intact_score('invalid', 'total')} AS h_validity",
+        f"{scoring.intact_score('formatting', 'total')} AS h_consistency",
+        f"{scoring.share('missing', 'total')} AS h_missing_pct",
+        f"{scoring.share('invalid', 'total')} AS h_invalid_pct",
     )
-    health = scoring.health({d: F.col(f"h_{d}") for d in scores}, weights)
-    return scored.withColumn("h_health", health)
+    health = scoring.health({d: f"h_{d}" for d in scoring.DIMENSIONS}, weights)
+    return dimensions.selectExpr("*", f"{health} AS h_health")
 
 
 def score(
     counts: DataFrame, by: Sequence[str] = (), weights: Mapping[str, int] = scoring.WEIGHTS
 ) -> DataFrame:
     """The scorecard of `column_counts`: lowest health first, ties in column order."""
-    h = _hundredths(counts, weights).orderBy(*by, "h_health", "ordinal")
-
-    def shown(name: str):
-        return scoring.as_number(F.col(f"h_{name}"))
-
-    return h.select(
-        *by,
-        "column",
-        shown("completeness").alias("completeness_score"),
-        shown("missing_pct").alias("missing_pct"),
-        shown("uniqueness").alias("uniqueness_score"),
-        shown("validity").alias("validity_score"),
-        shown("invalid_pct").alias("invalid_pct"),
-        shown("consistency").alias("consistency_score"),
-        shown("health").alias("health_score"),
-        scoring.status(F.col("h_health")).alias("status"),
+    names = {
+        "completeness": "completeness_score",
+        "missing_pct": "missing_pct",
+        "uniqueness": "uniqueness_score",
+        "validity": "validity_score",
+        "invalid_pct": "invalid_pct",
+        "consistency": "consistency_score",
+        "health": "health_score",
+    }
+    return (
+        _hundredths(counts, weights)
+        .orderBy(*by, "h_health", "ordinal")
+        .select(
+            *by,
+            "column",
+            *(F.expr(f"{scoring.as_number(f'h_{h}')} AS {shown}") for h, shown in names.items()),
+            F.expr(f"{scoring.status('h_health')} AS status"),
+        )
     )
 
 
@@ -59,11 +57,10 @@ def overall(
     counts: DataFrame, by: Sequence[str] = (), weights: Mapping[str, int] = scoring.WEIGHTS
 ) -> DataFrame:
     """One row (per batch): the unweighted mean of the columns' health scores."""
-    h = _hundredths(counts, weights)
     return (
-        h.groupBy(*by)
-        .agg(scoring.mean(F.col("h_health")).alias("h_overall"))
-        .select(*by, scoring.as_number(F.col("h_overall")).alias("overall_health_score"))
+        _hundredths(counts, weights)
+        .groupBy(*by)
+        .agg(F.expr(f"{scoring.as_number(scoring.mean('h_health'))} AS overall_health_score"))
     )
 
 
@@ -71,25 +68,17 @@ def kpis(
     counts: DataFrame, by: Sequence[str] = (), weights: Mapping[str, int] = scoring.WEIGHTS
 ) -> DataFrame:
     """One row (per batch): overall score, table shape, and columns per status."""
-    h = _hundredths(counts, weights).withColumn("status", scoring.status(F.col("h_health")))
+    status = scoring.status("h_health")
     return (
-        h.groupBy(*by)
+        _hundredths(counts, weights)
+        .groupBy(*by)
         .agg(
-            scoring.mean(F.col("h_health")).alias("h_overall"),
-            F.max("total").alias("total_rows"),
-            F.count("*").alias("total_columns"),
-            F.count_if(F.col("status") == "Critical").alias("columns_critical"),
-            F.count_if(F.col("status") == "Warning").alias("columns_warning"),
-            F.count_if(F.col("status") == "Good").alias("columns_good"),
-        )
-        .select(
-            *by,
-            scoring.as_number(F.col("h_overall")).alias("overall_health_score"),
-            "total_rows",
-            "total_columns",
-            "columns_critical",
-            "columns_warning",
-            "columns_good",
+            F.expr(f"{scoring.as_number(scoring.mean('h_health'))} AS overall_health_score"),
+            F.expr("max(total) AS total_rows"),
+            F.expr("count(*) AS total_columns"),
+            F.expr(f"count_if({status} = 'Critical') AS columns_critical"),
+            F.expr(f"count_if({status} = 'Warning') AS columns_warning"),
+            F.expr(f"count_if({status} = 'Good') AS columns_good"),
         )
     )
 

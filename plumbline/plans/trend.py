@@ -40,14 +40,13 @@ def score_drift(
     """
     series = [per] if per is not None else []
     order = W.partitionBy(*series).orderBy(batch)
-    now = scoring.as_hundredths(F.col(score))
-    change = now - F.lag(now).over(order)
+    change = F.expr(scoring.as_hundredths(score))
     return history.select(
         *series,
         batch,
         score,
         F.lag(score).over(order).alias("previous_score"),
-        scoring.as_number(change).alias("score_change"),
+        ((change - F.lag(change).over(order)) / F.lit(100.0)).alias("score_change"),
     )
 
 
