@@ -53,6 +53,11 @@ def key_value(c: Column, dtype: T.DataType) -> Column:
     return nan_to_null(c, dtype)
 
 
+def bounded_key(dtype: T.DataType) -> bool:
+    """Whether every `key_value` of the type has a small, fixed bound on its size."""
+    return is_text(dtype) or isinstance(dtype, (T.NumericType, T.BooleanType, T.DatetimeType))
+
+
 def hashable(dtype: T.DataType) -> bool:
     """Whether xxhash64 accepts the type (maps and variants are refused)."""
     if isinstance(dtype, (T.MapType, T.VariantType)):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.rules import Rules, outside_range
 from plumbline.functions.text import sentence_case, sql_trim
+from plumbline.functions.values import bounded_key
 from plumbline.operators.table import MAX_BROADCAST_ROWS, ROW, Table, fits_broadcast
 
 
@@ -53,7 +54,7 @@ def keep_first(
         .where("n > 1")
         .select("repeated", "first_at")
     )
-    if fits_broadcast(repeated, max_broadcast_rows):
+    if bounded_key(key_field.dtype) and fits_broadcast(repeated, max_broadcast_rows):
         kept = (
             t.df.join(F.broadcast(repeated), key_field.key.eqNullSafe(F.col("repeated")), "left")
             .where(f"first_at IS NULL OR first_at = {ROW}")

@@ -86,6 +86,10 @@ class Table:
         return F.array(*(F.lit(f.name) for f in self.fields))[F.col(ordinal)].alias("column")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Run `df` far enough to know whether it has at most `max_rows` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(rows: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Count `rows` now and say whether they may be broadcast.
+
+    Callers pass rows of bounded width: fixed-width types, or text that `compact`
+    has cut to a digest.
+    """
+    return rows.count() <= max_rows
