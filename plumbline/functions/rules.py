@@ -31,34 +31,43 @@ def _bound(value: Any, dtype: T.DataType) -> Any:
     return value
 
 
-def outside_range(c: Column, dtype: T.DataType, rule: Rule) -> Column | None:
+def outside_range(ref: str, dtype: T.DataType, rule: Rule) -> Column | None:
     """True where the value is below `min` or above `max`; never true for a missing value.
 
     NaN sorts above every number in Spark, so the upper bound also asks for a
     value that is at most infinity.
     """
-    number = as_number(c, dtype)
-    if number is None:
+    sql = as_number(ref, dtype)
+    if sql is None:
         return None
-    floating = isinstance(dtype, FLOAT_TYPES) or is_text(dtype)
+    number = F.expr(sql)
     tests = []
     if "min" in rule:
         tests.append(number < F.lit(_bound(rule["min"], dtype)))
     if "max" in rule:
         above = number > F.lit(_bound(rule["max"], dtype))
-        tests.append(above & (number <= F.lit(float("inf"))) if floating else above)
+        if isinstance(dtype, FLOAT_TYPES) or is_text(dtype):
+            above = above & (number <= F.lit(float("inf")))
+        tests.append(above)
     return reduce(or_, tests) if tests else None
 
 
-def outside_allowed(c: Column, dtype: T.DataType, rule: Rule) -> Column | None:
+def allowed_values(rule: Rule) -> list[str]:
+    """The allow-list in folded form."""
+    return sorted({str(a).strip().lower() for a in rule["allowed"]})
+
+
+def outside_allowed(ref: str, dtype: T.DataType, rule: Rule) -> Column | None:
     """True where a present value is not in the allow-list, ignoring case and padding."""
     if "allowed" not in rule:
         return None
-    allowed = sorted({str(a).strip().lower() for a in rule["allowed"]})
-    return ~fold(c).isin(allowed) & ~is_missing(c, dtype)
+    allowed = allowed_values(rule)
+    text = ref if is_text(dtype) else f"CAST({ref} AS STRING)"
+    return ~F.expr(fold(text)).isin(allowed) & ~F.expr(is_missing(ref, dtype))
 
 
-def violates(c: Column, dtype: T.DataType, rule: Rule) -> Column | None:
+def violates(ref: str, dtype: T.DataType, rule: Rule) -> Column | None:
     """Range or allow-list violation; None when the rule says nothing about this type."""
-    tests = [t for t in (outside_range(c, dtype, rule), outside_allowed(c, dtype, rule)) if t is not None]
+    tests = [outside_range(ref, dtype, rule), outside_allowed(ref, dtype, rule)]
+    tests = [t for t in tests if t is not None]
     return reduce(or_, tests) if tests else None

@@ -1,4 +1,4 @@
-"""Text helpers in two dialects.
+"""Text helpers in two dialects, as SQL over a column reference.
 
 The profiling dialect strips every Unicode whitespace character; the SQL
 dialect trims ASCII spaces only.  They give different answers for tabs and
@@ -7,8 +7,7 @@ no-break spaces, so each operator says which one it uses.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from hashlib import sha256
 
 # The characters Python's str.strip() removes, in code point order.
 STRIP_CHARS = (
@@ -22,31 +21,50 @@ STRIP_CHARS = (
 KEY_BYTES = 64
 
 
-def strip(c: Column) -> Column:
+def strip(ref: str) -> str:
     """Profiling dialect: remove Unicode whitespace at both ends."""
-    return F.btrim(c, F.lit(STRIP_CHARS))
+    return f"btrim({ref}, '{STRIP_CHARS}')"
 
 
-def fold(c: Column) -> Column:
-    """Profiling dialect: the form under which two spellings are the same value."""
-    return F.lower(strip(c.cast("string")))
+def tail(ref: str) -> str:
+    """The last three bytes, enough to hold any whitespace character."""
+    return f"substr(CAST({ref} AS BINARY), -3)"
+
+
+def padded(ref: str, tail_ref: str) -> str:
+    """Profiling dialect: whether there is whitespace at either end.
+
+    Looks at the two ends only, whereas btrim walks the whole text; `tail_ref`
+    is the column that holds `tail`.
+    """
+    leading = ", ".join(str(ord(c)) for c in STRIP_CHARS)
+    tests = [f"ascii({ref}) IN ({leading})"]
+    for n in (1, 2, 3):
+        encoded = [c.encode().hex() for c in STRIP_CHARS if len(c.encode()) == n]
+        endings = ", ".join(f"X'{e}'" for e in encoded)
+        tests.append(f"substr({tail_ref}, -{n}) IN ({endings})")
+    return f"coalesce({' OR '.join(tests)}, false)"
 
 
-def sql_trim(c: Column) -> Column:
-    """SQL dialect: remove ASCII spaces at both ends."""
-    return F.trim(c)
+def fold(ref: str) -> str:
+    """Profiling dialect: the form under which two spellings are the same value."""
+    return f"lower({strip(ref)})"
 
 
-def sentence_case(c: Column) -> Column:
+def sentence_case(ref: str) -> str:
     """SQL dialect: trimmed, first character upper case, the rest lower case."""
-    t = sql_trim(c)
-    return F.concat(F.upper(F.substr(t, F.lit(1), F.lit(1))), F.lower(F.substr(t, F.lit(2))))
+    return f"concat(upper(substr(trim({ref}), 1, 1)), lower(substr(trim({ref}), 2)))"
+
+
+def compact_literal(value: str) -> str:
+    """What `compact` makes of a constant."""
+    encoded = value.encode()
+    return f"sha256:{sha256(encoded).hexdigest()}" if len(encoded) > KEY_BYTES else value
 
 
-def compact(c: Column) -> Column:
+def compact(ref: str) -> str:
     """Bounded-width stand-in for a text value, equal exactly when the text is.
 
     The digest form is longer than KEY_BYTES, so it never meets a verbatim value.
     """
-    digest = F.concat(F.lit("sha256:"), F.sha2(c, 256))
-    return F.when(F.octet_length(c) > KEY_BYTES, digest).otherwise(c)
+    return f"if(octet_length({ref}) > {KEY_BYTES}, concat('sha256:', sha2({ref}, 256)), {ref})"

@@ -1,9 +1,7 @@
-"""Missing values, numbers and keys as plain column expressions."""
+"""Missing values, numbers and keys, as SQL over a column reference."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.text import compact, strip
@@ -14,43 +12,44 @@ INTEGRAL_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 # Spellings a text cell must have to count as a number.  Spark alone would
 # also take '1.0d' and hexadecimal floats.
-NUMBER_PATTERN = r"(?i)^[+-]?(inf|infinity|nan|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)$"
+NUMBER_PATTERN = r"(?i)^[+-]?(inf|infinity|nan|([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?)$"
+
+
+def quoted(name: str) -> str:
+    """A column name as a reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def is_text(dtype: T.DataType) -> bool:
     return isinstance(dtype, TEXT_TYPES)
 
 
-def is_missing(c: Column, dtype: T.DataType) -> Column:
+def is_missing(ref: str, dtype: T.DataType) -> str:
     """NULL and NaN are one notion of missing."""
     if isinstance(dtype, FLOAT_TYPES):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+        return f"({ref} IS NULL OR isnan({ref}))"
+    return f"{ref} IS NULL"
 
 
-def nan_to_null(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, FLOAT_TYPES):
-        return F.nanvl(c, F.lit(None).cast(dtype))
-    return c
+def nan_to_null(ref: str, dtype: T.DataType) -> str:
+    return f"nanvl({ref}, NULL)" if isinstance(dtype, FLOAT_TYPES) else ref
 
 
-def as_number(c: Column, dtype: T.DataType) -> Column | None:
+def as_number(ref: str, dtype: T.DataType) -> str | None:
     """The value to compare with a range, or None for a type that has no number."""
     if isinstance(dtype, T.NumericType):
-        return c
+        return ref
     if isinstance(dtype, T.BooleanType):
-        return c.cast("int")
+        return f"CAST({ref} AS INT)"
     if is_text(dtype):
-        s = strip(c.cast("string"))
-        return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+        text = strip(ref)
+        return f"if({text} RLIKE '{NUMBER_PATTERN}', TRY_CAST({text} AS DOUBLE), NULL)"
     return None
 
 
-def key_value(c: Column, dtype: T.DataType) -> Column:
+def key_value(ref: str, dtype: T.DataType) -> str:
     """The form in which keys are compared: NaN equals NULL, long text by digest."""
-    if is_text(dtype):
-        return compact(c.cast("string"))
-    return nan_to_null(c, dtype)
+    return compact(ref) if is_text(dtype) else nan_to_null(ref, dtype)
 
 
 def bounded_key(dtype: T.DataType) -> bool:

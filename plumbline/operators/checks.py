@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.rules import Rules, outside_range
-from plumbline.functions.text import sql_trim
-from plumbline.functions.values import is_missing, nan_to_null
+from plumbline.functions.values import nan_to_null
 from plumbline.operators.profile import repeated_rows
 from plumbline.operators.table import MAX_BROADCAST_ROWS, Table
 
@@ -29,7 +28,7 @@ def _required(t: Table, names: Sequence[str]) -> list:
 
 
 def _any_outside(t: Table, ranges: Rules) -> Column:
-    tests = [outside_range(f.col, f.dtype, ranges[f.name]) for f in _required(t, list(ranges))]
+    tests = [outside_range(f.ref, f.dtype, ranges[f.name]) for f in _required(t, list(ranges))]
     return reduce(or_, [test for test in tests if test is not None], F.lit(False))
 
 
@@ -41,7 +40,7 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     t = Table(df)
     return t.df.agg(
         *(
-            F.sum(F.when(is_missing(f.col, f.dtype), 1).otherwise(0)).alias(f"missing_{f.name}")
+            F.sum(F.when(f.missing, 1).otherwise(0)).alias(f"missing_{f.name}")
             for f in _required(t, columns)
         ),
         F.count("*").alias("total_rows"),
@@ -53,7 +52,7 @@ def duplicate_key_values(df: DataFrame, key: str) -> DataFrame:
     t = Table(df)
     (field,) = _required(t, [key])
     return (
-        t.df.select(nan_to_null(field.col, field.dtype).alias(key))
+        t.df.select(F.expr(nan_to_null(field.ref, field.dtype)).alias(key))
         .groupBy(F.col(f"`{key}`"))
         .agg(F.count("*").alias("occurrence_count"))
         .where("occurrence_count > 1")
@@ -84,14 +83,14 @@ def categories_outside(df: DataFrame, column: str, allowed: Sequence[str]) -> Da
     lowered = [a.lower() for a in allowed]
     values = t.df.select(field.col.alias(column)).distinct()
     value = F.col(f"`{column}`")
-    return values.where(value.isNotNull() & ~F.lower(sql_trim(value)).isin(lowered))
+    return values.where(value.isNotNull() & ~F.lower(F.trim(value)).isin(lowered))
 
 
 def untrimmed_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct raw values with spaces around them."""
     t = Table(df)
     (field,) = _required(t, [column])
-    return t.df.where(field.col != sql_trim(field.col)).select(field.col.alias(column)).distinct()
+    return t.df.where(field.col != F.trim(field.col)).select(field.col.alias(column)).distinct()
 
 
 def health_snapshot(df: DataFrame, key: str, ranges: Rules, required: Sequence[str]) -> DataFrame:
@@ -101,7 +100,7 @@ def health_snapshot(df: DataFrame, key: str, ranges: Rules, required: Sequence[s
     """
     t = Table(df)
     (key_field,) = _required(t, [key])
-    incomplete = reduce(or_, (is_missing(f.col, f.dtype) for f in _required(t, required)))
+    incomplete = reduce(or_, (f.missing for f in _required(t, required)))
     rows = t.df.select(
         key_field.key.alias("key"),
         F.when(_any_outside(t, ranges), 1).otherwise(0).alias("invalid"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
@@ -12,8 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions.rules import Rules, outside_range
-from plumbline.functions.text import sentence_case, sql_trim
-from plumbline.functions.values import bounded_key
+from plumbline.functions.text import sentence_case
+from plumbline.functions.values import bounded_key, quoted
 from plumbline.operators.table import MAX_BROADCAST_ROWS, ROW, Table, fits_broadcast
 
 
@@ -74,23 +74,23 @@ def keep_first(
 def invalid_flag(df: DataFrame, ranges: Rules) -> Column:
     """1 where any ruled column of `df` is out of range, else 0; NULL is in range."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    quoted = {name: F.col("`" + name.replace("`", "``") + "`") for name in types}
-    tests = [outside_range(quoted[n], types[n], rule) for n, rule in ranges.items() if n in types]
+    tests = [outside_range(quoted(n), types[n], rule) for n, rule in ranges.items() if n in types]
     return F.when(reduce(or_, [t for t in tests if t is not None], F.lit(False)), 1).otherwise(0)
 
 
 def standardize(df: DataFrame, spec: CleanSpec) -> DataFrame:
     """Trim and recase text, add the flag, leave out dropped columns; one projection."""
-    recased: Mapping[str, object] = {
-        **{c: sql_trim for c in spec.trim},
-        **{c: sentence_case for c in spec.sentence},
-    }
     columns = []
     for name in df.columns:
         if name in spec.drop:
             continue
-        c = F.col("`" + name.replace("`", "``") + "`")
-        columns.append(recased[name](c).alias(name) if name in recased else c)
+        ref = quoted(name)
+        if name in spec.sentence:
+            columns.append(F.expr(sentence_case(ref)).alias(name))
+        elif name in spec.trim:
+            columns.append(F.trim(F.col(ref)).alias(name))
+        else:
+            columns.append(F.col(ref))
     if spec.flag_ranges:
         columns.append(invalid_flag(df, spec.flag_ranges).alias(spec.flag))
     return df.select(*columns)

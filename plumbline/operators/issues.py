@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.rules import Rules, outside_range
-from plumbline.functions.values import is_missing
 from plumbline.operators.table import COLUMNS_PER_PASS, MAX_BROADCAST_ROWS, ROW, Table
 
 # Rows logged per column and kind, and the kinds in log order.
@@ -105,14 +104,14 @@ def _duplicates(t: Table, key: str, cap: int) -> DataFrame:
 
 
 def _missing_tests(t: Table) -> list[Test]:
-    return [(MISSING, f.ordinal, f.ordinal, is_missing(f.col, f.dtype)) for f in t.fields]
+    return [(MISSING, f.ordinal, f.ordinal, f.missing) for f in t.fields]
 
 
 def _range_tests(t: Table, rules: Rules) -> list[Test]:
     tests = []
     for place, (name, rule) in enumerate(rules.items()):
         field = t.field(name)
-        test = outside_range(field.col, field.dtype, rule) if field else None
+        test = outside_range(field.ref, field.dtype, rule) if field else None
         if test is not None:
             tests.append((INVALID, place, field.ordinal, test))
     return tests

@@ -13,16 +13,16 @@ one row per task in the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import scoring
-from plumbline.functions.rules import Rules, violates
-from plumbline.functions.text import compact, strip
-from plumbline.functions.values import FLOAT_TYPES, hashable, is_missing, nan_to_null
+from plumbline.functions.rules import Rules, allowed_values, violates
+from plumbline.functions.text import compact, compact_literal, padded, strip, tail
+from plumbline.functions.values import hashable, is_missing, nan_to_null
 from plumbline.operators.table import (
     COLUMNS_PER_PASS,
     MAX_BROADCAST_ROWS,
@@ -42,11 +42,6 @@ def _row(f: Field, **known: str) -> str:
     return f"struct({', '.join([f'{f.ordinal} AS ordinal', *_counts(**known)])})"
 
 
-def _missing(f: Field) -> str:
-    test = f"{f.ref} IS NULL"
-    return f"{test} OR isnan({f.ref})" if isinstance(f.dtype, FLOAT_TYPES) else test
-
-
 def cell_counts(
     t: Table, counted: Sequence[Field], rules: Rules | None = None, listed: Sequence[Field] = ()
 ) -> DataFrame:
@@ -56,7 +51,7 @@ def cell_counts(
     one row per column.
     """
     rules = rules or {}
-    tests = {f.ref: violates(f.col, f.dtype, rules[f.name]) for f in t.fields if f.name in rules}
+    tests = {f.ref: violates(f.ref, f.dtype, rules[f.name]) for f in t.fields if f.name in rules}
     ruled = {ref for ref, test in tests.items() if test is not None}
     fields = [f for f in t.fields if f in counted or f.ref in ruled]
 
@@ -64,7 +59,7 @@ def cell_counts(
     for start in range(0, max(len(fields), 1), COLUMNS_PER_PASS):
         chunk = fields[start : start + COLUMNS_PER_PASS]
         aggregates = [F.expr("count(*) AS total")]
-        aggregates += [F.expr(f"count_if({_missing(f)}) AS missing_{f.ref}") for f in chunk if f in counted]
+        aggregates += [F.expr(f"count_if({is_missing(f.ref, f.dtype)}) AS missing_{f.ref}") for f in chunk if f in counted]
         aggregates += [F.count_if(tests[f.ref]).alias(f"invalid_{f.ref}") for f in chunk if f.ref in ruled]
         rows = []
         for f in chunk:
@@ -79,6 +74,15 @@ def cell_counts(
     return reduce(DataFrame.unionByName, passes)
 
 
+def _text_cells(t: Table, fields: Sequence[Field]) -> DataFrame:
+    """Every cell of the text columns as (ref, value, padded)."""
+    cells = t.df.selectExpr(*t.by_refs, *(f"CAST({f.ref} AS STRING) AS {f.ref}" for f in fields)).unpivot(
+        t.by_refs, [f.ref for f in fields], "ref", "value"
+    )
+    ends = cells.selectExpr("*", f"{tail('value')} AS tail")
+    return ends.selectExpr(*t.by_refs, "ref", "value", f"{padded('value', 'tail')} AS padded")
+
+
 def text_values(t: Table, fields: Sequence[Field]) -> DataFrame:
     """One row per distinct folded value of each text column.
 
@@ -87,40 +91,60 @@ def text_values(t: Table, fields: Sequence[Field]) -> DataFrame:
     casings exist is read off the least and greatest 128-bit fingerprint, a
     fixed-width aggregate that needs no second shuffle by casing.
     """
-    cells = t.df.selectExpr(*t.by_refs, *(f"CAST({f.ref} AS STRING) AS {f.ref}" for f in fields)).unpivot(
-        t.by_refs, [f.ref for f in fields], "ref", "value"
+    stripped = _text_cells(t, fields).selectExpr(
+        *t.by_refs, "ref", "padded", f"if(padded, {strip('value')}, value) AS stripped"
     )
-    stripped = cells.select("*", strip(F.col("value")).alias("stripped"))
-    folded = stripped.selectExpr("*", "lower(stripped) AS folded")
-    keyed = folded.select(
+    folded = stripped.selectExpr("*", "lower(stripped) AS text")
+    keyed = folded.selectExpr(
         *t.by_refs,
         "ref",
-        compact(F.col("folded")).alias("folded"),
-        F.expr("value <> stripped AS padded"),
-        F.expr("xxhash64(stripped) AS mark"),
-        F.expr("xxhash64('casing', stripped) AS mark2"),
+        "padded",
+        f"{compact('text')} AS folded",
+        "xxhash64(stripped) AS mark",
+        "xxhash64('casing', stripped) AS mark2",
     )
-    values = keyed.groupBy(*t.by_refs, "ref", "folded").agg(
+    return keyed.groupBy(*t.by_refs, "ref", "folded").agg(
         F.expr("count(*) AS n"),
         F.expr("count_if(padded) AS padded"),
         F.expr("min(mark) <> max(mark) OR min(mark2) <> max(mark2) AS variants"),
     )
-    return values.selectExpr(*t.by_refs, "CAST(substr(ref, 2) AS INT) AS ordinal", "folded", "n", "padded", "variants")
 
 
-def text_counts(t: Table, fields: Sequence[Field]) -> DataFrame:
-    """Missing and formatting counts of text columns."""
+# Field i is column c<i>.
+_ORDINAL = "CAST(substr(ref, 2) AS INT) AS ordinal"
+
+
+def _listed_only(t: Table, rules: Rules) -> dict[str, list[str]]:
+    """Text columns whose rule is an allow-list alone, with its folded values."""
+    return {
+        f.ref: [compact_literal(a) for a in allowed_values(rules[f.name])]
+        for f in t.text_fields
+        if "allowed" in rules.get(f.name, {}) and not {"min", "max"} & set(rules[f.name])
+    }
+
+
+def text_counts(t: Table, fields: Sequence[Field], allowed: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Missing, formatting and allow-list counts of text columns.
+
+    `allowed` maps column refs to folded values; they are compared once per
+    distinct value rather than once per row.
+    """
+    invalid = F.lit(False)
+    for ref, values in (allowed or {}).items():
+        invalid = invalid | ((F.col("ref") == ref) & ~F.col("folded").isin(list(values)))
     per_column = (
         text_values(t, fields)
-        .groupBy(*t.by_refs, "ordinal")
+        .select("*", (F.col("folded").isNotNull() & invalid).alias("unlisted"))
+        .groupBy(*t.by_refs, "ref")
         .agg(
             F.expr("sum(n) AS total"),
             F.expr("sum(if(folded IS NULL, n, 0L)) AS missing"),
-            F.expr("sum(CASE WHEN folded IS NULL THEN 0L WHEN variants THEN n ELSE padded END) AS formatting"),
+            F.expr("sum(if(unlisted, n, 0L)) AS invalid"),
+            F.expr("sum(if(variants, n, padded)) AS formatting"),
         )
     )
-    known = _counts(total="total", missing="missing", formatting="formatting")
-    return per_column.selectExpr(*t.by_refs, "ordinal", *known)
+    known = _counts(total="total", missing="missing", invalid="invalid", formatting="formatting")
+    return per_column.selectExpr(*t.by_refs, _ORDINAL, *known)
 
 
 def _key_repeats(t: Table, key: Field) -> DataFrame:
@@ -145,14 +169,18 @@ def column_counts(
 ) -> DataFrame:
     """One row per column (and batch): ordinal, column and the COUNTS.
 
-    Text columns are read once, by the text pass, unless they carry a rule.
+    Text columns are read by the text pass alone, allow-lists included, unless
+    they carry a range.
     """
     t = Table(df, row_id, by)
+    rules = rules or {}
     text = t.text_fields
     other = [f for f in t.fields if f not in text]
-    parts = [cell_counts(t, other, rules, listed=t.fields)]
+    allowed = _listed_only(t, rules)
+    cell_rules = {f.name: rules[f.name] for f in t.fields if f.name in rules and f.ref not in allowed}
+    parts = [cell_counts(t, other, cell_rules, listed=t.fields)]
     if text:
-        parts.append(text_counts(t, text))
+        parts.append(text_counts(t, text, allowed))
     key_field = t.field(key)
     if key_field is not None:
         parts.append(key_counts(t, key_field))
@@ -187,7 +215,7 @@ def presence(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     t = Table(df)
     return t.df.select(
         *(
-            (f.col if f.name in keep else F.when(~is_missing(f.col, f.dtype), F.lit(True))).alias(f.name)
+            (f.col if f.name in keep else F.when(~f.missing, F.lit(True))).alias(f.name)
             for f in t.fields
         )
     )
@@ -250,14 +278,8 @@ def padded_values(df: DataFrame, columns: Sequence[str] | None = None, row_id: s
     """Per text column: rows whose value has whitespace around it."""
     t = Table(df, row_id)
     fields = _text_fields(t, columns)
-    passes = []
-    for start in range(0, len(fields), COLUMNS_PER_PASS):
-        chunk = fields[start : start + COLUMNS_PER_PASS]
-        texts = [(f, f.col.cast("string")) for f in chunk]
-        wide = t.df.agg(*(F.count_if(text != strip(text)).alias(f.ref) for f, text in texts))
-        rows = ", ".join(f"struct({f.ordinal} AS ordinal, {f.ref} AS padded_count)" for f in chunk)
-        passes.append(wide.selectExpr(f"inline(array({rows}))"))
-    return reduce(DataFrame.unionByName, passes).select(t.column_name(), "padded_count")
+    counts = _text_cells(t, fields).groupBy("ref").agg(F.expr("count_if(padded) AS padded_count"))
+    return counts.selectExpr(_ORDINAL, "padded_count").select(t.column_name(), "padded_count")
 
 
 def case_variants(df: DataFrame, columns: Sequence[str] | None = None, row_id: str | None = None) -> DataFrame:
@@ -266,11 +288,12 @@ def case_variants(df: DataFrame, columns: Sequence[str] | None = None, row_id: s
     fields = _text_fields(t, columns)
     return (
         text_values(t, fields)
-        .groupBy("ordinal")
+        .groupBy("ref")
         .agg(
             F.expr("count_if(variants) AS variant_values"),
             F.expr("sum(if(variants, n, 0L)) AS variant_rows"),
         )
+        .selectExpr(_ORDINAL, "variant_values", "variant_rows")
         .select(t.column_name(), "variant_values", "variant_rows")
     )
 
@@ -301,13 +324,13 @@ def repeated_rows(
     compared in full, and the table itself is never shuffled.  Otherwise all
     rows are grouped in full.
     """
-    rows = t.df.select(*(nan_to_null(f.col, f.dtype).alias(f.ref) for f in fields))
+    rows = t.df.selectExpr(*(f"{nan_to_null(f.ref, f.dtype)} AS {f.ref}" for f in fields))
     refs = [f.ref for f in fields]
     marked = [f for f in fields if hashable(f.dtype)]
     if marked:
         # The NULL flags keep (NULL, 1) apart from (1, NULL).
-        print_ = F.xxhash64(*(f.col for f in marked), *(f.col.isNull() for f in marked))
-        rows_marked = rows.withColumn("mark", print_)
+        hashed = ", ".join([f.ref for f in marked] + [f"{f.ref} IS NULL" for f in marked])
+        rows_marked = rows.selectExpr("*", f"xxhash64({hashed}) AS mark")
         marks = rows_marked.groupBy("mark").agg(F.expr("count(*) AS n")).where("n > 1").select("mark")
         if fits_broadcast(marks, max_broadcast_rows):
             rows = rows_marked.join(F.broadcast(marks), "mark", "left_semi").select(*refs)

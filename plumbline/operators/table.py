@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.values import is_text, key_value
+from plumbline.functions.values import is_missing, is_text, key_value
 
 # Whole-stage codegen gives up beyond spark.sql.codegen.maxFields (100) fields;
 # wide tables are aggregated in groups of columns that stay below it.
@@ -37,9 +37,13 @@ class Field:
     def col(self) -> Column:
         return F.col(self.ref)
 
+    @property
+    def missing(self) -> Column:
+        return F.expr(is_missing(self.ref, self.dtype))
+
     @property
     def key(self) -> Column:
-        return key_value(self.col, self.dtype)
+        return F.expr(key_value(self.ref, self.dtype))
 
 
 class Table:

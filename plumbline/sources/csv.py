@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.text import strip
-from plumbline.functions.values import NUMBER_PATTERN
+from plumbline.functions.values import NUMBER_PATTERN, quoted
 
 # Cell texts that mean "missing".
 NA_TOKENS = (
@@ -25,11 +25,7 @@ NA_TOKENS = (
 # Cell texts read as booleans.
 BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
-INTEGER_PATTERN = r"^[+-]?\d+$"
-
-
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+INTEGER_PATTERN = "^[+-]?[0-9]+$"
 
 
 def read_text_cells(
@@ -51,7 +47,7 @@ def read_text_cells(
     )
     tokens = list(na_tokens)
     return raw.select(
-        *(F.when(~_quoted(c).isin(tokens), _quoted(c)).alias(c) for c in raw.columns)
+        *(F.when(~F.col(quoted(c)).isin(tokens), F.col(quoted(c))).alias(c) for c in raw.columns)
     )
 
 
@@ -61,19 +57,20 @@ def infer_types(cells: DataFrame) -> T.StructType:
     A column of whole numbers too large for 64 bits stays text, digits intact.
     """
     flat = cells.toDF(*(f"c{i}" for i in range(len(cells.columns))))
+    booleans = ", ".join(f"'{b}'" for b in BOOLEANS)
     aggregates = []
     for ref in flat.columns:
-        value = strip(F.col(ref))
-        whole = value.rlike(INTEGER_PATTERN)
+        whole = f"{ref} RLIKE '{INTEGER_PATTERN}'"
         aggregates += [
-            F.count(ref).alias(f"{ref}_present"),
-            F.count_if(F.col(ref).isNull()).alias(f"{ref}_missing"),
-            F.count_if(whole).alias(f"{ref}_whole"),
-            F.count_if(whole & value.try_cast("bigint").isNull()).alias(f"{ref}_large"),
-            F.count_if(value.rlike(NUMBER_PATTERN)).alias(f"{ref}_number"),
-            F.count_if(F.col(ref).isin(list(BOOLEANS))).alias(f"{ref}_boolean"),
+            f"count({ref}) AS {ref}_present",
+            f"count_if({ref} IS NULL) AS {ref}_missing",
+            f"count_if({whole}) AS {ref}_whole",
+            f"count_if({whole} AND TRY_CAST({ref} AS BIGINT) IS NULL) AS {ref}_large",
+            f"count_if({ref} RLIKE '{NUMBER_PATTERN}') AS {ref}_number",
+            f"count_if({ref} IN ({booleans})) AS {ref}_boolean",
         ]
-    seen = flat.agg(*aggregates).first()
+    stripped = flat.selectExpr(*(f"{strip(ref)} AS {ref}" for ref in flat.columns))
+    seen = stripped.selectExpr(*aggregates).first()
     fields = []
     for ref, name in zip(flat.columns, cells.columns):
         present = seen[f"{ref}_present"]
@@ -116,9 +113,9 @@ def read_csv(
         raise ValueError(f"the file has columns {cells.columns}, the schema {[f.name for f in schema.fields]}")
     columns = []
     for field in schema.fields:
-        c = _quoted(field.name)
+        c = F.col(quoted(field.name))
         if not isinstance(field.dataType, T.StringType):
-            trimmed = strip(c)
+            trimmed = F.expr(strip(quoted(field.name)))
             c = trimmed.try_cast(field.dataType) if bad_cells == "null" else trimmed.cast(field.dataType)
         columns.append(c.alias(field.name))
     return cells.select(*columns)
