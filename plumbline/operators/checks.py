@@ -10,7 +10,6 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,6 +139,6 @@ def run_checks(
                 frame.write.mode("overwrite").parquet(path)
                 frame = spark.read.schema(frame.schema).parquet(path)
             results[label] = frame
-        except (PySparkException, ValueError) as error:
+        except Exception as error:  # whatever stops one check must not stop the others
             results[f"{label}_error"] = str(error)
     return results
