@@ -98,7 +98,7 @@ def test_rule_on_absent_column(spark):
 
 
 def test_range_on_text(spark):
-    values = ["abc", " 12 ", "\t5 ", "1e5", "1.0d", "0x1A", "0x1p3", "1,000", "", None, "-3", "inf", "nan", ".5"]
+    values = ["abc", " 12 ", "\t5\xa0", "1e5", "1.0d", "0x1A", "0x1p3", "1,000", "", None, "-3", "inf", "nan", ".5"]
     df = spark.createDataFrame(list(enumerate(values)), "row_id long, s string")
     bad = [r[0] for r in rows(issues_log(df, "row_id", rules={"s": {"min": 0, "max": 10}})) if r[2] == "invalid_value"]
     assert bad == [1, 3, 10, 11]
@@ -120,7 +120,7 @@ def test_range_on_other_types(spark):
 
 
 def test_allow_list(spark):
-    values = ["A", " a ", " a\t", "b", "", None, "C"]
+    values = ["A", " a ", "\xa0a\t", "b", "", None, "C"]
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "s string, n int")
     rules = {"s": {"allowed": ["a ", "c"]}, "n": {"allowed": [0, 1, "2"]}}
     assert {r.column: r.invalid_count for r in validity(df, rules).collect()} == {"s": 2, "n": 4}
@@ -130,12 +130,12 @@ def test_allow_list(spark):
 
 
 def test_padding_dialects(spark):
-    values = ["x ", "\ty", "z ", "w", "　v", "", "u\x1f"]
+    values = ["x ", "\ty", "z\xa0", "w", "\u3000v", "", "u\x1f"]
     df = spark.createDataFrame([(v,) for v in values], "s string")
     assert consistency(df).first().formatting_issue_count == 5
     assert rows(untrimmed_values(df, "s")) == [("x ",)]
     assert sorted(rows(categories_outside(df, "s", ["X", "w"]))) == sorted(
-        [("\ty",), ("z ",), ("　v",), ("",), ("u\x1f",)]
+        [("\ty",), ("z\xa0",), ("\u3000v",), ("",), ("u\x1f",)]
     )
 
 
