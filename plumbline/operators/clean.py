@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.rules import Rules, outside_range
 from plumbline.functions.text import sentence_case
 from plumbline.functions.values import bounded_key, quoted
-from plumbline.operators.table import MAX_BROADCAST_ROWS, ROW, Table, fits_broadcast
+from plumbline.operators.table import MAX_BROADCAST_ROWS, ROW, Table
 
 
 @dataclass(frozen=True)
@@ -38,10 +38,11 @@ def keep_first(
 ) -> DataFrame:
     """The row with the smallest `row_id` of every key; missing keys are one key.
 
-    Repeated keys are found from the two narrow columns alone.  When they are
-    few, the table is filtered against them without being shuffled.  Otherwise
-    each key's rows are ranked; every task drops all but its own first row of a
-    key before the shuffle, so a hot key sends one row per task.
+    Repeated keys are found from the two narrow columns alone.  When there are
+    none, all rows stay; when they are few, the table is filtered against them
+    without being shuffled.  Otherwise each key's rows are ranked; every task
+    drops all but its own first row of a key before the shuffle, so a hot key
+    sends one row per task.
     """
     t = Table(df, row_id)
     key_field = t.field(key)
@@ -54,7 +55,10 @@ def keep_first(
         .where("n > 1")
         .select("repeated", "first_at")
     )
-    if bounded_key(key_field.dtype) and fits_broadcast(repeated, max_broadcast_rows):
+    n_repeated = repeated.count() if bounded_key(key_field.dtype) else None
+    if n_repeated == 0:
+        return df
+    if n_repeated is not None and n_repeated <= max_broadcast_rows:
         kept = (
             t.df.join(F.broadcast(repeated), key_field.key.eqNullSafe(F.col("repeated")), "left")
             .where(f"first_at IS NULL OR first_at = {ROW}")

@@ -28,7 +28,6 @@ from plumbline.operators.table import (
     MAX_BROADCAST_ROWS,
     Field,
     Table,
-    fits_broadcast,
 )
 
 COUNTS = ("total", "missing", "invalid", "duplicate_keys", "formatting")
@@ -320,9 +319,9 @@ def repeated_rows(
     """The distinct rows over `fields` that occur more than once, with their count `n`.
 
     A row can only be repeated if its 64-bit fingerprint is.  Fingerprints are
-    counted first; when the repeated ones are few, only rows that carry one are
-    compared in full, and the table itself is never shuffled.  Otherwise all
-    rows are grouped in full.
+    counted first.  When none is repeated, the table is not read again; when the
+    repeated ones are few, only rows that carry one are compared in full, and
+    the table itself is not shuffled.  Otherwise all rows are grouped in full.
     """
     rows = t.df.selectExpr(*(f"{nan_to_null(f.ref, f.dtype)} AS {f.ref}" for f in fields))
     refs = [f.ref for f in fields]
@@ -332,7 +331,10 @@ def repeated_rows(
         hashed = ", ".join([f.ref for f in marked] + [f"{f.ref} IS NULL" for f in marked])
         rows_marked = rows.selectExpr("*", f"xxhash64({hashed}) AS mark")
         marks = rows_marked.groupBy("mark").agg(F.expr("count(*) AS n")).where("n > 1").select("mark")
-        if fits_broadcast(marks, max_broadcast_rows):
+        n_marks = marks.count()
+        if n_marks == 0:
+            rows = rows.where("false")
+        elif n_marks <= max_broadcast_rows:
             rows = rows_marked.join(F.broadcast(marks), "mark", "left_semi").select(*refs)
     return rows.groupBy(*refs).agg(F.expr("count(*) AS n")).where("n > 1")
 

@@ -22,7 +22,8 @@ COLUMNS_PER_PASS = 40
 # The row order column inside a Table.
 ROW = "row_index"
 
-# The most rows ever handed to broadcast(); sides that may exceed it take another plan.
+# The most rows handed to broadcast(), counted first; sides beyond it take another plan.
+# Such rows have bounded width: fixed-width types, or text cut to a digest.
 MAX_BROADCAST_ROWS = 500_000
 
 
@@ -88,12 +89,3 @@ class Table:
 
     def column_name(self, ordinal: str = "ordinal") -> Column:
         return F.array(*(F.lit(f.name) for f in self.fields))[F.col(ordinal)].alias("column")
-
-
-def fits_broadcast(rows: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Count `rows` now and say whether they may be broadcast.
-
-    Callers pass rows of bounded width: fixed-width types, or text that `compact`
-    has cut to a digest.
-    """
-    return rows.count() <= max_rows

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Add the 0-based position of each row, counting through the files by path.
 
-    `df` must read files and keep their rows apart by no more than projections.
-    Rows of one file split sit next to each other in one task, so a position is
-    the number of rows in earlier splits plus the distance from the split's
-    first row.  Only one row per split is ever sorted; the table is not.
+    `df` must read files, with nothing but projections and filters on top; rows
+    that a filter drops are not counted.  Rows of one file split sit next to each
+    other in one task, so a position is the number of rows in earlier splits plus
+    the distance from the split's first row.  The only thing sorted is one row
+    per split.
     """
     if name in df.columns:
         raise ValueError(f"column {name} already exists")
