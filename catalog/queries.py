@@ -421,3 +421,10 @@ def stream_scores(spark, sf_dir):
     )
     writer.trigger(availableNow=True).start().awaitTermination()
     return pl.stream_history(spark, f"{folder}/history")
+
+
+@query
+def duplicate_rows_documents(spark, sf_dir):
+    """Documents with the same text, language and source."""
+    documents = views.table(spark, sf_dir, "documents")
+    return pl.duplicate_rows(documents.select("text", "lang", "source"))

@@ -13,16 +13,17 @@ one row per task in the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions import scoring
 from plumbline.functions.rules import Rules, allowed_values, violates
 from plumbline.functions.text import compact, compact_literal, padded, strip, tail
-from plumbline.functions.values import hashable, is_missing, nan_to_null
+from plumbline.functions.values import hashable, is_missing, key_value, nan_to_null
 from plumbline.operators.table import (
     COLUMNS_PER_PASS,
     MAX_BROADCAST_ROWS,
@@ -314,7 +315,10 @@ def key_uniqueness(df: DataFrame, key: str, row_id: str | None = None, by: Seque
 
 
 def repeated_rows(
-    t: Table, fields: Sequence[Field], max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    t: Table,
+    fields: Sequence[Field],
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    form: Callable[[str, T.DataType], str] = nan_to_null,
 ) -> DataFrame:
     """The distinct rows over `fields` that occur more than once, with their count `n`.
 
@@ -322,29 +326,34 @@ def repeated_rows(
     counted first.  When none is repeated, the table is not read again; when the
     repeated ones are few, only rows that carry one are compared in full, and
     the table itself is not shuffled.  Otherwise all rows are grouped in full.
+    `form` is the form in which cells are compared and returned.
     """
-    rows = t.df.selectExpr(*(f"{nan_to_null(f.ref, f.dtype)} AS {f.ref}" for f in fields))
-    refs = [f.ref for f in fields]
+    rows = t.df
     marked = [f for f in fields if hashable(f.dtype)]
     if marked:
         # The NULL flags keep (NULL, 1) apart from (1, NULL).
-        hashed = ", ".join([f.ref for f in marked] + [f"{f.ref} IS NULL" for f in marked])
-        rows_marked = rows.selectExpr("*", f"xxhash64({hashed}) AS mark")
-        marks = rows_marked.groupBy("mark").agg(F.expr("count(*) AS n")).where("n > 1").select("mark")
+        cells = [nan_to_null(f.ref, f.dtype) for f in marked]
+        mark = f"xxhash64({', '.join([*cells, *(f'{c} IS NULL' for c in cells)])}) AS mark"
+        marks = rows.selectExpr(mark).groupBy("mark").agg(F.expr("count(*) AS n")).where("n > 1").select("mark")
         n_marks = marks.count()
         if n_marks == 0:
             rows = rows.where("false")
         elif n_marks <= max_broadcast_rows:
-            rows = rows_marked.join(F.broadcast(marks), "mark", "left_semi").select(*refs)
-    return rows.groupBy(*refs).agg(F.expr("count(*) AS n")).where("n > 1")
+            rows = rows.selectExpr("*", mark).join(F.broadcast(marks), "mark", "left_semi")
+    refs = [f.ref for f in fields]
+    compared = rows.selectExpr(*(f"{form(f.ref, f.dtype)} AS {f.ref}" for f in fields))
+    return compared.groupBy(*refs).agg(F.expr("count(*) AS n")).where("n > 1")
 
 
 def duplicate_rows(
     df: DataFrame, row_id: str | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
-    """One row: rows equal to an earlier row in every column (NULL and NaN equal)."""
+    """One row: rows equal to an earlier row in every column (NULL and NaN equal).
+
+    Only counts are wanted, so long text is compared by digest.
+    """
     t = Table(df, row_id)
-    repeats = repeated_rows(t, t.fields, max_broadcast_rows).selectExpr("0L AS total", "n - 1 AS repeats")
+    repeats = repeated_rows(t, t.fields, max_broadcast_rows, key_value).selectExpr("0L AS total", "n - 1 AS repeats")
     total = t.df.selectExpr("count(*) AS total", "0L AS repeats")
     both = total.unionByName(repeats).selectExpr("sum(total) AS total", "sum(repeats) AS repeats")
     return both.selectExpr(
