@@ -259,6 +259,21 @@ def staging_load(spark, sf_dir):
     return pl.load_staging(spark, f"{folder}/raw", path=f"{folder}/staging", schema=raw.schema)
 
 
+@query
+def staging_inferred(spark, sf_dir):
+    """The same without a schema: numbers are inferred, all else stays text."""
+    folder = shared_folder(spark, "staging-inferred")
+    pl.write_csv(views.dirty_customer(spark, sf_dir), f"{folder}/raw")
+    return pl.load_staging(spark, f"{folder}/raw", path=f"{folder}/staging")
+
+
+@query
+def row_positions(spark, sf_dir):
+    """Every order with its position in the files."""
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return pl.with_row_id(orders, "row_index")
+
+
 # --- cleaning -------------------------------------------------------------
 
 
@@ -353,6 +368,15 @@ def issue_type_counts(spark, sf_dir):
     return pl.issue_type_counts(_customer_issues(spark, sf_dir))
 
 
+@query
+def report_files(spark, sf_dir):
+    """The scorecard as a dashboard reads it back from the written report."""
+    folder = shared_folder(spark, "report-files")
+    data = views.dirty_customer(spark, sf_dir)
+    done = pl.Inspection(data, CUSTOMER_KEY, views.CUSTOMER_RULES, "row_id").run()
+    return pl.read_csv(spark, done.write(folder)["scorecard"])
+
+
 @query
 def table_shape(spark, sf_dir):
     return pl.shape(views.loan_applications(spark, sf_dir).select(LOAN_SCHEMA.fieldNames()))

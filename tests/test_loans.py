@@ -209,6 +209,21 @@ def test_date_formats(loans):
     assert got == {"yyyy-MM-dd": 5, "dd-MMM-yyyy": 1, "ambiguous": 2}
 
 
+def test_date_format_labels(spark):
+    values = ["2024-01-31", "31/01/2024", "01/31/2024", "05/06/2024", "31/31/2024", "7-Mar-2024", "07-Mar-2024"]
+    df = spark.createDataFrame([(v,) for v in [*values, "soon", None]], "d string")
+    got = {r.date_format: r.n_rows for r in date_formats(df, ["d"]).collect()}
+    assert got == {
+        "yyyy-MM-dd": 1,
+        "dd/MM/yyyy": 1,
+        "MM/dd/yyyy": 1,
+        "ambiguous": 1,
+        "dd-MMM-yyyy": 1,
+        "other": 3,
+        "missing": 1,
+    }
+
+
 def test_inspection(loans):
     inspection = Inspection(loans, KEY, LOAN_RULES, "row_id")
     with pytest.raises(RuntimeError):
