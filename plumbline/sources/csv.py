@@ -52,42 +52,38 @@ def read_text_cells(
 
 
 def infer_types(cells: DataFrame) -> T.StructType:
-    """One aggregate over text cells: whole numbers, numbers, booleans, else text.
+    """Whole numbers, numbers, booleans, else text, from one aggregate per column.
 
-    A column of whole numbers too large for 64 bits stays text, digits intact.
+    Each cell is one kind, a bit; a column's type follows from the kinds it has.
+    A column of whole numbers too large for 64 bits stays text, digits intact,
+    as does one without rows; one with nothing but missing cells is a number.
     """
+    missing, boolean, whole, large, number, text = (1 << i for i in range(6))
     flat = cells.toDF(*(f"c{i}" for i in range(len(cells.columns))))
-    booleans = ", ".join(f"'{b}'" for b in BOOLEANS)
-    aggregates = []
-    for ref in flat.columns:
-        whole = f"{ref} RLIKE '{INTEGER_PATTERN}'"
-        aggregates += [
-            f"count({ref}) AS {ref}_present",
-            f"count_if({ref} IS NULL) AS {ref}_missing",
-            f"count_if({whole}) AS {ref}_whole",
-            f"count_if({whole} AND TRY_CAST({ref} AS BIGINT) IS NULL) AS {ref}_large",
-            f"count_if({ref} RLIKE '{NUMBER_PATTERN}') AS {ref}_number",
-            f"count_if({ref} IN ({booleans})) AS {ref}_boolean",
-        ]
     stripped = flat.selectExpr(*(f"{strip(ref)} AS {ref}" for ref in flat.columns))
-    seen = stripped.selectExpr(*aggregates).first()
-    fields = []
-    for ref, name in zip(flat.columns, cells.columns):
-        present = seen[f"{ref}_present"]
-        if present == 0:
-            dtype = T.DoubleType()
-        elif seen[f"{ref}_boolean"] == present and seen[f"{ref}_missing"] == 0:
-            dtype = T.BooleanType()
-        elif seen[f"{ref}_large"]:
-            dtype = T.StringType()
-        elif seen[f"{ref}_whole"] == present:
-            dtype = T.LongType()
-        elif seen[f"{ref}_number"] == present:
-            dtype = T.DoubleType()
-        else:
-            dtype = T.StringType()
-        fields.append(T.StructField(name, dtype))
-    return T.StructType(fields)
+    booleans = ", ".join(f"'{b}'" for b in BOOLEANS)
+    kinds = stripped.selectExpr(
+        *(
+            f"""bit_or(CASE WHEN {ref} IS NULL THEN {missing}
+                            WHEN {ref} IN ({booleans}) THEN {boolean}
+                            WHEN {ref} RLIKE '{INTEGER_PATTERN}'
+                            THEN if(TRY_CAST({ref} AS BIGINT) IS NULL, {large}, {whole})
+                            WHEN {ref} RLIKE '{NUMBER_PATTERN}' THEN {number}
+                            ELSE {text} END) AS {ref}"""
+            for ref in flat.columns
+        )
+    ).first()
+
+    def inferred(seen: int | None) -> T.DataType:
+        if seen is None or seen & (large | text):
+            return T.StringType()
+        if seen == boolean:
+            return T.BooleanType()
+        if seen & boolean:
+            return T.StringType()
+        return T.LongType() if seen & ~missing == whole else T.DoubleType()
+
+    return T.StructType([T.StructField(name, inferred(seen)) for name, seen in zip(cells.columns, kinds)])
 
 
 def read_csv(
