@@ -8,18 +8,24 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task works on at once.
 SLICE_BYTES = 4 << 20
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def column(name: str) -> Column:
+    """A column by its exact name, dots and back-ticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def slices(batches: Iterable[pa.RecordBatch], name: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in runs of about `most` bytes of a column, never less than one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(size, dtype=np.int64)
         start = 0
         while start < batch.num_rows:

@@ -9,9 +9,8 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from plumbline.llm.common import slices
+from plumbline.llm.common import column, slices
 
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -214,7 +213,7 @@ def extract_main_text(pages: DataFrame, keys: list[str], html: str = "html") ->
     """
     slots = [f"k{i}" for i in range(len(keys))]
     rows = pages.select(
-        *(F.col(_quoted(c)).alias(s) for c, s in zip(keys, slots, strict=True)), F.col(_quoted(html)).alias("html")
+        *(column(c).alias(s) for c, s in zip(keys, slots, strict=True)), column(html).alias("html")
     )
     schema = rows.drop("html").schema.add("text", "string", False).add("n_chars", "long", False)
 
@@ -226,7 +225,3 @@ def extract_main_text(pages: DataFrame, keys: list[str], html: str = "html") ->
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string()), counts], [*slots, "text", "n_chars"])
 
     return rows.mapInArrow(run, schema).toDF(*keys, "text", "n_chars")
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.llm import bpe
 from plumbline.llm.html_text import extract_main_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +21,14 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    documents = _table(spark, sf_dir, "documents")
+    return bpe.digests(bpe.encode(documents, ["doc_id"], "text", path, public_tokenizers.PATTERN, True), ["doc_id"])
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_html_extraction,)}
+    return {f.__name__: f for f in (op3_html_extraction, op6_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
