@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe
+from plumbline.llm import bpe, toxicity
 from plumbline.llm.html_text import extract_main_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,8 +27,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(documents, ["doc_id"], "text", path, public_tokenizers.PATTERN, True), ["doc_id"])
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_html_extraction, op6_bpe)}
+    return {f.__name__: f for f in (op3_html_extraction, op6_bpe, op7_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
