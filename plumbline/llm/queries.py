@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, toxicity
+from plumbline.llm import bpe, langid, toxicity
 from plumbline.llm.html_text import extract_main_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(_table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = _table(spark, sf_dir, "documents")
@@ -32,7 +36,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_html_extraction, op6_bpe, op7_toxicity)}
+    return {f.__name__: f for f in (op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
