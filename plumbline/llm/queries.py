@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm import bpe, langid, toxicity
 from plumbline.llm.html_text import extract_main_text
+from plumbline.llm.multi_index import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +36,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity)}
+    return {f.__name__: f for f in (op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
