@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, langid, toxicity
+from plumbline.llm import bpe, langid, preference, toxicity
 from plumbline.llm.html_text import extract_main_text
 from plumbline.llm.multi_index import near_duplicates
 
@@ -36,13 +36,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.digest(_table(spark, sf_dir, "conversations"))
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op9_preference_formatting, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_preference_formatting": preference.ORACLE_SQL}
