@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm import bpe, langid, preference, toxicity
+from plumbline.llm.decontamination import contamination
 from plumbline.llm.html_text import extract_main_text
 from plumbline.llm.multi_index import near_duplicates
 
@@ -18,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
 
@@ -45,7 +50,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op9_preference_formatting, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op9_preference_formatting, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
