@@ -11,6 +11,7 @@ from plumbline.llm import bpe, langid, preference, toxicity
 from plumbline.llm.decontamination import contamination
 from plumbline.llm.html_text import extract_main_text
 from plumbline.llm.multi_index import near_duplicates
+from plumbline.llm.ngram_join import similar_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.digest(_table(spark, sf_dir, "conversations"))
 
@@ -50,7 +55,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op9_preference_formatting, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op8_ngram_jaccard_join, op9_preference_formatting, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
