@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, langid, preference, toxicity
+from plumbline.llm import bpe, langid, preference, repeats, toxicity
 from plumbline.llm.decontamination import contamination
 from plumbline.llm.html_text import extract_main_text
 from plumbline.llm.multi_index import near_duplicates
@@ -24,6 +24,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
 
@@ -55,7 +59,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op8_ngram_jaccard_join, op9_preference_formatting, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op8_ngram_jaccard_join, op9_preference_formatting, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
