@@ -106,7 +106,8 @@ def score(
         .withColumn("part", curve.cast("int"))
     )
     texts = documents.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
-    rows = texts.where(learn).join(told, "doc_id").select((F.col("label") * 2 + F.col("part")).alias("class"), "text")
+    # Labels are few per document but grow with the corpus: the join is never a broadcast, at any size.
+    rows = texts.where(learn).join(told.hint("merge"), "doc_id").select((F.col("label") * 2 + F.col("part")).alias("class"), "text")
     counts = count_grams(rows).toArrow()
 
     ones = told.agg(F.sum("label").alias("ones"), F.count("*").alias("rows")).first()
