@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, slices, written
+from plumbline.llm.common import column, packed, slices, unpacked, written
 from plumbline.llm.components import components
 from plumbline.llm.shingles import distinct, mixed, shingles
 
@@ -233,30 +233,12 @@ def _batch(kind: int, x, y, n, pos) -> pa.RecordBatch:
     )
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """The documents with their texts compressed, for a cheaper shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd", 3)
-        for batch in slices(batches, "text"):
-            texts = [x or b"" for x in batch.column("text").to_pylist()]
-            packed = pa.array([codec.compress(x, asbytes=True) for x in texts], pa.binary())
-            size = pa.array([len(x) for x in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), size, packed], ["doc_id", "size", "packed"])
-
-    return docs.mapInArrow(run, "doc_id long, size long, packed binary")
-
-
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The whole sets of the wanted nodes; wanted: `node` and the id of a document that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd")
         for batch in slices(batches, "packed", 2 << 20):
-            sizes = batch.column("size").to_pylist()
-            packed = batch.column("packed").to_pylist()
-            texts = [codec.decompress(x, n, asbytes=True) for x, n in zip(packed, sizes, strict=True)]
-            values, size = distinct(*shingles(texts))
+            values, size = distinct(*shingles(unpacked(batch)))
             node = _sums(values, size, 1).view(np.int64)
             right = node == batch.column("node").to_numpy()  # several documents may have one id
             offsets = np.concatenate([[0], np.cumsum(size[right])]).astype(np.int32)
@@ -265,7 +247,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(node[right]), sets], ["node", "set"])
 
     # Both sides grow with the corpus: never a broadcast, at any size.
-    rows = _packed(docs).join(wanted.hint("merge"), "doc_id").select("node", "size", "packed")
+    rows = packed(docs).join(wanted.hint("merge"), "doc_id").select("node", "size", "packed")
     return rows.mapInArrow(run, "node long, set array<long>").dropDuplicates(["node"])
 
 

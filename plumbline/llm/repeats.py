@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, slices, written
+from plumbline.llm.common import column, packed, slices, unpacked, written
 from plumbline.llm.shingles import mixed
 
 #: Bytes that must repeat.
@@ -128,26 +128,6 @@ def _parse(docs: DataFrame, length: int) -> DataFrame:
 _PARSE = "trigger long, d1 long, d2 long, id long, hash long, start long, number long"
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """The texts compressed, for a cheaper shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd", 3)
-        for batch in slices(batches, "text"):
-            texts = [x or b"" for x in batch.column("text").to_pylist()]
-            packed = pa.array([codec.compress(x, asbytes=True) for x in texts], pa.binary())
-            size = pa.array([len(x) for x in texts], pa.int64())
-            columns = [batch.column("id"), batch.column("hash"), size, packed]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "hash", "size", "packed"])
-
-    return docs.mapInArrow(run, "id long, hash long, size long, packed binary")
-
-
-def _texts(batch: pa.RecordBatch, codec: pa.Codec) -> list[bytes]:
-    sizes, packed = batch.column("size").to_pylist(), batch.column("packed").to_pylist()
-    return [codec.decompress(x, n, asbytes=True) for x, n in zip(packed, sizes, strict=True)]
-
-
 def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of the wanted phrases; of those with a frequent trigger, a digest of each stretch."""
     lists = wanted.groupBy("id", "hash").agg(
@@ -155,11 +135,10 @@ def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd")
         for batch in slices(batches, "packed", CHUNK_BYTES):
             rows = []
             keys = zip(batch.column("id").to_pylist(), batch.column("hash").to_pylist(), strict=True)
-            for (id_, hash_), text, list_ in zip(keys, _texts(batch, codec), batch.column("phrases").to_pylist(), strict=True):
+            for (id_, hash_), text, list_ in zip(keys, unpacked(batch), batch.column("phrases").to_pylist(), strict=True):
                 for p in list_:
                     start, number = p["start"], p["number"]
                     if p["frequent"]:
@@ -176,7 +155,7 @@ def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             if rows:
                 yield _rows(rows)
 
-    both = _packed(docs).join(lists.hint("merge"), ["id", "hash"])
+    both = packed(docs).join(lists.hint("merge"), ["id", "hash"])
     return both.mapInArrow(run, _CUT)
 
 
@@ -245,10 +224,9 @@ def _removed(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     names = ["id", "hash", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd")
         for batch in slices(batches, "packed"):
             results = []
-            for text, list_ in zip(_texts(batch, codec), batch.column("spans").to_pylist(), strict=True):
+            for text, list_ in zip(unpacked(batch), batch.column("spans").to_pylist(), strict=True):
                 kept, at, removed, runs, stop = [], 0, 0, 0, -1
                 for span in sorted((x["first"], x["stop"] + length - 1) for x in list_ or ()):
                     if span[0] > stop:  # a new run: it doesn't touch the one before
@@ -265,7 +243,7 @@ def _removed(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
             columns = [pa.array(x, t) for x, t in zip(zip(*results, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("hash"), *columns], names)
 
-    both = _packed(docs).join(lists.hint("merge"), ["id", "hash"], "left")
+    both = packed(docs).join(lists.hint("merge"), ["id", "hash"], "left")
     return both.mapInArrow(run, "id long, hash long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, slices, written
+from plumbline.llm.common import column, packed, slices, written
 from plumbline.llm.wordmodel import Codes, WordModel, count_grams, words
 
 #: Labelled rows the logistic curve is fitted on, at most; taken in the order of a hash of their features.
@@ -107,7 +107,8 @@ def score(
     )
     texts = documents.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
     # Labels are few per document but grow with the corpus: the join is never a broadcast, at any size.
-    rows = texts.where(learn).join(told.hint("merge"), "doc_id").select((F.col("label") * 2 + F.col("part")).alias("class"), "text")
+    rows = packed(texts.where(learn)).join(told.hint("merge"), "doc_id")
+    rows = rows.select((F.col("label") * 2 + F.col("part")).alias("class"), "size", "packed")
     counts = count_grams(rows).toArrow()
 
     ones = told.agg(F.sum("label").alias("ones"), F.count("*").alias("rows")).first()

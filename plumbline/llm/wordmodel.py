@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import slices
+from plumbline.llm.common import slices, unpacked
 
 #: Bins of a letter with its context, of three letters, and letters of context.
 BINS, SHORT_BINS, CONTEXT = 1 << 19, 1 << 16, 4
@@ -77,20 +77,27 @@ class Grams:
 
 
 def count_grams(rows: DataFrame, bins: int = BINS, extra=None) -> DataFrame:
-    """Counts of every bin for each class, over whole texts; rows: `class` int, `text`.
+    """Counts of every bin for each class, over whole texts; rows: `class` int, and `text` or packed texts.
 
-    Each task adds up what it has read before anything is shuffled: at most one row per class and bin.
-    `extra(words, times)` may give counts under negative bins. Null texts and classes are skipped.
+    Bins from `bins` on count contexts. Each task adds up what it has read before anything is shuffled:
+    at most one row per class and bin. `extra(words, times)` may give counts under negative bins. Null
+    texts and classes are skipped.
     """
 
+    source = "text" if "text" in rows.columns else "packed"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[tuple[int, int], int] = {}
         counts: dict[int, np.ndarray] = {}
         attributes = np.full((3, bins), -1, np.int32)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, source):
+            if source == "text":
+                texts = batch.column("text").to_pylist()
+            else:
+                texts = [str(x, "utf-8", "replace") for x in unpacked(batch)]
             by_class: dict[int, Codes] = {}
             times: dict[int, list[np.ndarray]] = {}
-            for label, text in zip(batch.column("class").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for label, text in zip(batch.column("class").to_pylist(), texts, strict=True):
                 if label is None or not text:
                     continue
                 codes = by_class.setdefault(label, Codes())
@@ -103,15 +110,18 @@ def count_grams(rows: DataFrame, bins: int = BINS, extra=None) -> DataFrame:
                 often = np.bincount(np.concatenate(times[label]), minlength=len(unique))
                 grams = Grams(unique, bins)
                 if label not in counts:
-                    counts[label] = np.zeros(bins, np.int64)
-                counts[label] += np.bincount(grams.bin, often[grams.word], bins).astype(np.int64)
+                    counts[label] = np.zeros(2 * bins, np.int64)
+                at = np.concatenate([grams.bin, grams.context + bins])
+                counts[label] += np.bincount(at, np.tile(often[grams.word], 2), 2 * bins).astype(np.int64)
                 for line, what in zip(attributes, (grams.context, grams.short, grams.short_context), strict=True):
-                    line[grams.bin] = what
+                    np.maximum.at(line, grams.bin, what)  # of grams that share a bin, always the same one
                 for key, n in (extra(unique, often) if extra else {}).items():
                     totals[label, key] = totals.get((label, key), 0) + int(n)
         for label, line in counts.items():
-            used = np.flatnonzero(line)
+            used = np.flatnonzero(line[:bins])
             yield _count_batch(label, used, *attributes[:, used], line[used])
+            used = np.flatnonzero(line[bins:])
+            yield _count_batch(label, used + bins, *np.full((3, len(used)), -1), line[used + bins])
         for (label, key), n in totals.items():
             yield _count_batch(label, *(np.array([x]) for x in (key, -1, -1, -1, n)))
 
@@ -135,20 +145,23 @@ class WordModel:
         """groups: for each class of the model, the classes of the counts that it adds up."""
         self.bins = bins
         column = {name: counts.column(name).to_numpy() for name in counts.column_names}
-        real = column["bin"] >= 0
-        column = {name: x[real] for name, x in column.items()}
+        context = column["bin"] >= bins
+        contexts = {name: x[context] for name, x in column.items()}
+        gram = (column["bin"] >= 0) & ~context
+        column = {name: x[gram] for name, x in column.items()}
         k = len(groups)
         self.count = np.zeros((bins, k), np.float32)
         self.total = np.zeros((bins, k), np.float32)
         self.types = np.zeros((bins, k), np.float32)
         attributes = np.full((3, bins), -1, np.int64)
         for line, name in zip(attributes, ("context", "short", "short_context"), strict=True):
-            line[column["bin"]] = column[name]
+            np.maximum.at(line, column["bin"], column[name])
         for at, group in enumerate(groups):
             own = np.isin(column["class"], group)
             self.count[:, at] = np.bincount(column["bin"][own], column["n"][own], bins)
             seen = np.flatnonzero(self.count[:, at])
-            self.total[:, at] = np.bincount(attributes[0, seen], self.count[seen, at], bins)
+            own = np.isin(contexts["class"], group)
+            self.total[:, at] = np.bincount(contexts["bin"][own] - bins, contexts["n"][own], bins)
             self.types[:, at] = np.bincount(attributes[0, seen], minlength=bins)
         seen = np.flatnonzero(self.count.sum(axis=1))
         longer = np.bincount(attributes[1, seen], minlength=SHORT_BINS)  # longer contexts of three letters
@@ -169,6 +182,8 @@ class WordModel:
         shared = (self.shared[grams.short] + self.shared_rest[grams.short_context]) / np.maximum(total, 1)
         shared = np.where(total > 0, np.maximum(shared, FLOOR * 1e-3), FLOOR)[:, None]
         total = self.total[grams.context]
-        own = np.maximum(self.count[grams.bin] - DISCOUNT, 0) + DISCOUNT * self.types[grams.context] * shared
+        # A bin may hold other grams as well, but no gram is more frequent than its context, which has one at least.
+        count = np.minimum(self.count[grams.bin], total)
+        own = np.maximum(count - DISCOUNT, 0) + DISCOUNT * np.maximum(self.types[grams.context], 1) * shared
         logs = np.log(np.where(total > 0, own / np.maximum(total, 1), shared))
         return np.add.reduceat(logs, np.flatnonzero(np.diff(grams.word, prepend=-1)), axis=0)
