@@ -24,7 +24,7 @@ THRESHOLD = 75
 #: Bins in which the shingles of all documents are counted, to know the frequent ones.
 BINS_LOG2 = 18
 #: In lists of up to this many groups all pairs are compared at once; longer ones have so many leaders.
-SHORT, LEADERS = 64, 4
+SHORT, LEADERS = 64, 16
 #: Rows that a part of a very frequent shingle's list should have.
 PART_ROWS = 4096
 #: Sets that a task remembers, so as not to list copies again.
@@ -79,6 +79,23 @@ def _sums(values: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
         return mixed(total[stops] - total[stops - size] + size.astype(np.uint64) * np.uint64(2 * seed + 1))
 
 
+def _outline(values: np.ndarray) -> bytes:
+    """How many values of a set fall in each of about a quarter as many bins, 255 standing for any more."""
+    bits = min(max((len(values) // 4).bit_length(), 4), 12)
+    counts = np.bincount(values >> np.uint64(64 - bits), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _overlap_bound(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
+    """What the overlap of two sets can be at most, given their outlines and sizes."""
+    x, y = (np.frombuffer(o, np.uint8).astype(np.int64) for o in (a, b))
+    if (x == 255).any() or (y == 255).any():
+        return min(n_a, n_b)
+    size = min(len(x), len(y))
+    x, y = (o.reshape(size, -1).sum(axis=1) for o in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
 class _Prefixes:
     """Nodes, groups and prefixes of a slice of texts."""
 
@@ -97,6 +114,7 @@ class _Prefixes:
         first = place < np.repeat(length, size)
         self.length, self.place = length, place[first]
         self.token = order[first] & np.uint64((1 << 56) - 1)
+        self.outline = [_outline(values[b - s : b]) for b, s in zip(stops.tolist(), size.tolist(), strict=True)]
         self.group = (_sums(self.token, length, 3) ^ mixed(size.astype(np.uint64))).view(np.int64)
         self.parts = frequent.parts[self.token >> np.uint64(56 - BINS_LOG2)].astype(np.uint64)
 
@@ -111,15 +129,16 @@ class _Prefixes:
 
 
 def _nodes(docs: DataFrame, frequent, threshold: int) -> DataFrame:
-    """For each document its node, size and group."""
+    """For each document its node, size, group and outline."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             p = _Prefixes([x or b"" for x in batch.column("text").to_pylist()], frequent.value, threshold)
             arrays = [batch.column("doc_id"), *map(pa.array, (p.node, p.size.astype(np.int64), p.group))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "node", "n", "group"])
+            arrays.append(pa.array(p.outline, pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "node", "n", "group", "outline"])
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, group long")
+    return docs.mapInArrow(run, "doc_id long, node long, n long, group long, outline binary")
 
 
 def _lists(docs: DataFrame, frequent, threshold: int) -> DataFrame:
@@ -247,8 +266,31 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(node[right]), sets], ["node", "set"])
 
     # Both sides grow with the corpus: never a broadcast, at any size.
+    # A repeated row gives its set again, which only gives its links again.
     rows = packed(docs).join(wanted.hint("merge"), "doc_id").select("node", "size", "packed")
-    return rows.mapInArrow(run, "node long, set array<long>").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node long, set array<long>")
+
+
+def _promising(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs of nodes whose outlines allow for enough overlap, and that overlap by the sum of sizes."""
+    a, b = (
+        nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("outline").alias(f"outline_{c}"))
+        for c in "ab"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
+            outlines = batch.column("outline_a").to_pylist(), batch.column("outline_b").to_pylist()
+            rows = zip(*outlines, n_a, n_b, strict=True)
+            most = np.array([_overlap_bound(x, y, i, j) for x, y, i, j in rows], np.int64)
+            sizes = np.array(n_a, np.int64) + np.array(n_b, np.int64)
+            out = [batch.column("a"), batch.column("b"), pa.array(most / np.maximum(sizes, 1))]
+            kept = pa.array(_enough(most, sizes, 0, threshold))
+            yield pa.RecordBatch.from_arrays(out, ["a", "b", "most"]).filter(kept)
+
+    both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
+    return both.select("a", "b", "n_a", "n_b", "outline_a", "outline_b").mapInArrow(run, "a long, b long, most double")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -283,35 +325,30 @@ def similar_documents(
     frequent = docs.sparkSession.sparkContext.broadcast(_frequencies(docs))
     base = written(_nodes(docs, frequent, threshold), "shingle-nodes")
     known = base.where("n > 0 AND doc_id IS NOT NULL").groupBy("node", "group")
-    nodes = written(known.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "nodes")
+    nodes = known.agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "outline")))
+    nodes = written(nodes, "nodes")
     lists = _lists(docs, frequent, threshold).repartition("list").sortWithinPartitions("list", "group")
     found = written(_scan(lists, threshold), "lists")
 
-    # Groups stand for their first node; other nodes of a group are compared with it.
-    groups = nodes.groupBy("group").agg(F.min("node").alias("first"), F.count("*").alias("nodes"))
-    group_pairs = found.where(F.col("kind") == _PAIR).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    leaders = found.where(F.col("kind") == _LEADER).select("x", "y")
-    chief = leaders.groupBy("x").agg(F.min("y").alias("chief"))
-    chief_pairs = leaders.join(chief, "x").where("y > chief").select(F.col("chief").alias("a"), F.col("y").alias("b"))
-    group_pairs = group_pairs.union(chief_pairs).distinct()
-    first_a = groups.select(F.col("group").alias("a"), F.col("first").alias("first_a"))
-    first_b = groups.select(F.col("group").alias("b"), F.col("first").alias("first_b"))
-    between = group_pairs.join(first_a, "a").join(first_b, "b").select(*_ordered("first_a", "first_b"))
-    several = groups.where("nodes > 1")
-    within = nodes.join(several, "group").where("node > first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    pairs = written(between.union(within).distinct(), "pairs")
-
+    pairs = written(_promising(_candidates(found, nodes), nodes, threshold), "pairs")
     members = found.where(F.col("kind") == _MEMBER).select(
         F.col("x").alias("token"), F.col("y").alias("group"), "n", "pos"
     )
     listed = members.select("group").distinct().join(nodes, "group").select("node")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(listed).distinct()
     sets = written(_sets(docs, nodes.join(needed, "node").select("node", "doc_id")), "sets")
-    links = written(_verified(pairs, sets, threshold), "links")
 
+    # Most pairs lie within clusters: the likeliest of each node first, then those that would still connect
+    # anything, and at last what the leaders of long lists have left apart.
+    best = pairs.groupBy("b").agg(F.max(F.struct("most", "a"))["a"].alias("a")).select("a", "b")
+    links = written(_verified(best, sets, threshold), "links")
     belongs = _belongs(nodes, links)
-    rest = _unconnected(members, belongs, threshold).join(pairs, ["a", "b"], "left_anti")
-    more = written(_verified(rest, sets, threshold), "links")
+    of_a, of_b = (belongs.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
+    rest = pairs.join(best, ["a", "b"], "left_anti").join(of_a, "a").join(of_b, "b").where("of_a <> of_b")
+    links = written(links.union(_verified(rest.select("a", "b"), sets, threshold)), "links")
+    belongs = written(_belongs(nodes, links), "belongs")
+    across = _promising(_across(members, belongs, threshold), nodes, threshold).join(pairs, ["a", "b"], "left_anti")
+    more = written(_verified(across.select("a", "b"), sets, threshold), "links")
     if not more.isEmpty():
         belongs = _belongs(nodes, links.union(more))
 
@@ -329,7 +366,21 @@ def _belongs(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _unconnected(members: DataFrame, belongs: DataFrame, threshold: int) -> DataFrame:
+def _candidates(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes to compare: those of groups, for which their first nodes stand, and others of a group with its first."""
+    groups = nodes.groupBy("group").agg(F.min("node").alias("first"), F.count("*").alias("nodes"))
+    pairs = found.where(F.col("kind") == _PAIR).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    leaders = found.where(F.col("kind") == _LEADER).select("x", "y")
+    chief = leaders.groupBy("x").agg(F.min("y").alias("chief"))
+    of_parts = leaders.join(chief, "x").where("y > chief").select(F.col("chief").alias("a"), F.col("y").alias("b"))
+    pairs = pairs.union(of_parts).distinct()
+    first_a, first_b = (groups.select(F.col("group").alias(c), F.col("first").alias(f"first_{c}")) for c in "ab")
+    between = pairs.join(first_a, "a").join(first_b, "b").select(*_ordered("first_a", "first_b"))
+    within = nodes.join(groups.where("nodes > 1"), "group").where("node > first")
+    return between.union(within.select(F.col("first").alias("a"), F.col("node").alias("b"))).distinct()
+
+
+def _across(members: DataFrame, belongs: DataFrame, threshold: int) -> DataFrame:
     """Pairs of nodes from one long list, or one group, which are in different components."""
     parted = belongs.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     of_group = belongs.select("group", "component").distinct()
