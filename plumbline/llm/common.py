@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task works on at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def column(name: str) -> Column:

@@ -12,6 +12,7 @@ from plumbline.llm.decontamination import contamination
 from plumbline.llm.html_text import extract_main_text
 from plumbline.llm.multi_index import near_duplicates
 from plumbline.llm.ngram_join import similar_documents
+from plumbline.llm.passages import repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(_table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_html_extraction, op5_language_id, op6_bpe, op7_toxicity, op8_ngram_jaccard_join, op9_preference_formatting, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_html_extraction, op4_substring_dedup, op5_language_id, op6_bpe, op7_toxicity, op8_ngram_jaccard_join, op9_preference_formatting, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -29,7 +29,7 @@ LENGTH = 400
 #: trigger are cut into single stretches, which are counted everywhere.
 PHRASES = 128
 #: Bytes of a text that are parsed at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _VALUES = np.random.default_rng(20_240_502).integers(0, 2**64, 256, np.uint64)
@@ -224,7 +224,7 @@ def _removed(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     names = ["id", "hash", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "packed"):
+        for batch in slices(batches, "packed", CHUNK_BYTES):
             results = []
             for text, list_ in zip(unpacked(batch), batch.column("spans").to_pylist(), strict=True):
                 kept, at, removed, runs, stop = [], 0, 0, 0, -1
@@ -261,16 +261,19 @@ def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     docs = given.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text").alias("hash"), "text")
 
     parse = _parse(docs, length)
+    # What is joined is written first: both sides of a join are then plain shuffles, whose hot keys can be split.
     triggers = parse.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger")
-    parse = written(parse.join(triggers.hint("merge"), "trigger"), "parse")
+    parse = written(parse.join(written(triggers, "triggers").hint("merge"), "trigger"), "parse")
     key = ["trigger", "d1", "d2"]
     dictionary = parse.groupBy(*key).agg(
         F.count("*").alias("n"), F.min(F.struct("id", "hash", "start", "number")).alias("one")
     )
+    dictionary = written(dictionary, "dictionary")
     whole = parse.join(dictionary.where("n > 1").select(*key).hint("merge"), key, "left_semi").select(
         "id", "hash", F.col("start").alias("first"), (F.col("start") + F.col("number")).alias("stop")
     )
     several = dictionary.groupBy("trigger").agg(F.count("*").alias("phrases")).where("phrases > 1")
+    several = written(several, "triggers")
     wanted = dictionary.join(several.hint("merge"), "trigger").select(
         "trigger", "one.*", (F.col("n") == 1).alias("single"), (F.col("phrases") > PHRASES).alias("frequent")
     )

@@ -66,7 +66,7 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = np.where(count >= WORDS, count - WORDS + 1, (count > 0).astype(count.dtype))
     with np.errstate(over="ignore"):
         run = words.copy()
-        for i in range(1, WORDS):
+        for i in range(1, min(WORDS, len(words))):
             run[: len(words) - i] = run[: len(words) - i] * _BASE + words[i:]
         run = mixed(run + np.uint64(WORDS))
         own = np.repeat(np.arange(len(texts)), count)
