@@ -58,6 +58,19 @@ def unpacked(batch: pa.RecordBatch) -> list[bytes]:
     return [codec.decompress(x, n, asbytes=True) for x, n in pairs]
 
 
+def restored(rows: DataFrame) -> DataFrame:
+    """Compressed rows with their texts again, as the last column; what is no UTF-8 becomes U+FFFD."""
+    keys = [c for c in rows.columns if c not in ("size", "packed")]
+    schema = rows.select(*keys).schema.add("text", "string", False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "packed"):
+            texts = pa.array([str(x, "utf-8", "replace") for x in unpacked(batch)], pa.string())
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keys), texts], [*keys, "text"])
+
+    return rows.mapInArrow(run, schema)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which all executors share.
 

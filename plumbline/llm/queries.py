@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,8 +64,25 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_html_extraction, op4_substring_dedup, op5_language_id, op6_bpe, op7_toxicity, op8_ngram_jaccard_join, op9_preference_formatting, op10_embedding_near_dedup)}
+    registered = (
+        op1_benchmark_decontamination,
+        op2_suffix_array_dedup,
+        op3_html_extraction,
+        op4_substring_dedup,
+        op5_language_id,
+        op6_bpe,
+        op7_toxicity,
+        op8_ngram_jaccard_join,
+        op9_preference_formatting,
+        op10_embedding_near_dedup,
+        pipeline,
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:

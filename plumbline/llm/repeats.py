@@ -219,9 +219,13 @@ def _in_order(cut: DataFrame, length: int) -> DataFrame:
 
 
 def _removed(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
-    """Every text without the bytes of its repeats."""
+    """Every text without the bytes of its repeats, after the other columns."""
     lists = spans.groupBy("id", "hash").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
-    names = ["id", "hash", "n_bytes", "n_removed", "n_spans", "kept"]
+    keys = [c for c in docs.columns if c != "text"]
+    names = [*keys, "n_bytes", "n_removed", "n_spans", "kept"]
+    schema = docs.select(*keys).schema
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary")):
+        schema = schema.add(name, kind, False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "packed", CHUNK_BYTES):
@@ -241,24 +245,36 @@ def _removed(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
                 results.append((len(text), removed, runs, b"".join(kept)))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = [pa.array(x, t) for x, t in zip(zip(*results, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("hash"), *columns], names)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keys), *columns], names)
 
     both = packed(docs).join(lists.hint("merge"), ["id", "hash"], "left")
-    return both.mapInArrow(run, "id long, hash long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return both.select(*keys, "size", "packed", "spans").mapInArrow(run, schema)
 
 
-def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def without_repeats(
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    keep: list[str] | None = None,
+) -> DataFrame:
     """Removes every byte covered by a string of `length` bytes that also starts anywhere else.
 
-    One row per input row: `doc_id`, `n_bytes`, `n_removed`, `n_spans` (maximal removed runs), `kept` (the
+    One row per input row: `doc_id`, or the columns to `keep`; `n_bytes`, `n_removed`, `n_spans` (maximal removed runs), `kept` (the
     remaining UTF-8 bytes). Strings are judged on the whole input, never cross texts, and may overlap; a
     repeat in the same text counts, and so does a repeated row, whose copies both lose it. A null text is
     empty; texts shorter than `length` stay as they are. Null ids are kept. Other columns are ignored,
     whatever their names. Phrases are told apart by 128-bit digests.
     """
-    given = documents.select(column(doc_id).cast("long").alias("doc_id"), column(text).cast("binary").alias("text"))
+    keep = [doc_id] if keep is None else keep
     # Equal texts lose the same bytes, so rows that agree in both keys may share what is found for one.
-    docs = given.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text").alias("hash"), "text")
+    everything = documents.select(
+        F.coalesce(column(doc_id).cast("long"), F.lit(-1)).alias("id"),
+        F.xxhash64(column(text).cast("binary")).alias("hash"),
+        *(column(c).alias(f"k{i}") for i, c in enumerate(keep)),
+        column(text).cast("binary").alias("text"),
+    )
+    docs = everything.select("id", "hash", "text")
 
     parse = _parse(docs, length)
     # What is joined is written first: both sides of a join are then plain shuffles, whose hot keys can be split.
@@ -282,9 +298,8 @@ def without_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     again = stretches.groupBy("bytes").agg(F.count("*").alias("n")).where("n > 1").select("bytes")
     counted = stretches.where("single").join(again.hint("merge"), "bytes", "left_semi")
     counted = counted.select("id", "hash", F.col("start").alias("first"), (F.col("start") + 1).alias("stop"))
-    removed = _removed(docs, whole.union(_in_order(cut, length)).union(counted), length)
-    real = F.when(F.col("id") != -1, F.col("id"))
-    return removed.select(real.alias(doc_id), "n_bytes", "n_removed", "n_spans", "kept")
+    removed = _removed(everything, whole.union(_in_order(cut, length)).union(counted), length)
+    return removed.drop("id", "hash").toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def digest(documents: DataFrame) -> DataFrame:

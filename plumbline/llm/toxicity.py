@@ -14,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, packed, slices, written
+from plumbline.llm.common import column, packed, slices
 from plumbline.llm.wordmodel import Codes, WordModel, count_grams, words
 
 #: Labelled rows the logistic curve is fitted on, at most; taken in the order of a hash of their features.
 CURVE_ROWS = 50_000
-_FEATURES = ("mean", "damped", "mean_part", "damped_part")
+_FEATURES = ("mean", "damped")
 
 
 def _ratios(difference: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[float, float]:
@@ -32,14 +32,14 @@ def _ratios(difference: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tupl
     return float(gain @ times / (letters @ times)), float(gain @ weight / np.sqrt(letters @ weight))
 
 
-def _features(documents: DataFrame, keys: list[str], text: str, models: list[WordModel]) -> DataFrame:
-    """Both quotients of every whole text under each pair of models."""
+def _features(documents: DataFrame, keys: list[str], text: str, model: WordModel) -> DataFrame:
+    """Both quotients of every whole text, after the key columns (k0, k1, ...)."""
     slots = [f"k{i}" for i in range(len(keys))]
     rows = documents.select(*(column(c).alias(s) for c, s in zip(keys, slots, strict=True)), column(text).alias("text"))
     schema = rows.drop("text").schema
     for name in _FEATURES:
         schema = schema.add(name, "double", False)
-    shared = documents.sparkSession.sparkContext.broadcast(models)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -50,11 +50,9 @@ def _features(documents: DataFrame, keys: list[str], text: str, models: list[Wor
                 texts.append(np.fromiter(map(codes.__getitem__, found), np.int32, len(found)))
             unique = list(codes)
             size = np.fromiter(map(len, unique), np.float64, len(unique)) + 1
-            values = []
-            for model in shared.value:
-                logs = model.log_probabilities(unique)
-                difference = (logs[:, 1] - logs[:, 0]).astype(np.float64)
-                values += zip(*(_ratios(difference, size, x) for x in texts), strict=True)
+            logs = shared.value.log_probabilities(unique)
+            difference = (logs[:, 1] - logs[:, 0]).astype(np.float64)
+            values = zip(*(_ratios(difference, size, x) for x in texts), strict=True)
             columns = [batch.column(s) for s in slots] + [pa.array(x, pa.float64()) for x in values]
             yield pa.RecordBatch.from_arrays(columns, [*slots, *_FEATURES])
 
@@ -86,17 +84,19 @@ def score(
     label: str = "toxic",
     learn: Column | None = None,
     curve: Column | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Toxicity of every whole text: `doc_id` and `score` from 0 to 1, higher for label 1.
+    """Toxicity of every whole text: `doc_id`, or the columns to `keep`, and `score` from 0 to 1, higher for label 1.
 
     Learns from the rows of `labels` for which `learn` holds (a condition on the column `doc_id`; all
     rows if not given). Those for which `curve` holds too (by default a fifth, by a hash of the id) fit
-    the logistic curve with features of models that leave them out; the score itself uses models of all.
-    Labels that are null, or neither 0 nor 1, and labels without a document teach nothing; a repeated
+    the logistic curve with features of a model that leaves them out; the score itself uses a model of
+    all. Labels that are null, or neither 0 nor 1, and labels without a document teach nothing; a repeated
     label counts again. With labels of one class only, or none, every score is the share of ones,
     (ones + 1) / (rows + 2). Null and empty texts are scored like a text without evidence. One row per
     document row, repeated rows and null ids included; other columns are ignored, whatever their names.
     """
+    keep = [doc_id] if keep is None else keep
     key = F.col("doc_id")
     learn = F.lit(True) if learn is None else learn
     curve = F.pmod(F.xxhash64(key), F.lit(5)) == 0 if curve is None else curve
@@ -105,23 +105,22 @@ def score(
         .where(learn & F.col("label").isin(0, 1))
         .withColumn("part", curve.cast("int"))
     )
-    texts = documents.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
+    texts = documents.select(column(doc_id).alias("doc_id"), column(text).alias("text")).where(learn)
     # Labels are few per document but grow with the corpus: the join is never a broadcast, at any size.
-    rows = packed(texts.where(learn)).join(told.hint("merge"), "doc_id")
+    rows = packed(texts).join(told.hint("merge"), "doc_id")
     rows = rows.select((F.col("label") * 2 + F.col("part")).alias("class"), "size", "packed")
     counts = count_grams(rows).toArrow()
 
     ones = told.agg(F.sum("label").alias("ones"), F.count("*").alias("rows")).first()
     share = ((ones["ones"] or 0) + 1) / (ones["rows"] + 2)
-    if set(counts.column("class").to_pylist()) < {0, 2}:
-        return texts.select("doc_id", F.lit(share).alias("score")).toDF(doc_id, "score")
-    models = [WordModel(counts, [[0, 1], [2, 3]]), WordModel(counts, [[0], [2]])]
+    if not {0, 2} <= set(counts.column("class").to_pylist()):
+        return documents.select(*map(column, keep), F.lit(share).alias("score"))
 
-    scored = written(_features(documents, [doc_id], text, models).withColumnRenamed("k0", "doc_id"), "toxicity")
     known = (
-        scored.join(told.where("part = 1"), "doc_id")
-        .select("mean_part", "damped_part", "label")
-        .orderBy(F.xxhash64("mean_part", "damped_part"))
+        _features(texts.where(curve), ["doc_id"], "text", WordModel(counts, [[0], [2]]))
+        .join(told.where("part = 1").hint("merge"), F.col("k0") == key)
+        .select(*_FEATURES, "label")
+        .orderBy(F.xxhash64(*_FEATURES))
         .limit(CURVE_ROWS)
         .toPandas()
         .to_numpy(np.float64)
@@ -132,7 +131,8 @@ def score(
         slopes, offset = _curve(known[:, :2], known[:, 2])
     power = F.col("mean") * float(slopes[0]) + F.col("damped") * float(slopes[1]) + offset
     chance = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), power))))
-    return scored.select("doc_id", chance.alias("score")).toDF(doc_id, "score")
+    scored = _features(documents, keep, text, WordModel(counts, [[0, 1], [2, 3]])).withColumn("score", chance)
+    return scored.drop(*_FEATURES).toDF(*keep, "score")
 
 
 def digest(documents: DataFrame, labels: DataFrame) -> DataFrame:
