@@ -452,3 +452,76 @@ def duplicate_rows_documents(spark, sf_dir):
     """Documents with the same text, language and source."""
     documents = views.table(spark, sf_dir, "documents")
     return pl.duplicate_rows(documents.select("text", "lang", "source"))
+
+
+# --- further forms ------------------------------------------------------------
+
+
+@query
+def issues_log_first(spark, sf_dir):
+    """The log cut to the first 50 rows per column and kind."""
+    data = views.dirty_customer(spark, sf_dir)
+    return pl.issues_log(data, "row_id", CUSTOMER_KEY, views.CUSTOMER_RULES, cap=50)
+
+
+@query
+def cleaned_table_saved(spark, sf_dir):
+    """The cleaned table as a saved table, replaced and scanned."""
+    cleaned = pl.clean(views.dirty_customer(spark, sf_dir), CUSTOMER_CLEANING, "row_id")
+    return pl.replace_table(cleaned, "plumbline_cleaned_customer")
+
+
+@query
+def staging_documents(spark, sf_dir):
+    """Whole documents, line breaks and quotes included, through CSV and back."""
+    folder = shared_folder(spark, "staging-documents")
+    raw = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    pl.write_csv(raw, f"{folder}/raw")
+    return pl.load_staging(spark, f"{folder}/raw", path=f"{folder}/staging", schema=raw.schema, multiline=True)
+
+
+@query
+def report_summary(spark, sf_dir):
+    """The summary as a dashboard reads it back from the written report."""
+    folder = shared_folder(spark, "report-summary")
+    data = views.dirty_customer(spark, sf_dir)
+    done = pl.Inspection(data, CUSTOMER_KEY, views.CUSTOMER_RULES, "row_id").run()
+    return spark.read.schema(done.summary().schema).json(done.write(folder)["summary"])
+
+
+@query
+def validity_text_numbers(spark, sf_dir):
+    """Ranges on numbers in text and on NaN, an allow-list on a number."""
+    return pl.validity(views.text_numbers(spark, sf_dir), views.TEXT_NUMBER_RULES)
+
+
+@query
+def padded_values_unicode(spark, sf_dir):
+    """Tabs and no-break spaces around values."""
+    return pl.padded_values(views.text_numbers(spark, sf_dir), ["code"])
+
+
+@query
+def completeness_in_memory(spark, sf_dir):
+    """A frame made from rows that a program holds: the nations."""
+    nations = views.table(spark, sf_dir, "nation")
+    return pl.completeness(spark.createDataFrame(nations.collect(), nations.schema))
+
+
+@query
+def date_formats_odd(spark, sf_dir):
+    return pl.date_formats(views.date_texts(spark, sf_dir), ["written"])
+
+
+@query
+def trend_by_label(spark, sf_dir):
+    """A history whose labels are text: leading zeros, the empty label and none survive."""
+    folder = shared_folder(spark, "trend-by-label")
+    nations = views.table(spark, sf_dir, "nation")
+    region = "CAST(n_regionkey AS STRING)"
+    for label in (f"lpad({region}, 3, '0')", region, "''"):
+        scores = nations.selectExpr(f"{label} AS label").groupBy("label")
+        pl.append_history(scores.agg(F.count("*").cast("double").alias("overall_health_score")), folder, "label")
+    regions = views.table(spark, sf_dir, "region").selectExpr("CAST(NULL AS STRING) AS label").groupBy("label")
+    pl.append_history(regions.agg(F.count("*").cast("double").alias("overall_health_score")), folder, "label")
+    return pl.quality_trend(spark, folder, "label")

@@ -8,6 +8,7 @@ cells are spoiled and some rows occur more than once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -27,6 +28,11 @@ LINEITEM_RULES = {
     "l_returnflag": {"allowed": ["A", "N"]},
 }
 EVENT_RULES = {"value": {"min": 0.5, "max": 100}, "event_type": {"allowed": ["view", "click", "purchase", "signup"]}}
+TEXT_NUMBER_RULES = {
+    "quantity": {"min": 3, "max": 47.5},
+    "line": {"allowed": [1, 2, 3, 4, 5]},
+    "price": {"max": 80000},
+}
 DOCUMENT_RULES = {"lang": {"allowed": ["en", "fr", "de"]}, "n_chars": {"min": 100}}
 
 
@@ -89,43 +95,61 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loan_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as a loan application, with the defects of a raw extract."""
-    regions = "array('North', 'South', 'East', 'West', 'Central')"
-    jobs = "array('Employed', 'Self-Employed', 'Unemployed', 'Retired')"
-    genders = "array('Male', 'male', 'MALE ', 'Female', 'female', 'FEMALE', 'F', 'M')"
-    marital = "array('Single', 'Married', 'Divorced', 'Widowed')"
-    return (
-        _with_copies(table(spark, sf_dir, "orders"), "o_orderkey", 67)
-        .selectExpr(
-            "*",
-            f"{regions}[CAST(k % 5 AS INT)] AS place",
-            f"{jobs}[CAST(k % 4 AS INT)] AS job",
-        )
-        .selectExpr(
-            "k * 10 + copy AS row_id",
-            "if(k % 4001 = 0, NULL, k) AS customer_id",
-            "CASE WHEN k % 50 = 0 THEN NULL WHEN k % 135 = 0 THEN -5.0D ELSE k % 57 + 18.0D END AS age",
-            """CASE WHEN k % 17 = 0 THEN NULL
-                    WHEN k % 203 = 0 THEN -100000.0D
-                    ELSE o_totalprice END AS annual_income""",
-            """CASE WHEN k % 25 = 0 THEN NULL
-                    WHEN k % 133 = 0 THEN 1200.0D
-                    ELSE k % 600 + 300.0D END AS credit_score""",
-            "if(k % 171 = 0, -10.0D, o_totalprice * 0.5D) AS loan_amount",
-            "k % 5 AS existing_loans",
-            "if(k % 101 = 0, concat(place, '  '), place) AS region",
-            """CASE WHEN k % 33 = 0 THEN NULL
-                    WHEN k % 211 = 0 THEN 'Student'
-                    WHEN k % 311 = 0 THEN concat(lower(job), ' ')
-                    ELSE job END AS employment_status""",
-            f"{genders}[CAST(k % 8 AS INT)] AS gender",
-            f"{marital}[CAST((k % 12) div 3 AS INT)] AS marital_status",
-            """CASE k % 4 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd')
-                    WHEN 1 THEN date_format(o_orderdate, 'dd/MM/yyyy')
-                    WHEN 2 THEN date_format(o_orderdate, 'dd-MMM-yyyy')
-                    ELSE date_format(o_orderdate, 'MM/dd/yyyy') END AS application_date""",
-            "if(k % 7 = 0, 1L, 0L) AS default_flag",
-        )
+    """Every order as an application of its customer, every 67th one twice.
+
+    All cells come from given columns of orders, customer, nation and region; what
+    is out of range, unlisted, missing or oddly written is so by their values.
+    """
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    customers = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = _with_copies(table(spark, sf_dir, "orders"), "o_orderkey", 67)
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").selectExpr(
+        "k * 10 + copy AS row_id",
+        "if(c_nationkey = 7 AND o_orderstatus = 'F', NULL, o_custkey) AS customer_id",
+        "if(o_orderpriority LIKE '4%', NULL, floor(c_acctbal / 90) + 0.0D) AS age",
+        "if(c_mktsegment = 'BUILDING' AND o_orderstatus = 'P', NULL, c_acctbal * 12.0D) AS annual_income",
+        "if(c_nationkey = 3, NULL, floor(o_totalprice / 450) + 0.0D) AS credit_score",
+        "o_totalprice - 4000.0D AS loan_amount",
+        "CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS existing_loans",
+        """CASE o_orderstatus WHEN 'P' THEN concat(r_name, ' ')
+                WHEN 'F' THEN lower(r_name) ELSE r_name END AS region""",
+        """CASE c_mktsegment WHEN 'BUILDING' THEN 'Self-Employed' WHEN 'FURNITURE' THEN 'Retired'
+                WHEN 'HOUSEHOLD' THEN 'Unemployed' WHEN 'MACHINERY' THEN concat('employed', chr(9))
+                ELSE c_mktsegment END AS employment_status""",
+        "concat(o_orderstatus, if(c_nationkey % 6 = 5, chr(160), '')) AS gender",
+        "if(c_nationkey < 20, 'Married', initcap(n_name)) AS marital_status",
+        """CASE substr(o_orderpriority, 1, 1)
+                WHEN '1' THEN date_format(o_orderdate, 'dd-MMM-yyyy')
+                WHEN '2' THEN date_format(o_orderdate, 'MM/dd/yyyy')
+                WHEN '3' THEN date_format(o_orderdate, 'yyyy-MM-dd')
+                WHEN '4' THEN date_format(o_orderdate, 'yyyyMMdd')
+                ELSE date_format(o_orderdate, 'dd/MM/yyyy') END AS application_date""",
+        "if(o_orderstatus = 'F', 1L, 0L) AS default_flag",
+    )
+
+
+def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of orders as text; some with a day or month that no calendar has, some not at all."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        """CASE o_orderstatus
+                WHEN 'F' THEN concat(date_format(o_orderdate, 'yyyy-MM-'), lpad(CAST(o_custkey % 40 AS STRING), 2, '0'))
+                WHEN 'P' THEN concat_ws('/', lpad(CAST(o_custkey % 35 AS STRING), 2, '0'),
+                                        lpad(CAST(o_orderkey % 15 AS STRING), 2, '0'), date_format(o_orderdate, 'yyyy'))
+                WHEN 'O' THEN if(o_totalprice < 250000, NULL, o_orderpriority) END AS written"""
+    )
+
+
+def text_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with numbers as text, odd blanks around codes, and NaN among the prices."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "if(l_returnflag = 'N', concat(' ', CAST(l_quantity AS STRING)), CAST(l_quantity AS STRING)) AS quantity",
+        "CAST(l_linenumber AS BIGINT) AS line",
+        """CASE l_returnflag WHEN 'A' THEN concat(l_linestatus, chr(9))
+                WHEN 'R' THEN concat(chr(160), l_linestatus) ELSE l_linestatus END AS code""",
+        "if(l_discount > 0.085, double('NaN'), l_extendedprice) AS price",
     )
 
 

@@ -52,9 +52,13 @@ def key_value(ref: str, dtype: T.DataType) -> str:
     return compact(ref) if is_text(dtype) else nan_to_null(ref, dtype)
 
 
-def bounded_key(dtype: T.DataType) -> bool:
-    """Whether every `key_value` of the type has a small, fixed bound on its size."""
-    return is_text(dtype) or isinstance(dtype, (T.NumericType, T.BooleanType, T.DatetimeType))
+def orderable(dtype: T.DataType) -> bool:
+    """Whether values of the type can be compared and sorted, as keys must be."""
+    if isinstance(dtype, T.ArrayType):
+        return orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(orderable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def hashable(dtype: T.DataType) -> bool:

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.rules import Rules, outside_range
-from plumbline.functions.values import nan_to_null
+from plumbline.functions.values import nan_to_null, orderable
 from plumbline.operators.profile import repeated_rows
-from plumbline.operators.table import MAX_BROADCAST_ROWS, Table
+from plumbline.operators.table import Table
 
 
 def _required(t: Table, names: Sequence[str]) -> list:
@@ -50,22 +50,18 @@ def duplicate_key_values(df: DataFrame, key: str) -> DataFrame:
     """Key values that occur more than once, most frequent first; NULL is one value."""
     t = Table(df)
     (field,) = _required(t, [key])
-    return (
-        t.df.select(F.expr(nan_to_null(field.ref, field.dtype)).alias(key))
-        .groupBy(F.col(f"`{key}`"))
-        .agg(F.count("*").alias("occurrence_count"))
-        .where("occurrence_count > 1")
-        .orderBy(F.desc("occurrence_count"), F.col(f"`{key}`"))
-    )
+    value = F.expr(nan_to_null(field.ref, field.dtype)).alias("value")
+    groups = t.df.select(value).groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    if orderable(field.dtype):
+        groups = groups.orderBy(F.desc("n"), "value")
+    return groups.toDF(key, "occurrence_count")
 
 
-def duplicate_row_groups(
-    df: DataFrame, columns: Sequence[str] | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def duplicate_row_groups(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that occur more than once over `columns` (all by default), with dup_count."""
     t = Table(df)
     fields = _required(t, columns if columns is not None else df.columns)
-    groups = repeated_rows(t, fields, max_broadcast_rows)
+    groups = repeated_rows(t, fields)
     return groups.select(*(f.col.alias(f.name) for f in fields), F.col("n").alias("dup_count"))
 
 
@@ -80,9 +76,8 @@ def categories_outside(df: DataFrame, column: str, allowed: Sequence[str]) -> Da
     t = Table(df)
     (field,) = _required(t, [column])
     lowered = [a.lower() for a in allowed]
-    values = t.df.select(field.col.alias(column)).distinct()
-    value = F.col(f"`{column}`")
-    return values.where(value.isNotNull() & ~F.lower(F.trim(value)).isin(lowered))
+    values = t.df.select(field.col).distinct()
+    return values.where(field.col.isNotNull() & ~F.lower(F.trim(field.col)).isin(lowered)).toDF(column)
 
 
 def untrimmed_values(df: DataFrame, column: str) -> DataFrame:

@@ -7,14 +7,14 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions.rules import Rules, outside_range
 from plumbline.functions.text import sentence_case
-from plumbline.functions.values import bounded_key, quoted
-from plumbline.operators.table import MAX_BROADCAST_ROWS, ROW, Table
+from plumbline.functions.values import hashable
+from plumbline.operators.table import ROW, Field, Table
 
 
 @dataclass(frozen=True)
@@ -33,79 +33,64 @@ class CleanSpec:
     flag: str = "is_flagged_invalid"
 
 
-def keep_first(
-    df: DataFrame, key: str, row_id: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
-    """The row with the smallest `row_id` of every key; missing keys are one key.
+def keep_first(df: DataFrame, key: str, row_id: str) -> DataFrame:
+    """One row of every key, that with the smallest `row_id`; missing keys are one key.
 
-    Repeated keys are found from the two narrow columns alone.  When there are
-    none, all rows stay; when they are few, the table is filtered against them
-    without being shuffled.  Otherwise each key's rows are ranked; every task
-    drops all but its own first row of a key before the shuffle, so a hot key
-    sends one row per task.
+    Rows without a `row_id` come last; ties fall to the smallest hash of the row,
+    so exactly one row per key stays.  Every task drops all but its own first row
+    of a key before the shuffle, so a hot key sends one row per task.
     """
     t = Table(df, row_id)
-    key_field = t.field(key)
-    if key_field is None:
-        raise ValueError(f"no such column: {key}")
-    repeated = (
-        t.df.select(key_field.key.alias("repeated"), ROW)
-        .groupBy("repeated")
-        .agg(F.expr("count(*) AS n"), F.expr(f"min({ROW}) AS first_at"))
-        .where("n > 1")
-        .select("repeated", "first_at")
+    field_ = _named(t, [key])[0]
+    # Types without a hash take no part in breaking ties.
+    cells = [F.xxhash64(f.col) for f in t.fields if hashable(f.dtype)]
+    order = W.partitionBy("key").orderBy(F.col(ROW).asc_nulls_last(), *cells)
+    return (
+        t.df.select("*", field_.comparable("keep_first").alias("key"))
+        .select("*", F.row_number().over(order).alias("rank"))
+        .where("rank = 1")
+        .drop("key", "rank")
+        .toDF(*t.names)
     )
-    n_repeated = repeated.count() if bounded_key(key_field.dtype) else None
-    if n_repeated == 0:
-        return df
-    if n_repeated is not None and n_repeated <= max_broadcast_rows:
-        kept = (
-            t.df.join(F.broadcast(repeated), key_field.key.eqNullSafe(F.col("repeated")), "left")
-            .where(f"first_at IS NULL OR first_at = {ROW}")
-            .drop("repeated", "first_at")
-        )
-    else:
-        order = W.partitionBy("key").orderBy(ROW)
-        kept = (
-            t.df.select("*", key_field.key.alias("key"))
-            .select("*", F.row_number().over(order).alias("rank"))
-            .where("rank = 1")
-            .drop("key", "rank")
-        )
-    return kept.toDF(*t.names)
-
-
-def invalid_flag(df: DataFrame, ranges: Rules) -> Column:
-    """1 where any ruled column of `df` is out of range, else 0; NULL is in range."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    tests = [outside_range(quoted(n), types[n], rule) for n, rule in ranges.items() if n in types]
-    return F.when(reduce(or_, [t for t in tests if t is not None], F.lit(False)), 1).otherwise(0)
+
+
+def _named(t: Table, names: Sequence[str]) -> list[Field]:
+    absent = [n for n in names if t.field(n) is None]
+    if absent:
+        raise ValueError(f"no such column: {', '.join(absent)}")
+    return [t.field(n) for n in names]
 
 
 def standardize(df: DataFrame, spec: CleanSpec) -> DataFrame:
-    """Trim and recase text, add the flag, leave out dropped columns; one projection."""
+    """Trim and recase text, add the flag, leave out dropped columns; one projection.
+
+    Every column the spec names must exist, and the flag must not.
+    """
+    t = Table(df)
+    _named(t, [*spec.trim, *spec.sentence, *spec.drop, *spec.flag_ranges])
+    if spec.flag_ranges and spec.flag in set(df.columns) - set(spec.drop):
+        raise ValueError(f"column {spec.flag} already exists")
     columns = []
-    for name in df.columns:
-        if name in spec.drop:
+    for f in t.fields:
+        if f.name in spec.drop:
             continue
-        ref = quoted(name)
-        if name in spec.sentence:
-            columns.append(F.expr(sentence_case(ref)).alias(name))
-        elif name in spec.trim:
-            columns.append(F.trim(F.col(ref)).alias(name))
+        if f.name in spec.sentence:
+            columns.append(F.expr(sentence_case(f.ref)).alias(f.name))
+        elif f.name in spec.trim:
+            columns.append(F.trim(f.col).alias(f.name))
         else:
-            columns.append(F.col(ref))
+            columns.append(f.col.alias(f.name))
     if spec.flag_ranges:
-        columns.append(invalid_flag(df, spec.flag_ranges).alias(spec.flag))
-    return df.select(*columns)
+        tests = [outside_range(f.ref, f.dtype, spec.flag_ranges[f.name]) for f in _named(t, list(spec.flag_ranges))]
+        outside = reduce(or_, [x for x in tests if x is not None], F.lit(False))
+        columns.append(F.when(outside, 1).otherwise(0).alias(spec.flag))
+    return t.df.select(*columns)
 
 
-def clean(
-    df: DataFrame, spec: CleanSpec, row_id: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def clean(df: DataFrame, spec: CleanSpec, row_id: str) -> DataFrame:
     """Deduplicate, then standardise and flag.
 
     `row_id` only orders the rows; add it to `spec.drop` to leave it out.
     """
-    rows = keep_first(df, spec.key, row_id, max_broadcast_rows) if spec.key is not None else df
+    rows = keep_first(df, spec.key, row_id) if spec.key is not None else df
     return standardize(rows, spec)

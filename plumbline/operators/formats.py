@@ -12,25 +12,25 @@ from plumbline.operators.table import Table
 
 
 def date_format_label(c: Column) -> Column:
-    """The format a date is written in.
+    """The format a date is written in; what is no date in any of them is "other".
 
     Day and month cannot be told apart when both are at most 12; such dates
     are labelled ambiguous rather than guessed.
     """
-    slashed = r"^\d{2}/\d{2}/\d{4}$"
-    first = F.substring(c, 1, 2).try_cast("int")
-    second = F.substring(c, 4, 2).try_cast("int")
+
+    def reads(pattern: str, shape: str, text: Column = c) -> Column:
+        return c.rlike(shape) & F.try_to_date(text, pattern).isNotNull()
+
+    slashed = r"\A[0-9]{2}/[0-9]{2}/[0-9]{4}\z"
+    day_first, month_first = reads("dd/MM/yyyy", slashed), reads("MM/dd/yyyy", slashed)
+    spelt = F.concat(F.substring(c, 1, 3), F.initcap(F.substring(c, 4, 3)), F.substring(c, 7, 5))
     return (
         F.when(c.isNull(), "missing")
-        .when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), "yyyy-MM-dd")
-        .when(c.rlike(r"^\d{2}-[A-Za-z]{3}-\d{4}$"), "dd-MMM-yyyy")
-        .when(
-            c.rlike(slashed),
-            F.when((first > 12) & (second <= 12), "dd/MM/yyyy")
-            .when((first <= 12) & (second > 12), "MM/dd/yyyy")
-            .when((first <= 12) & (second <= 12), "ambiguous")
-            .otherwise("other"),
-        )
+        .when(reads("yyyy-MM-dd", r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), "yyyy-MM-dd")
+        .when(reads("dd-MMM-yyyy", r"\A[0-9]{2}-[A-Za-z]{3}-[0-9]{4}\z", spelt), "dd-MMM-yyyy")
+        .when(day_first & month_first, "ambiguous")
+        .when(day_first, "dd/MM/yyyy")
+        .when(month_first, "MM/dd/yyyy")
         .otherwise("other")
     )
 

@@ -1,6 +1,7 @@
-"""The issues log: for each column and kind of issue, the first rows that show it.
+"""The issues log: for each column and kind of issue, the rows that show it.
 
-"First" is by `row_id`, which must be unique and not null.
+All of them by default.  With a `cap`, the first so many per column and kind,
+by `row_id`, which must then be unique and not null.
 """
 
 from __future__ import annotations
@@ -15,16 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.rules import Rules, outside_range
-from plumbline.operators.table import COLUMNS_PER_PASS, MAX_BROADCAST_ROWS, ROW, Table
+from plumbline.operators.table import COLUMNS_PER_PASS, ROW, Table
 
-# Rows logged per column and kind, and the kinds in log order.
-CAP = 50
+# The kinds in log order.
 KINDS = ("missing_value", "duplicate_key", "invalid_value")
 MISSING, DUPLICATE, INVALID = range(3)
 
 # Reducers that share the cut of one column's issues before the last one.
 SALTS = 64
 
+# Tasks that share the rows of one repeated key.
+KEY_SALTS = 16
+
 Test = tuple[int, int, int, Column]  # kind, place in the log, ordinal, predicate
 
 
@@ -70,36 +73,49 @@ def _first(flagged: DataFrame, cap: int) -> DataFrame:
     )
 
 
-def _duplicates(t: Table, key: str, cap: int) -> DataFrame:
-    """The first `cap` rows whose key occurs more than once.
-
-    They all belong to the `cap` repeated keys that start earliest: a row of any
-    later key has `cap` earlier starts before it.  So at most `cap` keys are
-    broadcast, the rows are only filtered, and the size of a key's group never
-    matters.
-    """
-    field = t.field(key)
-    rows = t.df.select(field.key.alias("key"), ROW)
-    earliest = (
+def _repeated(rows: DataFrame) -> DataFrame:
+    return (
         rows.groupBy("key")
         .agg(F.count("*").alias("n"), F.min(ROW).alias("start"))
         .where("n > 1")
-        .orderBy("start")
-        .limit(cap)
-        .select(F.col("key").alias("repeated"))
+        .select(F.col("key").alias("repeated"), "start")
     )
-    if cap <= MAX_BROADCAST_ROWS:
-        earliest = F.broadcast(earliest)
+
+
+def _all_duplicates(rows: DataFrame) -> DataFrame:
+    """Every row whose key occurs more than once.
+
+    Rows without a key, of which there may be very many, are not joined by it:
+    they stay if there are two.  The rows of one key go to several tasks.
+    """
+    parts = F.explode(F.sequence(F.lit(0), F.lit(KEY_SALTS - 1))).alias("part")
+    salted = rows.withColumn("part", F.pmod(F.xxhash64(ROW), F.lit(KEY_SALTS)).cast("int"))
+    repeated = _repeated(rows.where("key IS NOT NULL")).select("repeated", parts)
+    on = (F.col("key") == F.col("repeated")) & (salted["part"] == repeated["part"])
+    absent = rows.where("key IS NULL").agg(F.count("*").alias("n")).where("n > 1").select(parts)
+    kept = salted.where("key IS NULL").join(F.broadcast(absent), "part", "left_semi")  # 16 rows or none
+    return salted.where("key IS NOT NULL").join(repeated, on, "left_semi").select(ROW).union(kept.select(ROW))
+
+
+def _first_duplicates(rows: DataFrame, cap: int) -> DataFrame:
+    """The first `cap` rows whose key occurs more than once.
+
+    They all belong to the `cap` repeated keys that start earliest: a row of any
+    later key has `cap` earlier starts before it.  So the rows are only filtered
+    against `cap` keys, and the size of a key's group never matters.
+    """
+    earliest = _repeated(rows).orderBy("start").limit(cap).select("repeated")
     return (
-        rows.join(earliest, F.col("key").eqNullSafe(F.col("repeated")), "left_semi")
-        .orderBy(ROW)
-        .limit(cap)
-        .select(
-            F.lit(DUPLICATE).alias("kind"),
-            F.lit(0).alias("place"),
-            F.lit(field.ordinal).alias("ordinal"),
-            ROW,
-        )
+        rows.join(earliest, F.col("key").eqNullSafe(F.col("repeated")), "left_semi").orderBy(ROW).limit(cap).select(ROW)
+    )
+
+
+def _duplicates(t: Table, key: str, cap: int | None) -> DataFrame:
+    field = t.field(key)
+    rows = t.df.select(field.comparable("issues").alias("key"), ROW)
+    found = _all_duplicates(rows) if cap is None else _first_duplicates(rows, cap)
+    return found.select(
+        F.lit(DUPLICATE).alias("kind"), F.lit(0).alias("place"), F.lit(field.ordinal).alias("ordinal"), ROW
     )
 
 
@@ -117,10 +133,11 @@ def _range_tests(t: Table, rules: Rules) -> list[Test]:
     return tests
 
 
-def _log(t: Table, tests: Sequence[Test], key: str | None, cap: int) -> DataFrame:
+def _log(t: Table, tests: Sequence[Test], key: str | None, cap: int | None) -> DataFrame:
     parts = []
     if tests:
-        parts.append(_first(_flagged(t, tests), cap))
+        flagged = _flagged(t, tests).select("kind", "place", "ordinal", ROW)
+        parts.append(flagged if cap is None else _first(flagged, cap))
     if t.field(key) is not None:
         parts.append(_duplicates(t, key, cap))
     if not parts:
@@ -133,30 +150,25 @@ def _log(t: Table, tests: Sequence[Test], key: str | None, cap: int) -> DataFram
         )
         return t.df.sparkSession.createDataFrame([], kind)
     kinds = F.array(*(F.lit(k) for k in KINDS))
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .orderBy("kind", "place", ROW)
-        .select(
-            ROW,
-            t.column_name(),
-            F.element_at(kinds, F.col("kind") + 1).alias("issue_type"),
-        )
-    )
+    log = reduce(DataFrame.unionByName, parts)
+    if cap is not None:
+        log = log.orderBy("kind", "place", ROW)
+    return log.select(ROW, t.column_name(), F.element_at(kinds, F.col("kind") + 1).alias("issue_type"))
 
 
-def issues_missing(df: DataFrame, row_id: str, cap: int = CAP) -> DataFrame:
-    """First rows of each column with a missing value."""
+def issues_missing(df: DataFrame, row_id: str, cap: int | None = None) -> DataFrame:
+    """Rows of each column with a missing value; with a cap, the first ones."""
     t = Table(df, row_id)
     return _log(t, _missing_tests(t), None, cap)
 
 
-def issues_duplicate_key(df: DataFrame, row_id: str, key: str | None, cap: int = CAP) -> DataFrame:
-    """First rows of all members of repeated keys; missing keys are one key."""
+def issues_duplicate_key(df: DataFrame, row_id: str, key: str | None, cap: int | None = None) -> DataFrame:
+    """All members of repeated keys; missing keys are one key."""
     return _log(Table(df, row_id), [], key, cap)
 
 
-def issues_invalid(df: DataFrame, row_id: str, rules: Rules, cap: int = CAP) -> DataFrame:
-    """First rows of each ruled column outside its range; allow-lists are not logged."""
+def issues_invalid(df: DataFrame, row_id: str, rules: Rules, cap: int | None = None) -> DataFrame:
+    """Rows of each ruled column outside its range; allow-lists are not logged."""
     t = Table(df, row_id)
     return _log(t, _range_tests(t, rules), None, cap)
 
@@ -166,8 +178,11 @@ def issues_log(
     row_id: str,
     key: str | None = None,
     rules: Rules | None = None,
-    cap: int = CAP,
+    cap: int | None = None,
 ) -> DataFrame:
-    """Missing values in column order, duplicate keys, range violations in rule order."""
+    """Missing values, duplicate keys and range violations.
+
+    With a cap the log is in order: columns, then the key, then rules.
+    """
     t = Table(df, row_id)
     return _log(t, [*_missing_tests(t), *_range_tests(t, rules or {})], key, cap)

@@ -13,7 +13,7 @@ one row per task in the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -23,13 +23,8 @@ from pyspark.sql import types as T
 from plumbline.functions import scoring
 from plumbline.functions.rules import Rules, allowed_values, violates
 from plumbline.functions.text import compact, compact_literal, padded, strip, tail
-from plumbline.functions.values import hashable, is_missing, key_value, nan_to_null
-from plumbline.operators.table import (
-    COLUMNS_PER_PASS,
-    MAX_BROADCAST_ROWS,
-    Field,
-    Table,
-)
+from plumbline.functions.values import is_missing, nan_to_null
+from plumbline.operators.table import COLUMNS_PER_PASS, Field, Table
 
 COUNTS = ("total", "missing", "invalid", "duplicate_keys", "formatting")
 
@@ -278,8 +273,10 @@ def padded_values(df: DataFrame, columns: Sequence[str] | None = None, row_id: s
     """Per text column: rows whose value has whitespace around it."""
     t = Table(df, row_id)
     fields = _text_fields(t, columns)
-    counts = _text_cells(t, fields).groupBy("ref").agg(F.expr("count_if(padded) AS padded_count"))
-    return counts.selectExpr(_ORDINAL, "padded_count").select(t.column_name(), "padded_count")
+    tails = t.df.selectExpr(*(f.ref for f in fields), *(f"{tail(f.ref)} AS t{f.ref}" for f in fields))
+    counts = tails.selectExpr(*(f"count_if({padded(f.ref, f't{f.ref}')}) AS {f.ref}" for f in fields))
+    listed = ", ".join(f"struct({f.ordinal} AS ordinal, {f.ref} AS padded_count)" for f in fields)
+    return counts.selectExpr(f"inline(array({listed}))").select(t.column_name(), "padded_count")
 
 
 def case_variants(df: DataFrame, columns: Sequence[str] | None = None, row_id: str | None = None) -> DataFrame:
@@ -314,48 +311,38 @@ def key_uniqueness(df: DataFrame, key: str, row_id: str | None = None, by: Seque
     )
 
 
-def repeated_rows(
-    t: Table,
-    fields: Sequence[Field],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    form: Callable[[str, T.DataType], str] = nan_to_null,
-) -> DataFrame:
-    """The distinct rows over `fields` that occur more than once, with their count `n`.
+def _digest(fields: Sequence[Field]) -> str:
+    """256 bits of a row's cells: each by its length and text, NULL and NaN by a mark of their own."""
+    cells = []
+    for f in fields:
+        value = nan_to_null(f.ref, f.dtype)
+        if isinstance(f.dtype, (T.FloatType, T.DoubleType)):
+            value = f"({value} + 0.0D)"  # -0.0 is 0.0
+        text = f"hex({value})" if isinstance(f.dtype, T.BinaryType) else f"CAST({value} AS STRING)"
+        cells.append(f"coalesce(concat(octet_length({text}), ':', {text}), '-')")
+    return f"unhex(sha2(concat({', '.join(cells)}), 256))"
 
-    A row can only be repeated if its 64-bit fingerprint is.  Fingerprints are
-    counted first.  When none is repeated, the table is not read again; when the
-    repeated ones are few, only rows that carry one are compared in full, and
-    the table itself is not shuffled.  Otherwise all rows are grouped in full.
-    `form` is the form in which cells are compared and returned.
-    """
-    rows = t.df
-    marked = [f for f in fields if hashable(f.dtype)]
-    if marked:
-        # The NULL flags keep (NULL, 1) apart from (1, NULL).
-        cells = [nan_to_null(f.ref, f.dtype) for f in marked]
-        mark = f"xxhash64({', '.join([*cells, *(f'{c} IS NULL' for c in cells)])}) AS mark"
-        marks = rows.selectExpr(mark).groupBy("mark").agg(F.expr("count(*) AS n")).where("n > 1").select("mark")
-        n_marks = marks.count()
-        if n_marks == 0:
-            rows = rows.where("false")
-        elif n_marks <= max_broadcast_rows:
-            rows = rows.selectExpr("*", mark).join(F.broadcast(marks), "mark", "left_semi")
+
+def repeated_rows(t: Table, fields: Sequence[Field]) -> DataFrame:
+    """The distinct rows over `fields` that occur more than once, with their count `n`."""
     refs = [f.ref for f in fields]
-    compared = rows.selectExpr(*(f"{form(f.ref, f.dtype)} AS {f.ref}" for f in fields))
+    compared = t.df.selectExpr(*(f"{nan_to_null(f.ref, f.dtype)} AS {f.ref}" for f in fields))
     return compared.groupBy(*refs).agg(F.expr("count(*) AS n")).where("n > 1")
 
 
-def duplicate_rows(
-    df: DataFrame, row_id: str | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def duplicate_rows(df: DataFrame, row_id: str | None = None) -> DataFrame:
     """One row: rows equal to an earlier row in every column (NULL and NaN equal).
 
-    Only counts are wanted, so long text is compared by digest.
+    Only counts are wanted, so rows are grouped by a digest of all cells; nested
+    columns, which have no plain text form, are grouped as they are.
     """
     t = Table(df, row_id)
-    repeats = repeated_rows(t, t.fields, max_broadcast_rows, key_value).selectExpr("0L AS total", "n - 1 AS repeats")
-    total = t.df.selectExpr("count(*) AS total", "0L AS repeats")
-    both = total.unionByName(repeats).selectExpr("sum(total) AS total", "sum(repeats) AS repeats")
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    plain = [f for f in t.fields if not isinstance(f.dtype, nested)]
+    rest = [f.ref for f in t.fields if isinstance(f.dtype, nested)]
+    keys = [*([f"{_digest(plain)} AS digest"] if plain else []), *rest]
+    groups = t.df.selectExpr(*keys).groupBy(*(["digest"] if plain else []), *rest).agg(F.expr("count(*) AS n"))
+    both = groups.agg(F.expr("coalesce(sum(n), 0L) AS total"), F.expr("coalesce(sum(n - 1), 0L) AS repeats"))
     return both.selectExpr(
         "repeats AS duplicate_rows",
         f"{scoring.as_number(scoring.share('repeats', 'total'))} AS duplicate_rows_pct",

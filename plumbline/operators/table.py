@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.values import is_missing, is_text, key_value
+from plumbline.functions.values import is_missing, is_text, key_value, orderable
 
 # Whole-stage codegen gives up beyond spark.sql.codegen.maxFields (100) fields;
 # wide tables are aggregated in groups of columns that stay below it.
@@ -22,11 +22,6 @@ COLUMNS_PER_PASS = 40
 # The row order column inside a Table.
 ROW = "row_index"
 
-# The most rows handed to broadcast(), counted first; sides beyond it take another plan.
-# Such rows have bounded width: fixed-width types, or text cut to a digest.
-MAX_BROADCAST_ROWS = 500_000
-
-
 @dataclass(frozen=True)
 class Field:
     ordinal: int
@@ -47,6 +42,13 @@ class Field:
         return F.expr(key_value(self.ref, self.dtype))
 
 
+    def comparable(self, use: str) -> Column:
+        """The key form; a type without an order or equality cannot be a key."""
+        if not orderable(self.dtype):
+            raise ValueError(f"{use}: column {self.name} of type {self.dtype.simpleString()} cannot be a key")
+        return self.key
+
+
 class Table:
     """A DataFrame, its profiled fields, and its bookkeeping columns.
 

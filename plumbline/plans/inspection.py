@@ -14,12 +14,12 @@ from plumbline.functions import scoring
 from plumbline.functions.rules import Rules
 from plumbline.operators.checks import Check, run_checks
 from plumbline.operators.clean import CleanSpec, clean
-from plumbline.operators.issues import CAP, issues_log
+from plumbline.operators.issues import issues_log
 from plumbline.operators.profile import column_counts
 from plumbline.plans.report import write_reports
 from plumbline.plans.scorecard import kpis, overall, score
 from plumbline.sources.csv import write_csv
-from plumbline.sources.staging import load_staging
+from plumbline.sources.staging import load_staging, replace_table
 
 ROW_ID = "row_index"
 
@@ -38,7 +38,7 @@ class Inspection:
     rules: Rules = field(default_factory=dict)
     row_id: str | None = None
     weights: Mapping[str, int] = field(default_factory=lambda: dict(scoring.WEIGHTS))
-    cap: int = CAP
+    cap: int | None = None
     _counts: DataFrame | None = field(default=None, repr=False)
 
     def run(self) -> Inspection:
@@ -67,7 +67,7 @@ class Inspection:
         return issues_log(self.df, self.row_id, self.key, self.rules, self.cap)
 
     def write(self, folder: str) -> dict[str, str]:
-        return write_reports(self.column_scores(), self.summary(), self.issues(), folder)
+        return write_reports(self.column_scores(), self.summary(), self.issues(), folder, self.cap is not None)
 
 
 def inspect_csv(
@@ -79,14 +79,17 @@ def inspect_csv(
     cleaning: CleanSpec | None = None,
     checks: Callable[[DataFrame], Mapping[str, Check]] | None = None,
     schema: T.StructType | None = None,
+    cleaned_table: str | None = None,
+    **reading: Any,
 ) -> dict[str, Any]:
     """From a raw CSV to everything in `folder`.
 
     staging/ (Parquet with row positions), reports/ (scorecard, summary, issues),
-    checks/<label>/ and cleaned/ (CSV).  The CSV is parsed into staging once and
-    all else reads staging.  A key the table lacks is ignored.
+    checks/<label>/ and cleaned/ (CSV; also the table `cleaned_table`, replaced, if
+    named).  The CSV is parsed into staging once, with the options `reading` of
+    `read_csv`, and all else reads staging.  A key the table lacks is ignored.
     """
-    staged = load_staging(spark, csv_path, path=f"{folder}/staging", schema=schema, row_id=ROW_ID)
+    staged = load_staging(spark, csv_path, path=f"{folder}/staging", schema=schema, row_id=ROW_ID, **reading)
     inspection = Inspection(staged, key, rules or {}, ROW_ID).run()
     result: dict[str, Any] = {
         "summary": inspection.summary().first().asDict(),
@@ -101,4 +104,6 @@ def inspect_csv(
         cleaned = clean(staged, spec, ROW_ID).observe(written, F.count(F.lit(1)).alias("rows"))
         result["cleaned"] = write_csv(cleaned, f"{folder}/cleaned")
         result["cleaned_rows"] = written.get["rows"]
+        if cleaned_table is not None:
+            result["cleaned_table"] = replace_table(clean(staged, spec, ROW_ID), cleaned_table)
     return result

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.values import quoted
 from plumbline.plans.scorecard import DIMENSION_SCORES
 from plumbline.sources.csv import write_csv, write_json
 
@@ -19,15 +22,20 @@ def dimension_breakdown(scorecard: DataFrame) -> DataFrame:
     return scorecard.unpivot(["column"], list(DIMENSION_SCORES), "dimension", "score")
 
 
-def issue_drilldown(scorecard: DataFrame, issues: DataFrame, column: str | None = None) -> DataFrame:
+def issue_drilldown(
+    scorecard: DataFrame, issues: DataFrame, column: str | None = None, by: Sequence[str] = ()
+) -> DataFrame:
     """Logged rows beside their column's score; `column` selects one bar.
 
-    The scorecard has one row per column of the profiled table.
+    A scorecard of batches, and issues that carry the same columns, are joined on `by` too.
     """
     picked = issues if column is None else issues.where(F.col("column") == column)
-    scores = scorecard.select("column", "health_score", "status")
-    return picked.join(F.broadcast(scores), "column").select(
-        "row_index", "column", "issue_type", "health_score", "status"
+    scores = scorecard.select(*by, "column", "health_score", "status")
+    others = scorecard.columns[: scorecard.columns.index("column")]
+    if set(others) != set(by):
+        raise ValueError(f"the scorecard has the batch columns {others}; name them in `by`")
+    return picked.join(scores, [*by, "column"]).select(
+        *by, "row_index", "column", "issue_type", "health_score", "status"
     )
 
 
@@ -46,17 +54,19 @@ def shape(df: DataFrame) -> DataFrame:
 
 def preview(df: DataFrame, row_id: str, n: int = 5) -> DataFrame:
     """The first `n` rows."""
-    return df.orderBy(F.col(f"`{row_id}`")).limit(n)
+    return df.orderBy(F.col(quoted(row_id))).limit(n)
 
 
-def write_reports(scorecard: DataFrame, summary: DataFrame, issues: DataFrame, folder: str) -> dict[str, str]:
-    """The three files a dashboard imports.
+def write_reports(
+    scorecard: DataFrame, summary: DataFrame, issues: DataFrame, folder: str, one_issues_file: bool = False
+) -> dict[str, str]:
+    """The three results a dashboard imports.
 
-    One file each: the scorecard has a row per column, the summary one row, and
-    the issues log a capped number per column.
+    One file each for the scorecard, which has a row per column, and the summary,
+    which has one row; the issues log is a folder of files unless it is capped.
     """
     return {
         "scorecard": write_csv(scorecard, f"{folder}/column_health_scorecard", single_file=True),
         "summary": write_json(summary, f"{folder}/overall_summary"),
-        "issues": write_csv(issues, f"{folder}/issues_log", single_file=True),
+        "issues": write_csv(issues, f"{folder}/issues_log", single_file=one_issues_file),
     }

@@ -7,24 +7,39 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions import scoring
+from plumbline.functions.values import quoted
+
+
+# Partition column of a history: a digest of the label, which names its folder.
+LABEL_KEY = "_batch_key"
 
 
 def append_history(scores: DataFrame, path: str, batch: str = "batch_date") -> None:
     """Write scores that carry a `batch` column into the history.
 
-    Re-running a batch replaces its own rows and no others.
+    Re-running a batch replaces its own rows and no others.  The label itself is
+    an ordinary column and keeps its type and spelling, missing ones included.
     """
+    label = F.col(quoted(batch)).cast("string")
+    key = F.when(label.isNull(), "none").otherwise(F.concat(F.lit("of_"), F.sha2(label, 256)))
     (
-        scores.write.mode("overwrite")
+        scores.withColumn(LABEL_KEY, key)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(batch)
+        .partitionBy(LABEL_KEY)
         .parquet(path)
     )
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a history, as they were appended."""
+    return spark.read.parquet(path).drop(LABEL_KEY)
+
+
 def quality_trend(spark: SparkSession, path: str, batch: str = "batch_date") -> DataFrame:
     """The recorded overall score of every batch, oldest first."""
-    return spark.read.parquet(path).select(batch, "overall_health_score").orderBy(batch)
+    label = F.col(quoted(batch))
+    return read_history(spark, path).select(label, "overall_health_score").orderBy(label)
 
 
 def score_drift(

@@ -29,26 +29,50 @@ INTEGER_PATTERN = "^[+-]?[0-9]+$"
 
 
 def read_text_cells(
-    spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    na_tokens: Sequence[str] = NA_TOKENS,
+    multiline: bool = False,
+    surplus: str = "fail",
 ) -> DataFrame:
     """Every column as text, missing cells as NULL.
 
     `multiline` allows line breaks inside quotes, but then a file cannot be split.
+    A row with more cells than the header fails the read, or loses them when
+    `surplus` is "drop"; cells that a row lacks are missing.
     """
-    raw = spark.read.csv(
-        path,
-        header=True,
-        inferSchema=False,
-        quote='"',
-        escape='"',
-        multiLine=multiline,
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    if surplus not in ("fail", "drop"):
+        raise ValueError("surplus must be 'fail' or 'drop'")
+    options = {
+        "header": True,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multiline,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    names = spark.read.csv(path, inferSchema=False, **options).columns
+    # One column more than the header holds the first surplus cell of a row.
+    refs = [f"c{i}" for i in range(len(names) + 1)]
+    raw = spark.read.schema(", ".join(f"{r} string" for r in refs)).csv(path, enforceSchema=True, **options)
+    last = F.col(refs[-1])
+    told = F.concat(F.lit(f"a row has more than {len(names)} cells, the next one is "), last)
     tokens = list(na_tokens)
-    return raw.select(
-        *(F.when(~F.col(quoted(c)).isin(tokens), F.col(quoted(c))).alias(c) for c in raw.columns)
-    )
+    columns = []
+    for ref, name in zip(refs[:-1], names, strict=True):
+        cell = F.when(~F.col(ref).isin(tokens), F.col(ref))
+        if surplus == "fail":  # in every column, so that it holds whichever are read
+            cell = F.when(last.isNotNull(), F.raise_error(told).cast("string")).otherwise(cell)
+        columns.append(cell.alias(name))
+    return raw.select(*columns)
+
+
+def check_line_breaks(spark: SparkSession, path: str) -> None:
+    """Fails if a line opens a quoted cell that it does not close: the file needs `multiline`."""
+    quotes = "length(value) - length(replace(value, '\"', ''))"
+    open_ = spark.read.text(path).where(f"({quotes}) % 2 = 1").limit(1)
+    if not open_.isEmpty():
+        raise ValueError("a quoted cell does not close on its line; read the file with multiline=True")
 
 
 def infer_types(cells: DataFrame) -> T.StructType:
@@ -93,16 +117,21 @@ def read_csv(
     na_tokens: Sequence[str] = NA_TOKENS,
     multiline: bool = False,
     bad_cells: str = "fail",
+    surplus: str = "fail",
 ) -> DataFrame:
     """Read a CSV file or folder with a header.
 
     Without `schema` the types are inferred in one extra pass.  With `schema`,
     a cell that does not fit its type fails the read, or becomes NULL when
-    `bad_cells` is "null".
+    `bad_cells` is "null".  Without `multiline` the lines are checked first for
+    quoted cells that do not close; a row with surplus cells fails the read,
+    unless `surplus` is "drop".
     """
     if bad_cells not in ("fail", "null"):
         raise ValueError("bad_cells must be 'fail' or 'null'")
-    cells = read_text_cells(spark, path, na_tokens, multiline)
+    if not multiline:
+        check_line_breaks(spark, path)
+    cells = read_text_cells(spark, path, na_tokens, multiline, surplus)
     if schema is None:
         schema = infer_types(cells)
     if [f.name for f in schema.fields] != cells.columns:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,11 +10,7 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster names in spark.checkpoint.dir.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    Where that is not set, below the session's warehouse, which is shared as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="plumbline-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/plumbline/{name}-{uuid.uuid4().hex}"

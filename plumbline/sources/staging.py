@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,14 +29,16 @@ def load_staging(
     path: str | None = None,
     schema: T.StructType | None = None,
     row_id: str | None = None,
+    **reading: Any,
 ) -> DataFrame:
     """Replace a staging table (or Parquet folder) with the rows of a raw CSV.
 
-    `row_id` adds a column of that name with the row's position in the files.
+    `row_id` adds a column of that name with the row's position in the files;
+    `reading` are the options of `read_csv`.
     """
     if (table is None) == (path is None):
         raise ValueError("give either a table or a path")
-    rows = read_csv(spark, csv_path, schema)
+    rows = read_csv(spark, csv_path, schema, **reading)
     if row_id is not None:
         rows = with_row_id(rows, row_id)
     return replace_table(rows, table) if table is not None else replace_parquet(rows, path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from plumbline.functions import scoring
 from plumbline.functions.rules import Rules
 from plumbline.operators.profile import column_counts
 from plumbline.plans.scorecard import kpis, score
-from plumbline.plans.trend import append_history
+from plumbline.plans.trend import append_history, read_history
 
 
 def score_stream(
@@ -22,28 +22,32 @@ def score_stream(
     key: str | None = None,
     rules: Rules | None = None,
     weights: Mapping[str, int] = scoring.WEIGHTS,
+    row_id: str | None = None,
+    by: Sequence[str] = (),
 ) -> DataStreamWriter:
     """A writer, still to be started, that scores every micro-batch on its own.
 
     `<history>/summary` gets the KPIs and `<history>/scorecard` the column
     scores, both keyed by batch_id: a replayed batch replaces its rows.  Batches
     share no state, so duplicates and case variants across batches are not seen.
+    `row_id` is not scored; `by` scores parts of a micro-batch apart.  A batch is
+    read from its source once and kept while it is scored.
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        counts = column_counts(batch, key, rules).persist()
+        held = batch.persist()
+        counts = column_counts(held, key, rules, row_id, by).persist()
         try:
             tagged = F.lit(batch_id).cast("long").alias("batch_id")
-            append_history(kpis(counts, weights=weights).select(tagged, "*"), f"{history}/summary", "batch_id")
-            append_history(score(counts, weights=weights).select(tagged, "*"), f"{history}/scorecard", "batch_id")
+            append_history(kpis(counts, by, weights).select(tagged, "*"), f"{history}/summary", "batch_id")
+            append_history(score(counts, by, weights).select(tagged, "*"), f"{history}/scorecard", "batch_id")
         finally:
             counts.unpersist()
+            held.unpersist()
 
     return stream.writeStream.foreachBatch(record).option("checkpointLocation", checkpoint)
 
 
 def stream_history(spark: SparkSession, history: str, part: str = "summary") -> DataFrame:
     """What `score_stream` has recorded so far: the "summary" or the "scorecard" rows."""
-    recorded = spark.read.parquet(f"{history}/{part}")
-    others = [c for c in recorded.columns if c != "batch_id"]
-    return recorded.select(F.col("batch_id").cast("long").alias("batch_id"), *others)
+    return read_history(spark, f"{history}/{part}")

@@ -110,18 +110,18 @@ def expected_counts(rows):
     return counts
 
 
-def expected_issues(rows):
+def expected_issues(rows, cap=CAP):
     rows = sorted(rows)
     names = ["k", "n", "v", "s", "t"]
     log = []
     for j, name in enumerate(names, start=1):
-        log += [(r[0], name, "missing_value") for r in rows if missing(r[j])][:CAP]
+        log += [(r[0], name, "missing_value") for r in rows if missing(r[j])][:cap]
     times = Counter(r[1] for r in rows)
-    log += [(r[0], "k", "duplicate_key") for r in rows if times[r[1]] > 1][:CAP]
+    log += [(r[0], "k", "duplicate_key") for r in rows if times[r[1]] > 1][:cap]
     for name, rule in RULES.items():
         if name in names:
             j = names.index(name) + 1
-            log += [(r[0], name, "invalid_value") for r in rows if out_of_range(r[j], rule)][:CAP]
+            log += [(r[0], name, "invalid_value") for r in rows if out_of_range(r[j], rule)][:cap]
     return log
 
 
@@ -142,13 +142,14 @@ def test_against_loops(spark, seed):
     assert [tuple(r) for r in issues_log(df, "row_id", "k", RULES, cap=CAP).collect()] == expected_issues(rows)
 
     distinct = Counter(tuple(plain(x) for x in r[1:]) for r in rows)
-    for limit in (0, 10**6):
-        assert duplicate_rows(df, "row_id", limit).first().duplicate_rows == len(rows) - len(distinct)
-        groups = duplicate_row_groups(df.drop("row_id"), max_broadcast_rows=limit).collect()
-        assert {tuple(plain(x) for x in r[:-1]): r.dup_count for r in groups} == {
-            row: n for row, n in distinct.items() if n > 1
-        }
-        assert {r.row_id for r in keep_first(df, "k", "row_id", limit).collect()} == expected_first(rows)
+    assert duplicate_rows(df, "row_id").first().duplicate_rows == len(rows) - len(distinct)
+    groups = duplicate_row_groups(df.drop("row_id")).collect()
+    assert {tuple(plain(x) for x in r[:-1]): r.dup_count for r in groups} == {
+        row: n for row, n in distinct.items() if n > 1
+    }
+    assert {r.row_id for r in keep_first(df, "k", "row_id").collect()} == expected_first(rows)
+    whole = [tuple(r) for r in issues_log(df, "row_id", "k", RULES).collect()]
+    assert sorted(whole) == sorted(expected_issues(rows, None))
 
     ranges = {"v": RULES["v"], "n": {"min": 2}}
     snapshot = tuple(health_snapshot(df, "k", ranges, ["v", "s"]).first())

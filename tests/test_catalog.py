@@ -2,12 +2,13 @@
 
 import __spark_entry__ as spark_entry
 import pytest
+from catalog import oracles, queries
 
 from check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = spark_entry.queries()
-ORACLES = spark_entry.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")

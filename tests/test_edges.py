@@ -1,12 +1,15 @@
 import pytest
 from plumbline import (
+    CleanSpec,
     categories_outside,
     clean,
-    CleanSpec,
     completeness,
     consistency,
+    duplicate_key_values,
     duplicate_row_groups,
     duplicate_rows,
+    issue_drilldown,
+    issues_duplicate_key,
     issues_log,
     keep_first,
     key_uniqueness,
@@ -67,7 +70,7 @@ def test_nan_is_missing(spark):
     assert {r.column: r.missing_count for r in completeness(df, "row_id").collect()} == {"k": 2, "v": 2}
     assert rows(validity(df, rules, "row_id")) == [("v", 2, 40.0, 60.0)]
     assert rows(key_uniqueness(df, "k", "row_id")) == [("k", 1, 80.0)]
-    assert rows(issues_log(df, "row_id", "k", rules)) == [
+    assert rows(issues_log(df, "row_id", "k", rules, cap=50)) == [
         (1, "k", "missing_value"),
         (2, "k", "missing_value"),
         (1, "v", "missing_value"),
@@ -79,7 +82,7 @@ def test_nan_is_missing(spark):
     ]
     assert rows(duplicate_rows(df, "row_id")) == [(1, 20.0)]
     for limit in (0, 100):
-        assert sorted(r.row_id for r in keep_first(df, "k", "row_id", limit).collect()) == [0, 1, 3, 4]
+        assert sorted(r.row_id for r in keep_first(df, "k", "row_id").collect()) == [0, 1, 3, 4]
 
 
 def test_no_key_or_unknown_key(spark):
@@ -153,17 +156,16 @@ def test_long_text_keys(spark):
         [(0, text), (1, text + "b"), (2, text), (3, "a" * 64), (4, "a" * 64)], "row_id long, k string"
     )
     assert rows(key_uniqueness(df, "k", "row_id")) == [("k", 2, 60.0)]
-    assert [r[0] for r in rows(issues_log(df, "row_id", "k"))] == [0, 2, 3, 4]
-    for limit in (0, 100):
-        kept = keep_first(df, "k", "row_id", limit).collect()
-        assert sorted((r.row_id, r.k) for r in kept) == [(0, text), (1, text + "b"), (3, "a" * 64)]
+    assert sorted(r[0] for r in rows(issues_log(df, "row_id", "k"))) == [0, 2, 3, 4]
+    kept = keep_first(df, "k", "row_id").collect()
+    assert sorted((r.row_id, r.k) for r in kept) == [(0, text), (1, text + "b"), (3, "a" * 64)]
 
 
 def test_cap(spark):
     df = spark.range(0, 5000, 1, 16).selectExpr(
         "4999 - id AS row_id", "if(id % 3 = 0, NULL, id % 7) AS k", "if(id % 2 = 0, NULL, -1L) AS v", "'x' AS s"
     )
-    log = rows(issues_log(df, "row_id", "k", {"v": {"min": 0}}))
+    log = rows(issues_log(df, "row_id", "k", {"v": {"min": 0}}, cap=50))
     data = {r.row_id: r for r in df.collect()}
     order = sorted(data)
     expected = (
@@ -186,10 +188,61 @@ def test_hot_key(spark):
         if seen[k] == 1:
             first.add(i)
     assert rows(key_uniqueness(df, "k", "row_id"))[0][1] == len(data) - len(seen)
-    for limit in (0, 100000):
-        assert {r.row_id for r in keep_first(df, "k", "row_id", limit).collect()} == first
-    log = [r[0] for r in rows(issues_log(df, "row_id", "k")) if r[2] == "duplicate_key"]
-    assert log == [i for i, k in sorted(data) if seen[k] > 1][:50]
+    assert {r.row_id for r in keep_first(df, "k", "row_id").collect()} == first
+    repeated = [i for i, k in sorted(data) if seen[k] > 1]
+    log = [r[0] for r in rows(issues_log(df, "row_id", "k", cap=50)) if r[2] == "duplicate_key"]
+    assert log == repeated[:50]
+    assert sorted(r[0] for r in rows(issues_duplicate_key(df, "row_id", "k"))) == repeated
+    absent = df.selectExpr("row_id", "nullif(k, -1L) AS k")
+    assert sorted(r[0] for r in rows(issues_duplicate_key(absent, "row_id", "k"))) == repeated
+
+
+def test_one_row_of_every_key(spark):
+    """Ties and missing row ids leave exactly one row per key."""
+    df = spark.createDataFrame(
+        [(None, 1, "a"), (None, 1, "b"), (5, 2, "c"), (5, 2, "d"), (7, None, "e"), (None, None, "f"), (1, 3, "g")],
+        "row_id long, k int, v string",
+    )
+    kept = rows(keep_first(df, "k", "row_id"))
+    assert sorted(k for _, k, _ in kept if k is not None) == [1, 2, 3]
+    assert [v for _, k, v in kept if k is None] == ["e"]
+    again = rows(keep_first(df.repartition(5), "k", "row_id"))
+    assert sorted(v for *_, v in again) == sorted(v for *_, v in kept)
+
+
+def test_unknown_columns_are_refused(spark):
+    df = spark.createDataFrame([("x ", 500, 0)], "s string, n int, is_flagged_invalid int")
+    for spec in (CleanSpec(trim=["S"]), CleanSpec(sentence=["t"]), CleanSpec(drop=["u"]), CleanSpec(flag_ranges={"N": {}})):
+        with pytest.raises(ValueError):
+            standardize(df, spec)
+    with pytest.raises(ValueError):
+        standardize(df, CleanSpec(flag_ranges={"n": {"max": 10}}))
+    cased = spark.createDataFrame([(" x", "y ")], "a string, b string").toDF("A", "a")
+    assert rows(standardize(cased, CleanSpec(trim=["A"]))) == [("x", "y ")]
+
+
+def test_map_keys_are_refused(spark):
+    df = spark.sql("SELECT 1L AS row_id, map('a', 1) AS m")
+    for run in (lambda: issues_duplicate_key(df, "row_id", "m"), lambda: keep_first(df, "m", "row_id")):
+        with pytest.raises(ValueError):
+            run()
+
+
+def test_key_called_like_a_result(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "occurrence_count int")
+    got = duplicate_key_values(df, "occurrence_count").collect()
+    assert [tuple(r) for r in got] == [(1, 2)]
+    ticked = df.toDF("a`b")
+    assert [tuple(r) for r in duplicate_key_values(ticked, "a`b").collect()] == [(1, 2)]
+
+
+def test_drilldown_of_batches(spark):
+    df = spark.createDataFrame([(0, "x", None), (1, "y", 1)], "row_id long, day string, v int")
+    card = scorecard(df, rules={}, row_id="row_id", by=["day"])
+    log = issues_log(df.drop("day"), "row_id").join(df.select(F.col("row_id").alias("row_index"), "day"), "row_index")
+    with pytest.raises(ValueError):
+        issue_drilldown(card, log)
+    assert rows(issue_drilldown(card, log, by=["day"]))[0][:3] == ("x", 0, "v")
 
 
 def test_odd_column_names(spark):
@@ -204,7 +257,7 @@ def test_odd_column_names(spark):
     assert card["column"].validity_score == 66.67
     assert card["status"].missing_pct == 33.33
     assert card["it's"].invalid_pct == 33.33
-    assert rows(issues_log(df, "row id", "a.key", rules)) == [
+    assert rows(issues_log(df, "row id", "a.key", rules, cap=50)) == [
         (0, "status", "missing_value"),
         (0, "a.key", "duplicate_key"),
         (1, "a.key", "duplicate_key"),
@@ -225,9 +278,8 @@ def test_nested_and_map_columns(spark):
            (NULL, NULL, NULL, NULL) AS t(i, m, a, s)"""
     )
     assert {r.column: r.missing_count for r in completeness(df).collect()} == {"i": 1, "m": 1, "a": 1, "s": 1}
-    for limit in (0, 100):
-        assert rows(duplicate_rows(df, max_broadcast_rows=limit)) == [(1, 25.0)]
-        assert [r.dup_count for r in duplicate_row_groups(df, max_broadcast_rows=limit).collect()] == [2]
+    assert rows(duplicate_rows(df)) == [(1, 25.0)]
+    assert [r.dup_count for r in duplicate_row_groups(df).collect()] == [2]
     only_map = df.select("m")
     assert rows(duplicate_rows(only_map)) == [(2, 50.0)]
 
@@ -236,8 +288,7 @@ def test_nulls_in_different_columns_are_not_duplicates(spark):
     df = spark.createDataFrame([(None, 1), (1, None), (None, 1), (0, None)], "a int, b int")
     assert rows(duplicate_rows(df)) == [(1, 25.0)]
     zeros = spark.createDataFrame([(0.0,), (-0.0,), (NAN,), (None,)], "v double")
-    for limit in (0, 100):
-        assert rows(duplicate_rows(zeros, max_broadcast_rows=limit)) == [(2, 50.0)]
+    assert rows(duplicate_rows(zeros)) == [(2, 50.0)]
 
 
 def test_wide_table(spark):
@@ -254,7 +305,7 @@ def test_wide_table(spark):
         gone = sum(v % (i + 2) == 0 for v in range(100))
         assert card[f"n{i}"].missing_pct == float(gone)
         assert card[f"n{i}"].invalid_pct == float(sum(v % (i + 2) != 0 for v in range(90, 100)))
-    log = rows(issues_log(df, "row_id", "n5", rules))
+    log = rows(issues_log(df, "row_id", "n5", rules, cap=50))
     missing = [r for r in log if r[2] == "missing_value"]
     assert len(missing) == sum(min(50, sum(v % (i + 2) == 0 for v in range(100))) for i in range(n))
 

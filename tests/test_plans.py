@@ -40,18 +40,35 @@ def test_range_filter_reaches_the_reader(table):
 
 
 def test_issue_scan_skips_clean_row_groups(table):
-    text = plan(pl.issues_log(table.select("row_id", "n"), "row_id", rules={"n": {"min": 5}}))
+    text = plan(pl.issues_log(table.select("row_id", "n"), "row_id", rules={"n": {"min": 5}}, cap=50))
     assert "PushedFilters: [Or(IsNull(n),LessThan(n,5))]" in text
     assert text.count("WindowGroupLimit") == 4  # partial and final, per salt and per column
 
 
-def test_duplicate_issues_broadcast_at_most_cap_keys(table):
-    text = plan(pl.issues_duplicate_key(table, "row_id", "k"))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+def test_whole_log_has_no_window_and_no_sort(table):
+    text = plan(pl.issues_log(table.select("row_id", "n"), "row_id", rules={"n": {"min": 5}}))
+    assert "Window" not in text and "Exchange" not in text and "Sort" not in text
+    keyed = plan(pl.issues_duplicate_key(table, "row_id", "k"))
+    assert "Window" not in keyed and "TakeOrdered" not in keyed
+    assert all(s <= {"row_id", "k"} for s in scans(keyed))
+
+
+def test_first_duplicates_read_only_the_key(table):
+    text = plan(pl.issues_duplicate_key(table, "row_id", "k", cap=50))
     assert text.count("TakeOrderedAndProject(limit=50") == 2
     assert all(s <= {"row_id", "k"} for s in scans(text))
 
 
+def test_row_positions_leave_the_table_where_it_is(spark, table):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(pl.with_row_id(table, "at"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_profile_reads_each_column_once(table):
     text = plan(pl.column_counts(table, None, {"s": {"allowed": ["s1"]}, "n": {"min": 1}}, "row_id"))
     read = scans(text)
@@ -62,22 +79,13 @@ def test_key_check_reads_only_the_key(table):
     assert scans(plan(pl.key_uniqueness(table, "k"))) == [{"k"}]
 
 
-def test_first_rows_without_shuffling_the_table(table):
-    few = plan(pl.keep_first(table, "k", "row_id"))
-    assert "BroadcastHashJoin" in few and "Window" not in few
-    many = plan(pl.keep_first(table, "k", "row_id", max_broadcast_rows=10))
-    assert "BroadcastHashJoin" not in many
-    assert many.count("WindowGroupLimit") == 2
-
-
-def test_unique_key_needs_no_work(table):
-    unique = table.withColumn("key", F.col("row_id"))
-    text = plan(pl.keep_first(unique, "key", "row_id"))
-    assert "Exchange" not in text and "Join" not in text
+def test_first_rows_cut_before_the_shuffle(table):
+    text = plan(pl.keep_first(table, "k", "row_id"))
+    assert "Join" not in text and text.count("WindowGroupLimit") == 2
 
 
-def test_unique_rows_are_not_read_again(table):
-    assert scans(plan(pl.duplicate_row_groups(table))) == []
+def test_duplicate_rows_are_one_pass(table):
+    assert len(scans(plan(pl.duplicate_rows(table)))) == 1
 
 
 def test_snapshot_is_one_pass(table):

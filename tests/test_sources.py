@@ -70,6 +70,23 @@ def test_explicit_schema(spark, tmp_path):
         read_csv(spark, str(path), parsed, bad_cells="drop")
 
 
+def test_surplus_cells_and_line_breaks(spark, tmp_path):
+    (tmp_path / "surplus.csv").write_text("a,b\n1,x\n2,y,EXTRA\n3\n")
+    with pytest.raises(PySparkException):
+        read_csv(spark, str(tmp_path / "surplus.csv"), spark.createDataFrame([], "a bigint, b string").schema).collect()
+    with pytest.raises(PySparkException):
+        read_csv(spark, str(tmp_path / "surplus.csv")).select("a").collect()
+    kept = read_csv(spark, str(tmp_path / "surplus.csv"), surplus="drop")
+    assert sorted(rows(kept)) == [(1, "x"), (2, "y"), (3, None)]
+    (tmp_path / "breaks.csv").write_text('a,b\n1,"line1\nline2"\n2,y\n')
+    with pytest.raises(ValueError):
+        read_csv(spark, str(tmp_path / "breaks.csv"))
+    staged = load_staging(spark, str(tmp_path / "breaks.csv"), path=str(tmp_path / "st"), multiline=True)
+    assert sorted(rows(staged)) == [(1, "line1\nline2"), (2, "y")]
+    result = inspect_csv(spark, str(tmp_path / "breaks.csv"), str(tmp_path / "out"), "a", multiline=True)
+    assert result["summary"]["total_rows"] == 2
+
+
 def test_whitespace_and_quotes_survive_a_round_trip(spark, tmp_path):
     values = ["a  ", "  b", "\tc", 'say "hi"', "x,y", None, "back\\slash", "é "]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, s string")
@@ -147,7 +164,7 @@ def test_history(spark, tmp_path):
     append_history(batch("2024-01-02", 92.25), path)  # re-run of a batch
     trend = [(str(d), s) for d, s in rows(quality_trend(spark, path))]
     assert trend == [("2024-01-01", 98.48), ("2024-01-02", 92.25), ("2024-01-03", 70.0)]
-    drift = rows(score_drift(spark.read.parquet(path)).orderBy("batch_date"))
+    drift = rows(score_drift(quality_trend(spark, path)).orderBy("batch_date"))
     assert [r[1:] for r in drift] == [(98.48, None, None), (92.25, 98.48, -6.23), (70.0, 92.25, -22.25)]
     low = rows(breaches(quality_trend(spark, path), 90.0, "overall_health_score"))
     assert [str(r[0]) for r in low] == ["2024-01-03"]
