@@ -25,9 +25,6 @@ THRESHOLD = 75
 BINS_LOG2 = 18
 #: In lists of up to this many groups all pairs are compared at once; longer ones have so many leaders.
 SHORT, LEADERS = 64, 16
-#: Times that groups which the leaders left apart are compared with others of their list's largest
-#: component, and with how many of these.
-ROUNDS, CHIEFS = 3, 8
 #: Rows that a part of a very frequent shingle's list should have.
 PART_ROWS = 4096
 #: Sets that a task remembers, so as not to list copies again.
@@ -300,6 +297,9 @@ def _promising(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs of nodes that reach the threshold."""
+    # Of the sets only those of these pairs are sent anywhere, if the pairs are few.
+    pairs = written(pairs, "pairs")
+    sets = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
     a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
@@ -336,41 +336,17 @@ def similar_documents(
     found = written(_scan(lists, threshold), "lists")
 
     pairs = written(_promising(_candidates(found, nodes), nodes, threshold), "pairs")
+    links = _connected(pairs, docs, nodes, threshold)
+    belongs = written(_belongs(nodes, links), "belongs")
+
+    # What the leaders of long lists have left apart.
     members = found.where(F.col("kind") == _MEMBER).select(
         F.col("x").alias("token"), F.col("y").alias("group"), "n", "pos"
     )
-    listed = members.select("group").distinct().join(nodes, "group").select("node")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(listed).distinct()
-    sets = written(_sets(docs, nodes.join(needed, "node").select("node", "doc_id")), "sets")
-
-    # Most pairs lie within clusters: the likeliest of each node first, twice, then those that would still
-    # connect anything, and at last what the leaders of long lists have left apart.
-    left, links, belongs = pairs, None, None
-    for last in (False, False, True):
-        if belongs is not None:
-            of_a, of_b = (belongs.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
-            left = left.join(of_a, "a").join(of_b, "b").where("of_a <> of_b").select("a", "b", "most")
-        tried = left.select("a", "b")
-        if not last:
-            tried = left.groupBy("b").agg(F.max(F.struct("most", "a"))["a"].alias("a")).select("a", "b")
-        tried = written(tried, "tried")
-        more = _verified(tried, sets, threshold)
-        links = written(more if links is None else links.union(more), "links")
-        belongs = written(_belongs(nodes, links), "belongs")
-        left = written(left.join(tried, ["a", "b"], "left_anti"), "pairs")
-    for seed in range(ROUNDS):
-        likely = _promising(_to_chiefs(members, belongs, seed), nodes, threshold)
-        best = likely.groupBy("own").agg(F.max(F.struct("most", "other"))["other"].alias("other"))
-        best = best.select(*_ordered("own", "other")).distinct()
-        more = written(_verified(best, sets, threshold), "links")
-        if more.isEmpty():
-            break
-        links = written(links.union(more), "links")
-        belongs = written(_belongs(nodes, links), "belongs")
-    across = _promising(_across(members, belongs, threshold), nodes, threshold).join(pairs, ["a", "b"], "left_anti")
-    more = written(_verified(across.select("a", "b"), sets, threshold), "links")
-    if not more.isEmpty():
-        belongs = _belongs(nodes, links.union(more))
+    across = _promising(_across(members, belongs, threshold), nodes, threshold)
+    across = written(across.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    if not across.isEmpty():
+        belongs = _belongs(nodes, links.union(_connected(across, docs, belongs, threshold)))
 
     smallest = belongs.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = belongs.join(smallest, "component").select("node", "component_id")
@@ -381,6 +357,29 @@ def similar_documents(
     )
 
 
+def _connected(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """Links among the pairs, enough of them to connect whatever is similar.
+
+    Most pairs lie within clusters, so the likeliest pair of each node is verified first, and then only
+    those that would still connect anything. nodes may know components already.
+    """
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = written(_sets(docs, nodes.join(needed, "node").select("node", "doc_id")), "sets")
+    best = pairs.groupBy("b").agg(F.max(F.struct("most", "a"))["a"].alias("a")).select("a", "b")
+    best = written(best, "tried")
+    links = written(_verified(best, sets, threshold), "links")
+    if "component" in nodes.columns:
+        own = [F.col("node").alias("a"), F.col("component").alias("b")]
+        known = nodes.join(needed, "node").where("node <> component").select(*own)
+        belongs = components(links.union(known))
+    else:
+        belongs = components(links)
+    of_a, of_b = (belongs.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
+    rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
+    rest = rest.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+    return written(links.union(_verified(rest, sets, threshold)), "links")
+
+
 def _belongs(nodes: DataFrame, links: DataFrame) -> DataFrame:
     found = components(links)
     return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -400,22 +399,6 @@ def _candidates(found: DataFrame, nodes: DataFrame) -> DataFrame:
     return between.union(within.select(F.col("first").alias("a"), F.col("node").alias("b"))).distinct()
 
 
-def _to_chiefs(members: DataFrame, belongs: DataFrame, seed: int) -> DataFrame:
-    """Pairs of a node with some of the largest component in one of its long lists, if that is another one."""
-    of_group = belongs.groupBy("group", "component").agg(F.min("node").alias("node"))
-    rows = members.select("token", "group").join(of_group, "group")
-    sizes = rows.groupBy("token", "component").agg(F.count("*").alias("n"))
-    chief = sizes.groupBy("token").agg(F.max(F.struct("n", "component"))["component"].alias("chief"), F.count("*").alias("n"))
-    rows = rows.join(written(chief.where("n > 1").select("token", "chief"), "chiefs"), "token")
-    some = [
-        F.min(F.struct(F.xxhash64("node", F.lit(seed * CHIEFS + i)), "node"))["node"].alias(f"n{i}") for i in range(CHIEFS)
-    ]
-    chiefs = rows.where("component = chief").groupBy("token").agg(*some)
-    chiefs = written(chiefs.select("token", F.array_distinct(F.array(*(f"n{i}" for i in range(CHIEFS)))).alias("some")), "chiefs")
-    apart = rows.where("component <> chief").select("token", F.col("node").alias("own"))
-    return apart.join(chiefs, "token").select("own", F.explode("some").alias("other")).distinct()
-
-
 def _across(members: DataFrame, belongs: DataFrame, threshold: int) -> DataFrame:
     """Pairs of nodes from one long list, or one group, which are in different components."""
     parted = belongs.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))

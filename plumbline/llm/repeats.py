@@ -28,6 +28,8 @@ LENGTH = 400
 #: Distinct phrases of one trigger whose suffixes one task puts in order; those of a more frequent
 #: trigger are cut into single stretches, which are counted everywhere.
 PHRASES = 128
+#: Texts in one Arrow batch.
+BATCH_ROWS = 1000
 #: Bytes of a text that are parsed at once.
 CHUNK_BYTES = 1 << 19
 
@@ -267,6 +269,8 @@ def without_repeats(
     whatever their names. Phrases are told apart by 128-bit digests.
     """
     keep = [doc_id] if keep is None else keep
+    # Whole texts go to Python in batches of so many rows; the default is more than two tasks need.
+    documents.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     # Equal texts lose the same bytes, so rows that agree in both keys may share what is found for one.
     everything = documents.select(
         F.coalesce(column(doc_id).cast("long"), F.lit(-1)).alias("id"),
