@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -468,7 +469,8 @@ def issues_log_first(spark, sf_dir):
 def cleaned_table_saved(spark, sf_dir):
     """The cleaned table as a saved table, replaced and scanned."""
     cleaned = pl.clean(views.dirty_customer(spark, sf_dir), CUSTOMER_CLEANING, "row_id")
-    return pl.replace_table(cleaned, "plumbline_cleaned_customer")
+    # A name of its own: another session's files may lie in the same warehouse.
+    return pl.replace_table(cleaned, f"plumbline_cleaned_{uuid.uuid4().hex}")
 
 
 @query
