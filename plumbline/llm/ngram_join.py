@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import column, packed, slices, unpacked, written
@@ -343,10 +344,10 @@ def similar_documents(
     members = found.where(F.col("kind") == _MEMBER).select(
         F.col("x").alias("token"), F.col("y").alias("group"), "n", "pos"
     )
-    across = _promising(_across(members, belongs, threshold), nodes, threshold)
-    across = written(across.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    if not across.isEmpty():
-        belongs = _belongs(nodes, links.union(_connected(across, docs, belongs, threshold)))
+    more = _promising(_across(members, belongs, threshold), nodes, threshold)
+    more = written(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    if not more.isEmpty():
+        belongs = _belongs(nodes, links.union(_connected(more, docs, belongs, threshold)))
 
     smallest = belongs.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = belongs.join(smallest, "component").select("node", "component_id")
@@ -406,12 +407,18 @@ def _across(members: DataFrame, belongs: DataFrame, threshold: int) -> DataFrame
     rows = members.join(of_group, "group")
     mixed_ = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     rows = rows.join(mixed_.where("low <> high").select("token"), "token")
+    # Only the first token that two groups share counts: they meet once, and positions bound what follows it.
+    before = W.partitionBy("group", "component").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("earlier", F.collect_list("token").over(before))
     left = rows.toDF(*(c if c == "token" else f"{c}_a" for c in rows.columns))
     right = rows.toDF(*(c if c == "token" else f"{c}_b" for c in rows.columns))
     sizes = 100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
-    places = _enough(F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")), F.col("n_a"), F.col("n_b"), threshold)
+    rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    places = _enough(rest, F.col("n_a"), F.col("n_b"), threshold)
     different = (F.col("group_a") <= F.col("group_b")) & (F.col("component_a") != F.col("component_b"))
-    across = left.join(right, "token").where(different & sizes & places).select("group_a", "component_a", "group_b", "component_b")
+    fresh = ~F.arrays_overlap("earlier_a", "earlier_b")
+    across = left.join(right, "token").where(different & sizes & places & fresh)
+    across = across.select("group_a", "component_a", "group_b", "component_b")
     inside = parted.where("low <> high").select("group").join(of_group, "group")
     inside = inside.toDF("group_a", "component_a").join(inside.toDF("group_b", "component_b"), F.col("group_a") == F.col("group_b"))
     inside = inside.where("component_a < component_b").select("group_a", "component_a", "group_b", "component_b")
