@@ -300,7 +300,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs of nodes that reach the threshold."""
     # Of the sets only those of these pairs are sent anywhere, if the pairs are few.
     pairs = written(pairs, "pairs")
-    sets = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    sets = sets.join(_nodes_of(pairs), "node", "left_semi")
     a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
@@ -308,6 +308,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.where(_enough(shared, F.size("set_a"), F.size("set_b"), threshold)).select("a", "b")
 
 
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
 def _ordered(a: str | Column, b: str | Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -364,7 +368,7 @@ def _connected(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: i
     Most pairs lie within clusters, so the likeliest pair of each node is verified first, and then only
     those that would still connect anything. nodes may know components already.
     """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = _nodes_of(pairs)
     sets = written(_sets(docs, nodes.join(needed, "node").select("node", "doc_id")), "sets")
     best = pairs.groupBy("b").agg(F.max(F.struct("most", "a"))["a"].alias("a")).select("a", "b")
     best = written(best, "tried")
