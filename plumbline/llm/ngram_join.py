@@ -32,7 +32,7 @@ PART_ROWS = 4096
 REMEMBERED = 1 << 18
 
 _BATCH = pa.schema([("kind", pa.int8()), ("x", pa.int64()), ("y", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
-_PAIR, _MEMBER, _LEADER = 0, 1, 2
+_PAIR, _MEMBER, _LEADER, _LED = 0, 1, 2, 3
 
 
 def prefix_size(n, threshold: int):
@@ -171,7 +171,7 @@ def _possible(a: tuple, b: tuple, threshold: int) -> np.ndarray:
 
 
 def _scan(lists: DataFrame, threshold: int) -> DataFrame:
-    """Reads the sorted lists in a stream: pairs to compare; members and leaders of the long ones.
+    """Reads the sorted lists in a stream: pairs of the short ones; members, leaders and led pairs of the long ones.
 
     A member of a long list is met by its first LEADERS groups only, so that no list is held in memory.
     """
@@ -213,26 +213,26 @@ def _pairs(rows, starts, size, long_, old: int, threshold: int) -> Iterator[pa.R
     own = np.repeat(np.arange(len(starts)), size)
     list_, group, n, pos = rows
 
-    def pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs(kind: int, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
         good = _possible((n[a], pos[a]), (n[b], pos[b]), threshold)
         a, b = a[good], b[good]
         if len(a):
             low, high = np.minimum(group[a], group[b]), np.maximum(group[a], group[b])
-            yield _batch(_PAIR, low, high, np.zeros(len(a)), np.zeros(len(a)))
+            yield _batch(kind, low, high, np.zeros(len(a)), np.zeros(len(a)))
 
     short = ~long_
     for gap in range(1, int(size[short].max(initial=0))):
         lists = np.flatnonzero(short & (size > gap))
         a = np.flatnonzero(np.isin(own, lists)) if len(lists) < len(starts) // 2 else np.flatnonzero(short[own])
         a = a[a + gap < starts[own[a]] + size[own[a]]]
-        yield from pairs(a, a + gap)
+        yield from pairs(_PAIR, a, a + gap)
     member = np.flatnonzero(long_[own])
     if not len(member):
         return
     for k in range(LEADERS):
         later = member[member > starts[own[member]] + k]
         later = later[later >= old]
-        yield from pairs(starts[own[later]] + k, later)
+        yield from pairs(_LED, starts[own[later]] + k, later)
     given = member[member >= old]
     yield _batch(_MEMBER, (list_[given].view(np.uint64) >> np.uint64(8)).view(np.int64), group[given], n[given], pos[given])
     first = starts[long_ & ((list_[starts] & 255) > 0)]
@@ -344,11 +344,12 @@ def similar_documents(
     links = _connected(pairs, docs, nodes, threshold)
     belongs = written(_belongs(nodes, links), "belongs")
 
-    # What the leaders of long lists have left apart.
+    # What the first nodes of groups, and the leaders of long lists, have left apart.
     members = found.where(F.col("kind") == _MEMBER).select(
         F.col("x").alias("token"), F.col("y").alias("group"), "n", "pos"
     )
-    more = _promising(_across(members, belongs, threshold), nodes, threshold)
+    short = found.where(F.col("kind") == _PAIR).select(F.col("x").alias("group_a"), F.col("y").alias("group_b"))
+    more = _promising(_across(members, short, belongs, threshold), nodes, threshold)
     more = written(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         belongs = _belongs(nodes, links.union(_connected(more, docs, belongs, threshold)))
@@ -393,7 +394,7 @@ def _belongs(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def _candidates(found: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of nodes to compare: those of groups, for which their first nodes stand, and others of a group with its first."""
     groups = nodes.groupBy("group").agg(F.min("node").alias("first"), F.count("*").alias("nodes"))
-    pairs = found.where(F.col("kind") == _PAIR).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = found.where(F.col("kind").isin(_PAIR, _LED)).select(F.col("x").alias("a"), F.col("y").alias("b"))
     leaders = found.where(F.col("kind") == _LEADER).select("x", "y")
     chief = leaders.groupBy("x").agg(F.min("y").alias("chief"))
     of_parts = leaders.join(chief, "x").where("y > chief").select(F.col("chief").alias("a"), F.col("y").alias("b"))
@@ -404,8 +405,8 @@ def _candidates(found: DataFrame, nodes: DataFrame) -> DataFrame:
     return between.union(within.select(F.col("first").alias("a"), F.col("node").alias("b"))).distinct()
 
 
-def _across(members: DataFrame, belongs: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of nodes from one long list, or one group, which are in different components."""
+def _across(members: DataFrame, short: DataFrame, belongs: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of nodes from one long list, one pair of groups of a short list, or one group, which are in different components."""
     parted = belongs.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     of_group = belongs.select("group", "component").distinct()
     rows = members.join(of_group, "group")
@@ -426,7 +427,16 @@ def _across(members: DataFrame, belongs: DataFrame, threshold: int) -> DataFrame
     inside = parted.where("low <> high").select("group").join(of_group, "group")
     inside = inside.toDF("group_a", "component_a").join(inside.toDF("group_b", "component_b"), F.col("group_a") == F.col("group_b"))
     inside = inside.where("component_a < component_b").select("group_a", "component_a", "group_b", "component_b")
-    pairs = across.union(inside).distinct()
+    # The first nodes of groups have met: only where a group has more of them is anything left to compare.
+    nodes = belongs.groupBy("group").agg(F.count("*").alias("nodes"))
+    between = short.distinct()
+    for s in "ab":
+        between = between.join(nodes.toDF(f"group_{s}", f"nodes_{s}"), f"group_{s}")
+    between = between.where("nodes_a > 1 OR nodes_b > 1")
+    for s in "ab":
+        between = between.join(of_group.toDF(f"group_{s}", f"component_{s}"), f"group_{s}")
+    between = between.where("component_a <> component_b").select("group_a", "component_a", "group_b", "component_b")
+    pairs = across.union(inside).union(between).distinct()
     of = belongs.select("group", "component", "node")
     pairs = pairs.join(of.toDF("group_a", "component_a", "node_a"), ["group_a", "component_a"])
     pairs = pairs.join(of.toDF("group_b", "component_b", "node_b"), ["group_b", "component_b"])

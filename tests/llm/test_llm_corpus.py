@@ -138,6 +138,21 @@ def test_similar_documents_against_all_pairs(spark, monkeypatch, short):
     assert ngram_join.similar_documents(docs.limit(0)).count() == 0
 
 
+def test_groups_of_unlike_documents(spark):
+    rng = random.Random(3)
+    # Few words: many short texts of one size share a first shingle, and are one group, but are not alike.
+    texts = sorted({" ".join(rng.choice("ab") for _ in range(rng.choice([7, 7, 8]))) for _ in range(90)})
+    sets, root = word_sets(texts), list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    got = ngram_join.similar_documents(frame(spark, enumerate(texts))).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+    assert len(set(root)) > 20
+
+
 def test_shingles_of_mixed_lengths():
     values, size = shingles([b"", b"a", b"a b c d e f", b" A  B\nc d e", b"x" * 5000])
     assert size.tolist() == [0, 1, 2, 1, 1] and values[1] == values[3] and len(set(values.tolist())) == 4
