@@ -2,11 +2,13 @@
 
 By the q-gram lemma a passage of m characters, copied with at most k edits, keeps m - q + 1 - kq of its
 q-grams, and those lie on at most k + 1 neighbouring diagonals. Diagonals are gathered in bands of
-2(k + 1) that overlap by half, so one band has them all; bands with too few are out.
+2(k + 1) that overlap by half, so one band has them all; bands with too few are out. Short passages keep
+no q-gram for certain: they are cut into k + 1 seeds, of which one is copied as it is.
 """
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ from plumbline.llm.common import column, slices
 
 #: Characters of a q-gram, and edits per character of a passage.
 Q, EDIT_RATE = 8, 0.1
-#: Items with fewer characters than this are no passages and match nothing.
+#: Items with fewer characters than this are searched by seeds, not by q-grams.
 LEAST_CHARS = 24
 #: A longer item is searched in pieces of about this length, each a passage of its own.
 PIECE_CHARS = 512
@@ -59,6 +61,16 @@ def _grams(points: np.ndarray) -> np.ndarray:
         return h * _MIX
 
 
+def _runs(points: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the `size` characters from each position on."""
+    count = max(len(points) - size + 1, 0)
+    h = np.zeros(count, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(size):
+            h = h * _MIX + points[i : i + count]
+    return h
+
+
 class PassageIndex:
     """The q-grams of a block of benchmark items."""
 
@@ -67,15 +79,27 @@ class PassageIndex:
         self.points: list[np.ndarray] = []
         for item, text in items:
             points, _ = _normal((text or "").strip())
-            if len(points) < LEAST_CHARS:
+            if not len(points):
                 continue
             for piece in np.array_split(points, -(-len(points) // PIECE_CHARS)):
                 self.item.append(item)
                 self.points.append(piece)
         self.size = np.array([len(x) for x in self.points], np.int64)
-        self.edits = np.minimum((self.size * EDIT_RATE).astype(np.int64), (self.size - Q) // Q)
+        self.edits = (self.size * EDIT_RATE).astype(np.int64)
+        short = self.size < LEAST_CHARS
+        self.edits = np.where(short, self.edits, np.minimum(self.edits, (self.size - Q) // Q))
         self.least = self.size - Q + 1 - self.edits * Q
-        grams = [_grams(x) for x in self.points]
+        grams = [_grams(x) if len(x) >= LEAST_CHARS else np.zeros(0, np.uint64) for x in self.points]
+        seeds: dict[int, list[tuple[int, int, int]]] = {}  # by length: hash, passage, place
+        for p in np.flatnonzero(short).tolist():
+            place = 0
+            for seed in np.array_split(self.points[p], self.edits[p] + 1):
+                seeds.setdefault(len(seed), []).append((int(_runs(seed, len(seed))[0]), p, place))
+                place += len(seed)
+        self.seeds = {}
+        for length, rows in seeds.items():
+            hashes, passage, place = zip(*sorted(rows), strict=True)
+            self.seeds[length] = np.array(hashes, np.uint64), np.array(passage), np.array(place)
         hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(hashes, kind="stable")
         passage = np.repeat(np.arange(len(grams)), [len(x) for x in grams])
@@ -88,6 +112,8 @@ class PassageIndex:
 
     def candidates(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Passages and the first diagonals of the bands in which they share enough q-grams with the text."""
+        if len(text) < Q or not len(self.hashes):
+            return (np.zeros(0, np.int64),) * 2
         hashes = _grams(text)
         at = np.flatnonzero(self.filter[hashes >> np.uint64(64 - _FILTER_BITS)])
         hashes = hashes[at]
@@ -107,10 +133,21 @@ class PassageIndex:
         passage, band = passage[enough], band[enough]
         return passage, band * (self.edits[passage] + 1) - self.reach
 
+    def seeded(self, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Short passages, and the diagonals on which the text has one of their seeds."""
+        for length, (hashes, passage, place) in self.seeds.items():
+            found = _runs(text, length)
+            at = np.flatnonzero(np.isin(found, hashes))
+            low, high = (np.searchsorted(hashes, found[at], side) for side in ("left", "right"))
+            times = high - low
+            post = np.arange(times.sum()) + np.repeat(low - (np.cumsum(times) - times), times)
+            yield passage[post], np.repeat(at, times) - place[post]
+
     def align(self, text: np.ndarray, passage: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
         """Edits, start and end of the best alignment of each passage around its band, all at once, row by row.
 
-        A cell holds edits * 2**32 + start, so that the least cell also has the first start.
+        A cell holds edits * 2**32 + start, so that the least cell also has the first start. No alignment
+        goes over a _STOP, so that each stays in one document.
         """
         cost = np.int64(1) << 32
         edits = self.edits[passage]
@@ -128,16 +165,20 @@ class PassageIndex:
         for row, p in enumerate(passage):
             chars[row, : size[row]] = self.points[p]
         padded = np.concatenate([text, [_STOP]])
+        stops = np.r_[0, np.cumsum(text == _STOP)]
         steps = place * cost
         for i in range(1, chars.shape[1] + 1):
             at = starts + (i - 1)
             there = padded[np.where((at >= 0) & (at < len(text)), at, len(text))]
             same = cells + np.where(there == chars[:, i - 1, None], 0, cost)
-            same = np.where(at < 0, never, same)
+            same = np.where(there == _STOP, never, same)
             skip = np.concatenate([cells[:, 1:], np.full((len(cells), 1), never)], axis=1) + cost
             cells = np.minimum(same, skip)
             cells = np.where(inside, cells, never)
-            cells = np.minimum.accumulate(cells - steps, axis=1) + steps
+            # What follows a stop lies lower than all before it, so that only cells of one document meet.
+            after = stops[np.clip(starts + i, 0, len(text))]
+            after = steps + (after - after[:, :1]) * (2 * never)
+            cells = np.minimum.accumulate(cells - after, axis=1) + after
             over = np.flatnonzero(size == i)
             if len(over):
                 column_ = cells[over].argmin(axis=1)
@@ -147,15 +188,13 @@ class PassageIndex:
 
     def matches(self, text: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """Passage, edits, start and end of every occurrence within the passage's budget."""
-        if len(text) < Q or not len(self.hashes):
-            return
-        passage, diagonal = self.candidates(text)
-        for start in range(0, len(passage), 256):
-            some = passage[start : start + 256]
-            best = self.align(text, some, diagonal[start : start + 256])
-            for p, (edits, first, end) in zip(some, best, strict=True):
-                if edits <= self.edits[p]:
-                    yield int(p), int(edits), int(first), int(end)
+        for passage, diagonal in (self.candidates(text), *self.seeded(text)):
+            for start in range(0, len(passage), 256):
+                some = passage[start : start + 256]
+                best = self.align(text, some, diagonal[start : start + 256])
+                for p, (edits, first, end) in zip(some, best, strict=True):
+                    if edits <= self.edits[p]:
+                        yield int(p), int(edits), int(first), int(end)
 
 
 def _chunks(text: str, overlap: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -194,9 +233,10 @@ def _found(batch: pa.RecordBatch, index: PassageIndex) -> Iterator[tuple[int, in
         found.append((rows[part], index.item[p], edits, at, to))
     taken: dict[tuple, list] = {}
     for row, item, edits, at, to in sorted(found, key=lambda x: (x[0], x[1], x[2], x[3], x[4])):
-        own = taken.setdefault((row, item), [])
-        if all(to <= a or at >= b for a, b in own):
-            own.append((at, to))
+        own = taken.setdefault((row, item), [])  # in order
+        i = bisect(own, (at, to))
+        if (not i or own[i - 1][1] <= at) and (i == len(own) or to <= own[i][0]):
+            own.insert(i, (at, to))
             yield row, item, at, to, edits
 
 
@@ -213,7 +253,7 @@ def contamination(
     One row per occurrence, best first where those of one item overlap; start and end are code points of
     the text, end exclusive. Case and the amount of white space don't count; otherwise a passage of m
     characters may differ by EDIT_RATE * m edits. Documents without a passage give no row; null and empty
-    texts have none. Items under LEAST_CHARS characters, or null, match nothing; longer than PIECE_CHARS,
+    texts have none. Empty and null items match nothing; of items longer than PIECE_CHARS,
     each piece is a passage. Repeated documents and items give their rows again; a null id is kept.
 
     The documents are read once for each BLOCK_CHARS characters of the benchmark; only the items of one

@@ -263,6 +263,26 @@ def test_long_documents_in_chunks(spark, monkeypatch):
     assert [(x[1], x[2], x[3], x[4]) for x in decontamination._found(batch, index)] == [(5, at, at + len(item), 0)]
 
 
+def test_copies_at_the_edges_of_documents():
+    item = prose(random.Random(15), 30)
+    texts = ["other words", item[1:] + " tail", item[2:], item[:-2], "x", item, item[3:] + item[:-1]]
+    batch = __import__("pyarrow").record_batch({"doc_id": list(range(len(texts))), "text": texts})
+    got = sorted(decontamination._found(batch, decontamination.PassageIndex([(5, item)])))
+    n = len(item)
+    expected = [(1, 0, n - 1, 1), (2, 0, n - 2, 2), (3, 0, n - 2, 2), (5, 0, n, 0)]
+    expected += [(6, 0, n - 3, 3), (6, n - 3, 2 * n - 4, 1)]
+    assert [(row, at, to, edits) for row, _, at, to, edits in got] == expected
+
+
+def test_short_items():
+    items = [(1, "Ab"), (2, "what is 12 plus 30"), (3, "capital city of france"), (4, " ")]
+    texts = ["ab xaB", "What  is 12 plus 31?", "the capitl city of frence", "a b", "what is 15 plus 31", "a"]
+    batch = __import__("pyarrow").record_batch({"doc_id": list(range(len(texts))), "text": texts})
+    got = list(decontamination._found(batch, decontamination.PassageIndex(items)))
+    assert {(row, item, edits) for row, item, _, _, edits in got} == {(0, 1, 0), (1, 2, 1), (2, 3, 2)}
+    assert [(at, to) for row, _, at, to, _ in got if row == 0] == [(0, 2), (4, 6)]
+
+
 # --- vectors ------------------------------------------------------------------------------------
 
 
