@@ -190,6 +190,22 @@ def test_passage_in_a_third_of_all_documents(spark):
     assert len(got) < 240 * 20
 
 
+def test_near_passages_against_definition(spark):
+    rng = random.Random(16)
+    texts = []
+    for i in range(160):
+        words = prose(rng, 52, 10**6).split()  # little more than one window under each function
+        near = list(words)
+        for at in [(26,), (0, 26)][i % 2]:
+            near[at] = "other"
+        texts += [" ".join(words), " ".join(near)]
+    sets = word_sets(texts)
+    for i in range(0, len(texts), 2):
+        assert 0.75 <= len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) < 0.93
+    got = passages.repeated_passages(frame(spark, enumerate(texts))).collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(i, i ^ 1) for i in range(len(texts))}
+
+
 def test_compact_windows_against_definition():
     rng = np.random.default_rng(11)
     values = (rng.integers(0, 40, 200) << 30).astype(np.uint64)  # with ties
