@@ -65,7 +65,7 @@ _SPANS = T.ArrayType(T.StructType().add("lang", "string").add("start", "integer"
 _STARTS = [start for start, _ in _SCRIPT_RANGES]
 SCRIPTS = sorted({script for _, script in _SCRIPT_RANGES})
 _SCRIPT_OF = [SCRIPTS.index(script) for _, script in _SCRIPT_RANGES]
-#: Share of a script's letters that a language needs to be a candidate for its words.
+#: Share of a language's own letters that a script needs for the language to be a candidate for its words.
 CANDIDATE_SHARE = 0.002
 #: What a change of language costs, and how far one word may speak against a language, in nats.
 SWITCH, WORD_LIMIT = 12.0, 10.0
@@ -96,8 +96,9 @@ class LanguageModel:
         special = bin_ < 0
         np.add.at(by_script, (-1 - bin_[special], class_[special]), n[special])
         self.prior = by_script.sum(axis=0) / max(by_script.sum(), 1)
-        share = by_script / np.maximum(by_script.sum(axis=1, keepdims=True), 1)
-        self.candidates = (share >= CANDIDATE_SHARE) | (by_script.sum(axis=1, keepdims=True) == 0)
+        # Of its own letters, so that a language is no less a candidate where others have far more text.
+        fair = by_script / np.maximum(by_script.sum(axis=0), 1) >= CANDIDATE_SHARE
+        self.candidates = fair | ~fair.any(axis=1, keepdims=True)
 
     def scores(self, unique: list[str]) -> np.ndarray:
         """Log-likelihood of each word in each language, best 0; what a script rules out is at the limit."""

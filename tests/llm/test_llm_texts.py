@@ -122,6 +122,15 @@ def test_languages_and_spans(spark):
     assert {r.lang_pred for r in langid.identify(docs, nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def test_rare_language_of_a_common_script(spark):
+    rows = [(i, f"{SAMPLES['en']} " * 400, "en") for i in range(20)] + [(20, SAMPLES["de"], "de"), (21, "слово дом", "ru")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    more = spark.createDataFrame([(0, SAMPLES["de"]), (1, SAMPLES["en"]), (2, "дом"), (3, "λόγος")], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identify(more, langid.fit(docs), ["doc_id"]).collect()}
+    assert [got[i].lang_pred for i in range(3)] == ["de", "en", "ru"]
+    assert 0 <= got[3].score <= 1
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(3)
     for _ in range(30):
