@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, langid, preference, repeats, toxicity
+from plumbline.llm import bpe, collocations, langid, preference, repeats, sentencepiece_bpe, spelling, toxicity
 from plumbline.llm.decontamination import contamination
 from plumbline.llm.html_text import extract_main_text
 from plumbline.llm.multi_index import near_duplicates
@@ -64,6 +64,23 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language the 2000 phrases of documents whose words keep together best."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document, and of what its ids decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ids = sentencepiece_bpe.encode(_table(spark, sf_dir, "documents"), ["doc_id"], "text", path, decoded=True)
+    return sentencepiece_bpe.digests(ids, ["doc_id"])
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents and the frequent word each may be a variant of."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -80,10 +97,17 @@ def queries() -> dict[str, Query]:
         op8_ngram_jaccard_join,
         op9_preference_formatting,
         op10_embedding_near_dedup,
+        op11_phrase_collocations,
+        op12_sentencepiece,
+        op13_spelling_variants,
         pipeline,
     )
     return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_preference_formatting": preference.ORACLE_SQL}
+    return {
+        "op9_preference_formatting": preference.ORACLE_SQL,
+        "op11_phrase_collocations": collocations.ORACLE_SQL,
+        "op13_spelling_variants": spelling.ORACLE_SQL,
+    }
