@@ -52,6 +52,19 @@ def key_value(ref: str, dtype: T.DataType) -> str:
     return compact(ref) if is_text(dtype) else nan_to_null(ref, dtype)
 
 
+def key_text(ref: str, dtype: T.DataType) -> str:
+    """A key form as text of bounded width, equal exactly when the key is."""
+    if isinstance(dtype, T.BinaryType):
+        text = f"hex({ref})"
+    elif isinstance(dtype, (T.ArrayType, T.StructType)):
+        text = f"to_json({ref}, map('ignoreNullFields', 'false'))"
+    elif isinstance(dtype, FLOAT_TYPES):
+        text = f"CAST({ref} + 0.0D AS STRING)"  # -0.0 is 0.0
+    else:
+        text = f"CAST({ref} AS STRING)"
+    return compact(text)
+
+
 def orderable(dtype: T.DataType) -> bool:
     """Whether values of the type can be compared and sorted, as keys must be."""
     if isinstance(dtype, T.ArrayType):

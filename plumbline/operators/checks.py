@@ -19,15 +19,15 @@ from plumbline.operators.profile import repeated_rows
 from plumbline.operators.table import Table
 
 
-def _required(t: Table, names: Sequence[str]) -> list:
+def required_fields(t: Table, names: Sequence[str]) -> list:
     absent = [n for n in names if t.field(n) is None]
     if absent:
         raise ValueError(f"no such column: {', '.join(absent)}")
     return [t.field(n) for n in names]
 
 
-def _any_outside(t: Table, ranges: Rules) -> Column:
-    tests = [outside_range(f.ref, f.dtype, ranges[f.name]) for f in _required(t, list(ranges))]
+def any_outside(t: Table, ranges: Rules) -> Column:
+    tests = [outside_range(f.ref, f.dtype, ranges[f.name]) for f in required_fields(t, list(ranges))]
     return reduce(or_, [test for test in tests if test is not None], F.lit(False))
 
 
@@ -40,7 +40,7 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return t.df.agg(
         *(
             F.sum(F.when(f.missing, 1).otherwise(0)).alias(f"missing_{f.name}")
-            for f in _required(t, columns)
+            for f in required_fields(t, columns)
         ),
         F.count("*").alias("total_rows"),
     )
@@ -49,7 +49,7 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def duplicate_key_values(df: DataFrame, key: str) -> DataFrame:
     """Key values that occur more than once, most frequent first; NULL is one value."""
     t = Table(df)
-    (field,) = _required(t, [key])
+    (field,) = required_fields(t, [key])
     value = F.expr(nan_to_null(field.ref, field.dtype)).alias("value")
     groups = t.df.select(value).groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
     if orderable(field.dtype):
@@ -60,7 +60,7 @@ def duplicate_key_values(df: DataFrame, key: str) -> DataFrame:
 def duplicate_row_groups(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that occur more than once over `columns` (all by default), with dup_count."""
     t = Table(df)
-    fields = _required(t, columns if columns is not None else df.columns)
+    fields = required_fields(t, columns if columns is not None else df.columns)
     groups = repeated_rows(t, fields)
     return groups.select(*(f.col.alias(f.name) for f in fields), F.col("n").alias("dup_count"))
 
@@ -68,13 +68,13 @@ def duplicate_row_groups(df: DataFrame, columns: Sequence[str] | None = None) ->
 def out_of_range_rows(df: DataFrame, ranges: Rules, columns: Sequence[str]) -> DataFrame:
     """Rows with any value outside its range, projected to `columns`."""
     t = Table(df)
-    return t.df.where(_any_outside(t, ranges)).select(*(f.col.alias(f.name) for f in _required(t, columns)))
+    return t.df.where(any_outside(t, ranges)).select(*(f.col.alias(f.name) for f in required_fields(t, columns)))
 
 
 def categories_outside(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
     """Distinct raw values whose trimmed lower-case form is not allowed."""
     t = Table(df)
-    (field,) = _required(t, [column])
+    (field,) = required_fields(t, [column])
     lowered = [a.lower() for a in allowed]
     values = t.df.select(field.col).distinct()
     return values.where(field.col.isNotNull() & ~F.lower(F.trim(field.col)).isin(lowered)).toDF(column)
@@ -83,7 +83,7 @@ def categories_outside(df: DataFrame, column: str, allowed: Sequence[str]) -> Da
 def untrimmed_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct raw values with spaces around them."""
     t = Table(df)
-    (field,) = _required(t, [column])
+    (field,) = required_fields(t, [column])
     return t.df.where(field.col != F.trim(field.col)).select(field.col.alias(column)).distinct()
 
 
@@ -93,11 +93,11 @@ def health_snapshot(df: DataFrame, key: str, ranges: Rules, required: Sequence[s
     One pass: the row counts ride along with the group-by on the key.
     """
     t = Table(df)
-    (key_field,) = _required(t, [key])
-    incomplete = reduce(or_, (f.missing for f in _required(t, required)))
+    (key_field,) = required_fields(t, [key])
+    incomplete = reduce(or_, (f.missing for f in required_fields(t, required)))
     rows = t.df.select(
         key_field.key.alias("key"),
-        F.when(_any_outside(t, ranges), 1).otherwise(0).alias("invalid"),
+        F.when(any_outside(t, ranges), 1).otherwise(0).alias("invalid"),
         F.when(incomplete, 1).otherwise(0).alias("incomplete"),
     )
     groups = rows.groupBy("key").agg(

@@ -33,12 +33,13 @@ class CleanSpec:
     flag: str = "is_flagged_invalid"
 
 
-def keep_first(df: DataFrame, key: str, row_id: str) -> DataFrame:
+def keep_first(df: DataFrame, key: str, row_id: str, clustered: bool = False) -> DataFrame:
     """One row of every key, that with the smallest `row_id`; missing keys are one key.
 
     Rows without a `row_id` come last; ties fall to the smallest hash of the row,
     so exactly one row per key stays.  Every task drops all but its own first row
-    of a key before the shuffle, so a hot key sends one row per task.
+    of a key before the shuffle, so a hot key sends one row per task.  `clustered`
+    says that the table is bucketed by the key; then there is no shuffle.
     """
     t = Table(df, row_id)
     field_ = _named(t, [key])[0]
@@ -46,7 +47,7 @@ def keep_first(df: DataFrame, key: str, row_id: str) -> DataFrame:
     cells = [F.xxhash64(f.col) for f in t.fields if hashable(f.dtype)]
     order = W.partitionBy("key").orderBy(F.col(ROW).asc_nulls_last(), *cells)
     return (
-        t.df.select("*", field_.comparable("keep_first").alias("key"))
+        t.df.select("*", field_.comparable("keep_first", clustered).alias("key"))
         .select("*", F.row_number().over(order).alias("rank"))
         .where("rank = 1")
         .drop("key", "rank")

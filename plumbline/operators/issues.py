@@ -25,8 +25,11 @@ MISSING, DUPLICATE, INVALID = range(3)
 # Reducers that share the cut of one column's issues before the last one.
 SALTS = 64
 
-# Tasks that share the rows of one repeated key.
-KEY_SALTS = 16
+# Rows of one repeated key that go to one task; a key with more is dealt over as many tasks as it needs.
+ROWS_PER_TASK = 1_000_000
+
+# Keys that are dealt over several tasks, those with most rows: any other has at most a 1000th of all rows.
+DEALT_KEYS = 1000
 
 Test = tuple[int, int, int, Column]  # kind, place in the log, ordinal, predicate
 
@@ -82,19 +85,30 @@ def _repeated(rows: DataFrame) -> DataFrame:
     )
 
 
-def _all_duplicates(rows: DataFrame) -> DataFrame:
+def _all_duplicates(rows: DataFrame, rows_per_task: int, clustered: bool) -> DataFrame:
     """Every row whose key occurs more than once.
 
-    Rows without a key, of which there may be very many, are not joined by it:
-    they stay if there are two.  The rows of one key go to several tasks.
+    Rows without a key, of which there may be very many, are not joined by it: they stay if there are two.
+    Keys are counted first; the rows of one with more than `rows_per_task` are dealt over as many parts as
+    its count asks for, by a join with the DEALT_KEYS most frequent keys at most, which is broadcast. In a table
+    clustered by the key no row leaves its bucket.
     """
-    parts = F.explode(F.sequence(F.lit(0), F.lit(KEY_SALTS - 1))).alias("part")
-    salted = rows.withColumn("part", F.pmod(F.xxhash64(ROW), F.lit(KEY_SALTS)).cast("int"))
-    repeated = _repeated(rows.where("key IS NOT NULL")).select("repeated", parts)
-    on = (F.col("key") == F.col("repeated")) & (salted["part"] == repeated["part"])
-    absent = rows.where("key IS NULL").agg(F.count("*").alias("n")).where("n > 1").select(parts)
-    kept = salted.where("key IS NULL").join(F.broadcast(absent), "part", "left_semi")  # 16 rows or none
-    return salted.where("key IS NOT NULL").join(repeated, on, "left_semi").select(ROW).union(kept.select(ROW))
+    present = rows.where("key IS NOT NULL")
+    repeated = present.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    if clustered:
+        kept = present.join(repeated.select("key"), "key", "left_semi")
+    else:
+        heavy = repeated.where(F.col("n") > rows_per_task).orderBy(F.desc("n"), "key").limit(DEALT_KEYS)
+        heavy = F.broadcast(heavy.select(F.col("key"), F.ceil(F.col("n") / rows_per_task).cast("int").alias("parts")))
+        dealt = present.join(heavy, "key", "left").withColumn(
+            "part", F.coalesce(F.pmod(F.xxhash64(ROW), F.col("parts")).cast("int"), F.lit(0))
+        )
+        parts = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+        wanted = repeated.join(heavy, "key", "left").select("key", parts)
+        kept = dealt.join(wanted, ["key", "part"], "left_semi")
+    keyless = rows.where("key IS NULL").withColumn("many", F.lit(True))
+    several = keyless.groupBy("many").agg(F.count("*").alias("n")).where("n > 1").select("many")  # one row or none
+    return kept.select(ROW).union(keyless.join(F.broadcast(several), "many", "left_semi").select(ROW))
 
 
 def _first_duplicates(rows: DataFrame, cap: int) -> DataFrame:
@@ -110,10 +124,10 @@ def _first_duplicates(rows: DataFrame, cap: int) -> DataFrame:
     )
 
 
-def _duplicates(t: Table, key: str, cap: int | None) -> DataFrame:
+def _duplicates(t: Table, key: str, cap: int | None, rows_per_task: int, clustered: bool) -> DataFrame:
     field = t.field(key)
-    rows = t.df.select(field.comparable("issues").alias("key"), ROW)
-    found = _all_duplicates(rows) if cap is None else _first_duplicates(rows, cap)
+    rows = t.df.select(field.comparable("issues", clustered).alias("key"), ROW)
+    found = _all_duplicates(rows, rows_per_task, clustered) if cap is None else _first_duplicates(rows, cap)
     return found.select(
         F.lit(DUPLICATE).alias("kind"), F.lit(0).alias("place"), F.lit(field.ordinal).alias("ordinal"), ROW
     )
@@ -133,13 +147,20 @@ def _range_tests(t: Table, rules: Rules) -> list[Test]:
     return tests
 
 
-def _log(t: Table, tests: Sequence[Test], key: str | None, cap: int | None) -> DataFrame:
+def _log(
+    t: Table,
+    tests: Sequence[Test],
+    key: str | None,
+    cap: int | None,
+    rows_per_task: int = ROWS_PER_TASK,
+    clustered: bool = False,
+) -> DataFrame:
     parts = []
     if tests:
         flagged = _flagged(t, tests).select("kind", "place", "ordinal", ROW)
         parts.append(flagged if cap is None else _first(flagged, cap))
     if t.field(key) is not None:
-        parts.append(_duplicates(t, key, cap))
+        parts.append(_duplicates(t, key, cap, rows_per_task, clustered))
     if not parts:
         kind = T.StructType(
             [
@@ -162,9 +183,20 @@ def issues_missing(df: DataFrame, row_id: str, cap: int | None = None) -> DataFr
     return _log(t, _missing_tests(t), None, cap)
 
 
-def issues_duplicate_key(df: DataFrame, row_id: str, key: str | None, cap: int | None = None) -> DataFrame:
-    """All members of repeated keys; missing keys are one key."""
-    return _log(Table(df, row_id), [], key, cap)
+def issues_duplicate_key(
+    df: DataFrame,
+    row_id: str,
+    key: str | None,
+    cap: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    clustered: bool = False,
+) -> DataFrame:
+    """All members of repeated keys; missing keys are one key.
+
+    A key with more than `rows_per_task` rows is dealt over several tasks; `clustered` says that the table is
+    bucketed by the key.
+    """
+    return _log(Table(df, row_id), [], key, cap, rows_per_task, clustered)
 
 
 def issues_invalid(df: DataFrame, row_id: str, rules: Rules, cap: int | None = None) -> DataFrame:
@@ -179,10 +211,11 @@ def issues_log(
     key: str | None = None,
     rules: Rules | None = None,
     cap: int | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """Missing values, duplicate keys and range violations.
 
     With a cap the log is in order: columns, then the key, then rules.
     """
     t = Table(df, row_id)
-    return _log(t, [*_missing_tests(t), *_range_tests(t, rules or {})], key, cap)
+    return _log(t, [*_missing_tests(t), *_range_tests(t, rules or {})], key, cap, clustered=clustered)

@@ -78,13 +78,11 @@ def _text_cells(t: Table, fields: Sequence[Field]) -> DataFrame:
     return ends.selectExpr(*t.by_refs, "ref", "value", f"{padded('value', 'tail')} AS padded")
 
 
-def text_values(t: Table, fields: Sequence[Field]) -> DataFrame:
+def text_marks(t: Table, fields: Sequence[Field]) -> DataFrame:
     """One row per distinct folded value of each text column.
 
-    `n` rows hold the value, `padded` of them with whitespace around it, and
-    `variants` says whether it occurs in more than one casing.  Whether two
-    casings exist is read off the least and greatest 128-bit fingerprint, a
-    fixed-width aggregate that needs no second shuffle by casing.
+    `n` rows hold the value, `padded` of them with whitespace around it.  `low` to
+    `high2` are the least and greatest of two 64-bit fingerprints of its casings.
     """
     stripped = _text_cells(t, fields).selectExpr(
         *t.by_refs, "ref", "padded", f"if(padded, {strip('value')}, value) AS stripped"
@@ -101,7 +99,21 @@ def text_values(t: Table, fields: Sequence[Field]) -> DataFrame:
     return keyed.groupBy(*t.by_refs, "ref", "folded").agg(
         F.expr("count(*) AS n"),
         F.expr("count_if(padded) AS padded"),
-        F.expr("min(mark) <> max(mark) OR min(mark2) <> max(mark2) AS variants"),
+        F.expr("min(mark) AS low"),
+        F.expr("max(mark) AS high"),
+        F.expr("min(mark2) AS low2"),
+        F.expr("max(mark2) AS high2"),
+    )
+
+
+def text_values(t: Table, fields: Sequence[Field]) -> DataFrame:
+    """`text_marks`, with `variants` instead: whether the value occurs in more than one casing.
+
+    Whether two casings exist is read off the least and greatest 128-bit fingerprint, a
+    fixed-width aggregate that needs no second shuffle by casing.
+    """
+    return text_marks(t, fields).selectExpr(
+        *t.by_refs, "ref", "folded", "n", "padded", "low <> high OR low2 <> high2 AS variants"
     )
 
 
@@ -109,7 +121,7 @@ def text_values(t: Table, fields: Sequence[Field]) -> DataFrame:
 _ORDINAL = "CAST(substr(ref, 2) AS INT) AS ordinal"
 
 
-def _listed_only(t: Table, rules: Rules) -> dict[str, list[str]]:
+def listed_only(t: Table, rules: Rules) -> dict[str, list[str]]:
     """Text columns whose rule is an allow-list alone, with its folded values."""
     return {
         f.ref: [compact_literal(a) for a in allowed_values(rules[f.name])]
@@ -142,9 +154,10 @@ def text_counts(t: Table, fields: Sequence[Field], allowed: Mapping[str, Sequenc
     return per_column.selectExpr(*t.by_refs, _ORDINAL, *known)
 
 
-def _key_repeats(t: Table, key: Field) -> DataFrame:
+def _key_repeats(t: Table, key: Field, clustered: bool = False) -> DataFrame:
     """Rows, and rows whose key already occurred; missing keys are one key."""
-    groups = t.df.select(*t.by_refs, key.key.alias("key")).groupBy(*t.by_refs, "key").agg(F.expr("count(*) AS n"))
+    value = key.comparable("key_uniqueness", True) if clustered else key.key
+    groups = t.df.select(*t.by_refs, value.alias("key")).groupBy(*t.by_refs, "key").agg(F.expr("count(*) AS n"))
     return groups.groupBy(*t.by_refs).agg(
         F.expr("coalesce(sum(n), 0L) AS total"), F.expr("coalesce(sum(n - 1), 0L) AS repeats")
     )
@@ -171,7 +184,7 @@ def column_counts(
     rules = rules or {}
     text = t.text_fields
     other = [f for f in t.fields if f not in text]
-    allowed = _listed_only(t, rules)
+    allowed = listed_only(t, rules)
     cell_rules = {f.name: rules[f.name] for f in t.fields if f.name in rules and f.ref not in allowed}
     parts = [cell_counts(t, other, cell_rules, listed=t.fields)]
     if text:
@@ -295,14 +308,19 @@ def case_variants(df: DataFrame, columns: Sequence[str] | None = None, row_id: s
     )
 
 
-def key_uniqueness(df: DataFrame, key: str, row_id: str | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """For the key column: duplicate_key_count, uniqueness_score."""
+def key_uniqueness(
+    df: DataFrame, key: str, row_id: str | None = None, by: Sequence[str] = (), clustered: bool = False
+) -> DataFrame:
+    """For the key column: duplicate_key_count, uniqueness_score.
+
+    `clustered` says that the table is bucketed by the key, which is then counted bucket by bucket.
+    """
     t = Table(df, row_id, by)
     field = t.field(key)
     if field is None:
         raise ValueError(f"no such column: {key}")
     return t.named(
-        _key_repeats(t, field).select(
+        _key_repeats(t, field, clustered).select(
             *t.by_refs,
             F.lit(key).alias("column"),
             F.col("repeats").alias("duplicate_key_count"),
@@ -311,16 +329,26 @@ def key_uniqueness(df: DataFrame, key: str, row_id: str | None = None, by: Seque
     )
 
 
-def _digest(fields: Sequence[Field]) -> str:
-    """256 bits of a row's cells: each by its length and text, NULL and NaN by a mark of their own."""
+# NULL flags of so many columns go into one integer.
+_FLAGS = 60
+
+
+def _row_key(fields: Sequence[Field]) -> list[str]:
+    """128 bits of a row's cells as two integers, from their typed values.
+
+    A hash passes NULL by, so which cells are missing is hashed as well, as bits.
+    """
     cells = []
     for f in fields:
         value = nan_to_null(f.ref, f.dtype)
         if isinstance(f.dtype, (T.FloatType, T.DoubleType)):
             value = f"({value} + 0.0D)"  # -0.0 is 0.0
-        text = f"hex({value})" if isinstance(f.dtype, T.BinaryType) else f"CAST({value} AS STRING)"
-        cells.append(f"coalesce(concat(octet_length({text}), ':', {text}), '-')")
-    return f"unhex(sha2(concat({', '.join(cells)}), 256))"
+        cells.append(value)
+    for start in range(0, len(fields), _FLAGS):
+        flags = (f"if({is_missing(f.ref, f.dtype)}, {1 << i}L, 0L)" for i, f in enumerate(fields[start : start + _FLAGS]))
+        cells.append(" + ".join(flags))
+    listed = ", ".join(cells)
+    return [f"xxhash64({listed}) AS mark", f"xxhash64('row', {listed}) AS mark2"]
 
 
 def repeated_rows(t: Table, fields: Sequence[Field]) -> DataFrame:
@@ -333,15 +361,16 @@ def repeated_rows(t: Table, fields: Sequence[Field]) -> DataFrame:
 def duplicate_rows(df: DataFrame, row_id: str | None = None) -> DataFrame:
     """One row: rows equal to an earlier row in every column (NULL and NaN equal).
 
-    Only counts are wanted, so rows are grouped by a digest of all cells; nested
-    columns, which have no plain text form, are grouped as they are.
+    Only counts are wanted, so rows are grouped by 128 bits of hash of all cells; nested
+    columns, which may have no hash, are grouped as they are.
     """
     t = Table(df, row_id)
     nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
     plain = [f for f in t.fields if not isinstance(f.dtype, nested)]
     rest = [f.ref for f in t.fields if isinstance(f.dtype, nested)]
-    keys = [*([f"{_digest(plain)} AS digest"] if plain else []), *rest]
-    groups = t.df.selectExpr(*keys).groupBy(*(["digest"] if plain else []), *rest).agg(F.expr("count(*) AS n"))
+    marks = ["mark", "mark2"] if plain else []
+    rows = t.df.selectExpr(*(_row_key(plain) if plain else []), *rest)
+    groups = rows.groupBy(*marks, *rest).agg(F.expr("count(*) AS n"))
     both = groups.agg(F.expr("coalesce(sum(n), 0L) AS total"), F.expr("coalesce(sum(n - 1), 0L) AS repeats"))
     return both.selectExpr(
         "repeats AS duplicate_rows",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.values import is_missing, is_text, key_value, orderable
+from plumbline.functions.values import FLOAT_TYPES, is_missing, is_text, key_value, orderable
 
 # Whole-stage codegen gives up beyond spark.sql.codegen.maxFields (100) fields;
 # wide tables are aggregated in groups of columns that stay below it.
@@ -22,6 +22,7 @@ COLUMNS_PER_PASS = 40
 # The row order column inside a Table.
 ROW = "row_index"
 
+
 @dataclass(frozen=True)
 class Field:
     ordinal: int
@@ -41,12 +42,16 @@ class Field:
     def key(self) -> Column:
         return F.expr(key_value(self.ref, self.dtype))
 
+    def comparable(self, use: str, clustered: bool = False) -> Column:
+        """The key form; a type without an order or equality cannot be a key.
 
-    def comparable(self, use: str) -> Column:
-        """The key form; a type without an order or equality cannot be a key."""
+        In a table clustered by the key it is the column as it stands, so that the rows can stay where they are.
+        """
         if not orderable(self.dtype):
             raise ValueError(f"{use}: column {self.name} of type {self.dtype.simpleString()} cannot be a key")
-        return self.key
+        if clustered and isinstance(self.dtype, FLOAT_TYPES):
+            raise ValueError(f"{use}: a table cannot be clustered by {self.name}, whose NaN and NULL are one key")
+        return self.col if clustered else self.key
 
 
 class Table:

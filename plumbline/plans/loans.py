@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from plumbline.operators import checks
+from plumbline.operators import batch, checks
 from plumbline.operators.checks import Check
 from plumbline.operators.clean import CleanSpec
 
@@ -73,3 +73,18 @@ def loan_checks(df: DataFrame) -> dict[str, Check]:
             df, KEY, SNAPSHOT_RANGES, ["annual_income", "credit_score"]
         ),
     }
+
+
+def loan_batch() -> dict[str, batch.Spec]:
+    """The same seven for `run_batch`, which shares its passes among them."""
+    return {
+        "missing_counts": batch.MissingCounts(["annual_income", "credit_score", "employment_status", "age"]),
+        "duplicate_keys": batch.DuplicateKeys(KEY),
+        "duplicate_rows": batch.DuplicateRows(LOAN_SCHEMA.fieldNames()),
+        "out_of_range": batch.OutOfRange(ROW_RANGES, ["customer_id", "age", "annual_income", "credit_score"]),
+        "category_violations": batch.CategoriesOutside(
+            "employment_status", LOAN_RULES["employment_status"]["allowed"]
+        ),
+        "untrimmed": batch.Untrimmed("region"),
+        "snapshot": batch.Snapshot(KEY, SNAPSHOT_RANGES, ["annual_income", "credit_score"]),
+    }

@@ -68,3 +68,21 @@ def score_drift(
 def breaches(scores: DataFrame, threshold: float, score: str = "health_score") -> DataFrame:
     """Columns or batches whose score is below `threshold`."""
     return scores.where(F.col(score) < threshold)
+
+
+def new_breaches(
+    history: DataFrame,
+    threshold: float,
+    score: str = "health_score",
+    batch: str = "batch_date",
+    per: str | None = "column",
+) -> DataFrame:
+    """The breaches that an alert is for: a score below `threshold` whose series was not below it one batch before.
+
+    `per` names the column that tells the series apart (None: one series); a series that begins below the
+    threshold is a new breach as well.  `previous_score` is that of the batch before, null if there is none.
+    """
+    series = [per] if per is not None else []
+    order = W.partitionBy(*series).orderBy(batch)
+    seen = history.withColumn("previous_score", F.lag(score).over(order))
+    return seen.where((F.col(score) < threshold) & F.coalesce(F.col("previous_score") >= threshold, F.lit(True)))

@@ -38,8 +38,8 @@ def read_text_cells(
     """Every column as text, missing cells as NULL.
 
     `multiline` allows line breaks inside quotes, but then a file cannot be split.
-    A row with more cells than the header fails the read, or loses them when
-    `surplus` is "drop"; cells that a row lacks are missing.
+    A row with more cells than the header, empty ones included, fails the read, or
+    loses them when `surplus` is "drop"; cells that a row lacks are missing.
     """
     if surplus not in ("fail", "drop"):
         raise ValueError("surplus must be 'fail' or 'drop'")
@@ -52,25 +52,25 @@ def read_text_cells(
         "ignoreTrailingWhiteSpace": False,
     }
     names = spark.read.csv(path, inferSchema=False, **options).columns
-    # One column more than the header holds the first surplus cell of a row.
-    refs = [f"c{i}" for i in range(len(names) + 1)]
+    if surplus == "fail":  # the parser itself refuses a row with more cells, whichever columns are read
+        options["maxColumns"] = len(names)
+    refs = [f"c{i}" for i in range(len(names))]
     raw = spark.read.schema(", ".join(f"{r} string" for r in refs)).csv(path, enforceSchema=True, **options)
-    last = F.col(refs[-1])
-    told = F.concat(F.lit(f"a row has more than {len(names)} cells, the next one is "), last)
     tokens = list(na_tokens)
-    columns = []
-    for ref, name in zip(refs[:-1], names, strict=True):
-        cell = F.when(~F.col(ref).isin(tokens), F.col(ref))
-        if surplus == "fail":  # in every column, so that it holds whichever are read
-            cell = F.when(last.isNotNull(), F.raise_error(told).cast("string")).otherwise(cell)
-        columns.append(cell.alias(name))
-    return raw.select(*columns)
+    return raw.select(
+        *(F.when(~F.col(ref).isin(tokens), F.col(ref)).alias(name) for ref, name in zip(refs, names, strict=True))
+    )
 
 
 def check_line_breaks(spark: SparkSession, path: str) -> None:
-    """Fails if a line opens a quoted cell that it does not close: the file needs `multiline`."""
-    quotes = "length(value) - length(replace(value, '\"', ''))"
-    open_ = spark.read.text(path).where(f"({quotes}) % 2 = 1").limit(1)
+    """Fails if a line opens a quoted cell that it does not close: the file needs `multiline`.
+
+    Only a quote at the start of a cell opens one; others are characters of the cell.
+    """
+    # Doubled quotes stand for one inside a cell; without them a quoted cell ends at its next quote.
+    single = """replace(value, '""', '')"""
+    unclosed = f"""regexp_replace({single}, '(^|,)"[^"]*+"', '$1') RLIKE '(^|,)"'"""
+    open_ = spark.read.text(path).where(unclosed).limit(1)
     if not open_.isEmpty():
         raise ValueError("a quoted cell does not close on its line; read the file with multiline=True")
 
