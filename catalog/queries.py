@@ -10,7 +10,7 @@ import plumbline as pl
 from catalog import views
 from plumbline.functions.rules import Rules
 from plumbline.plans.loans import KEY as LOAN_KEY
-from plumbline.plans.loans import LOAN_CLEANING, LOAN_RULES, LOAN_SCHEMA, loan_checks
+from plumbline.plans.loans import LOAN_CLEANING, LOAN_RULES, LOAN_SCHEMA, loan_batch, loan_checks
 from plumbline.sources.shared import shared_folder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -527,3 +527,165 @@ def trend_by_label(spark, sf_dir):
     regions = views.table(spark, sf_dir, "region").selectExpr("CAST(NULL AS STRING) AS label").groupBy("label")
     pl.append_history(regions.agg(F.count("*").cast("double").alias("overall_health_score")), folder, "label")
     return pl.quality_trend(spark, folder, "label")
+
+
+# --- profiles that merge ----------------------------------------------------------
+
+
+def _profiled_days(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A store with a profile of every day of the events; the even days were profiled again."""
+    folder = shared_folder(spark, name)
+    events = views.dirty_events(spark, sf_dir)
+    pl.append_profile(events, folder, "batch_date", "event_id", views.EVENT_RULES)
+    pl.append_profile(events.where("day(batch_date) % 2 = 0"), folder, "batch_date", "event_id", views.EVENT_RULES)
+    return folder
+
+
+@query
+def merged_scorecard(spark, sf_dir):
+    """All days scored as one table, from their profiles."""
+    return pl.merged_scorecard(spark, _profiled_days(spark, sf_dir, "merged-scorecard"))
+
+
+@query
+def merged_summary(spark, sf_dir):
+    """The same after the days were merged into one batch."""
+    folder = _profiled_days(spark, sf_dir, "merged-summary")
+    pl.merge_batches(spark, folder, f"{folder}-whole", "1992-01-01")
+    return pl.merged_summary(spark, f"{folder}-whole")
+
+
+@query
+def daily_scorecard_total(spark, sf_dir):
+    """Every day and all days together, from one pass."""
+    events = views.dirty_events(spark, sf_dir)
+    return pl.scorecard_with_total(events, "event_id", views.EVENT_RULES, by=["batch_date"])
+
+
+@query
+def approximate_keys(spark, sf_dir):
+    """Sketches of every day's keys, kept in a history and merged; whether the estimates hold what they promise."""
+    folder = shared_folder(spark, "approximate-keys")
+    events = views.dirty_events(spark, sf_dir)
+    columns = ["event_id", "user_id", "value"]
+    pl.append_history(pl.key_sketches(events, columns, ["batch_date"]), folder)
+    guess = pl.approximate_uniqueness(pl.read_history(spark, folder))
+    exact = reduce(DataFrame.unionByName, [pl.key_uniqueness(events, c) for c in columns])
+    held = F.abs(F.col("approx_duplicate_key_count") - F.col("duplicate_key_count")) <= F.col("margin")
+    return guess.join(exact, "column").select(
+        "column", "total_rows", "duplicate_key_count", "uniqueness_score", held.alias("within_margin")
+    )
+
+
+@query
+def completeness_files(spark, sf_dir):
+    """Missing cells of the order lines, counted from the footers of their files where those tell."""
+    return pl.completeness_of_files(spark, f"{sf_dir}/lineitem.parquet")
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The dirty events as a stream of several micro-batches: four files, one at a time."""
+    rows = views.dirty_events(spark, sf_dir)
+    rows.repartition(4, "event_type").write.parquet(f"{folder}/files")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/files")
+
+
+@query
+def stream_repeats(spark, sf_dir):
+    """Keys that return in later micro-batches count as duplicates: the stream's state remembers them."""
+    folder = shared_folder(spark, "stream-repeats")
+    stream = _event_stream(spark, sf_dir, folder).select("user_id", "value")
+    writer = pl.score_stream(
+        stream, f"{folder}/history", f"{folder}/checkpoint", "user_id", views.EVENT_RULES, seen_within="365 days"
+    )
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return pl.stream_scorecard(spark, f"{folder}/history")
+
+
+@query
+def stream_profiles(spark, sf_dir):
+    """A stream profiled by micro-batch and scored as one table, casings across micro-batches included."""
+    folder = shared_folder(spark, "stream-profiles")
+    stream = _event_stream(spark, sf_dir, folder).drop("batch_date")
+    writer = pl.profile_stream(stream, f"{folder}/store", f"{folder}/checkpoint", "event_id", views.EVENT_RULES)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return pl.merged_scorecard(spark, f"{folder}/store", "batch_id")
+
+
+@query
+def new_breaches(spark, sf_dir):
+    """Columns that fall below the threshold on a day, having been above it the day before."""
+    found = pl.new_breaches(_daily_cards(spark, sf_dir), 97.5)
+    return found.select("batch_date", "column", "health_score", "previous_score")
+
+
+# --- clustered, replaced and batched ------------------------------------------------
+
+
+def _clustered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders staged in buckets of their customers."""
+    orders = views.table(spark, sf_dir, "orders")
+    return pl.replace_table(orders, f"plumbline_orders_{uuid.uuid4().hex}", ["o_custkey"], 16)
+
+
+@query
+def clustered_uniqueness(spark, sf_dir):
+    return pl.key_uniqueness(_clustered_orders(spark, sf_dir), "o_custkey", clustered=True)
+
+
+@query
+def clustered_dedup(spark, sf_dir):
+    return pl.keep_first(_clustered_orders(spark, sf_dir), "o_custkey", "o_orderkey", clustered=True)
+
+
+@query
+def clustered_issues(spark, sf_dir):
+    return pl.issues_duplicate_key(_clustered_orders(spark, sf_dir), "o_orderkey", "o_custkey", clustered=True)
+
+
+@query
+def issues_hot_key(spark, sf_dir):
+    """One key holds every third order; its rows are dealt over tasks by their count."""
+    orders = views.table(spark, sf_dir, "orders")
+    hot = orders.selectExpr("o_orderkey", "if(o_orderkey % 3 = 0, 1, o_custkey) AS o_custkey")
+    return pl.issues_duplicate_key(hot, "o_orderkey", "o_custkey", rows_per_task=1000)
+
+
+@query
+def cleaned_table_replaced(spark, sf_dir):
+    """A saved table replaced by what was cleaned from itself."""
+    name = f"plumbline_self_{uuid.uuid4().hex}"
+    raw = pl.replace_table(views.dirty_customer(spark, sf_dir), name)
+    return pl.replace_table(pl.clean(raw, CUSTOMER_CLEANING, "row_id"), name)
+
+
+@query
+def check_batch_shared(spark, sf_dir):
+    """The same batch as `check_batch`, with one pass for each different grouping."""
+    data = views.loan_applications(spark, sf_dir).drop("row_id")
+    batch = {**loan_batch(), "no_such_column": pl.Untrimmed("missing_column")}
+    results = pl.run_batch(data, batch, shared_folder(spark, "check-batch"))
+    counted = [
+        (r.agg(F.count("*").alias("n_rows")) if isinstance(r, DataFrame) else data.agg(F.lit(None).cast("long").alias("n_rows")))
+        .select(F.lit(label).alias("label"), "n_rows")
+        for label, r in results.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query
+def batch_snapshot(spark, sf_dir):
+    """The snapshot of that batch, which shares its pass with missing counts and duplicate keys."""
+    data = views.loan_applications(spark, sf_dir).drop("row_id")
+    return pl.run_batch(data, loan_batch(), shared_folder(spark, "batch-snapshot"))["snapshot"]
+
+
+@query
+def staging_quotes(spark, sf_dir):
+    """Cells with a quote among their characters, in a file that quotes nothing, and short rows."""
+    folder = shared_folder(spark, "staging-quotes")
+    parts = views.table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", """concat(p_size, '" ', p_type, if(p_size % 7 = 0, ' "', '')) AS size""", "p_brand"
+    )
+    parts.write.csv(f"{folder}/raw", header=True, quote="")
+    return pl.load_staging(spark, f"{folder}/raw", path=f"{folder}/staging", schema=parts.schema)
