@@ -9,6 +9,7 @@ fixed number of bins, so that a model has the same size whatever the corpus.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,9 @@ DISCOUNT = 0.75
 #: Probability of a letter of which nothing is known.
 FLOOR = 1 / 256
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Word characters that are numbers but no decimal digits, such as fractions and superscripts.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _START, _END = "\x02", "\x03"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)

@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plumbline.llm import bpe, langid, preference, toxicity
+from plumbline.llm import bpe, html_text, langid, preference, toxicity, wordmodel
 from plumbline.llm.html_text import extract_main_text, main_text
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -35,6 +35,42 @@ def test_pages_without_article():
     assert main_text("<![CDATA[x]]> bare & text <!-- c") .startswith("bare & text")
 
 
+def test_all_parts_of_the_article_come_out():
+    two = "<article><h1>A</h1><p>The first article with a line of text.</p></article><article><p>The second, with text too.</p></article>"
+    assert main_text(two) == "A\nThe first article with a line of text.\nThe second, with text too."
+    parts = """<body><nav><a>x</a></nav><div><h1>Head</h1><section><p>Some long text in the first section here.</p><p>More.</p>
+    </section><section><p>Other long text in a second section.</p></section></div><div class=footer>f</div></body>"""
+    assert main_text(parts) == "Head\nSome long text in the first section here.\nMore.\nOther long text in a second section."
+    inside = """<main><article><p>Intro text of some length here.</p><div class="social history"><p>The social history of the
+    town is long and told here.</p></div><div class="share"><a>Tweet</a><a>Mail</a></div><div class=comments><p>First! A comment
+    of some length here.</p></div><ul><li><a>Other story</a><li><a>More stories</a></ul></article></main>
+    <article><p>A teaser of another article, outside of the main part.</p></article>"""
+    assert main_text(inside) == "Intro text of some length here.\nThe social history of the town is long and told here."
+
+
+def test_the_clustering_decides(monkeypatch):
+    page = """<article><p>A first line of text that is long enough.</p><div class="related"><p>Words on related work, told
+    at some length in this line.</p></div><ol><li><a>One</a></li><li><a>Two</a></li></ol></article><article><p>x</p></article>"""
+    want = "A first line of text that is long enough.\nWords on related work, told at some length in this line."
+    assert main_text(page) == want
+    monkeypatch.setattr(html_text, "content_lines", lambda lines: np.zeros(len(lines), bool))
+    assert main_text(page) == ""
+    monkeypatch.setattr(html_text, "content_lines", lambda lines: np.array([x.text == "x" for x in lines]))
+    assert main_text(page) == "x"
+    monkeypatch.setattr(html_text, "content_lines", lambda lines: np.array([x.text.startswith("A first") for x in lines]))
+    assert main_text(page) == "A first line of text that is long enough."
+
+
+def test_deep_pages_take_memory_by_length():
+    import tracemalloc
+
+    tracemalloc.start()
+    assert main_text("<div>" * 40_000 + "some text here" + "</p>" * 40_000) == "some text here"
+    assert main_text("<div><b>" * 20_000 + "text" + "</i></p>" * 20_000) == "text"
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
 def test_extract_keeps_rows_and_ignores_other_columns(spark):
     rows = [(1, "u", "<p>x</p>", "clash"), (1, "u", "<p>x</p>", "clash"), (None, None, None, None), (2, "v", "", "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
@@ -201,3 +237,13 @@ def test_preference_pairs(spark):
     assert (got["r"].n_prompt_turns, got["r"].chosen, got["r"].usable) == (1, "", False)
     assert got[None].chosen.startswith("<|user|>\na")
     assert preference.preference_pairs(spark.createDataFrame([], schema), "pair").count() == 0
+
+
+def test_words_are_letters():
+    assert wordmodel.words("½ ② ² 12 ٣ _ x² naïve 日本語 a1b") == ["x", "naïve", "日本語", "a", "b"]
+
+
+def test_texts_without_a_letter_have_no_language(spark):
+    rows = [(i, "the letter of the language is here", "en") for i in range(9)] + [(9, "½ ② ²", None), (10, "12 ٣ _", "en")]
+    found = langid.digest(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.doc_id: r.lang_pred for r in found.where("doc_id > 8").collect()} == {9: "und", 10: "und"}
