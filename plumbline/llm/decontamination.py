@@ -86,10 +86,10 @@ class PassageIndex:
                 self.points.append(piece)
         self.size = np.array([len(x) for x in self.points], np.int64)
         self.edits = (self.size * EDIT_RATE).astype(np.int64)
-        short = self.size < LEAST_CHARS
-        self.edits = np.where(short, self.edits, np.minimum(self.edits, (self.size - Q) // Q))
+        # Too few q-grams would be left for sure after so many edits: such passages are found by seeds.
+        short = (self.size < LEAST_CHARS) | ((self.size - Q) // Q < self.edits)
         self.least = self.size - Q + 1 - self.edits * Q
-        grams = [_grams(x) if len(x) >= LEAST_CHARS else np.zeros(0, np.uint64) for x in self.points]
+        grams = [np.zeros(0, np.uint64) if s else _grams(x) for x, s in zip(self.points, short.tolist(), strict=True)]
         seeds: dict[int, list[tuple[int, int, int]]] = {}  # by length: hash, passage, place
         for p in np.flatnonzero(short).tolist():
             place = 0
