@@ -505,9 +505,12 @@ def padded_values_unicode(spark, sf_dir):
 
 @query
 def completeness_in_memory(spark, sf_dir):
-    """A frame made from rows that a program holds: the nations."""
-    nations = views.table(spark, sf_dir, "nation")
-    return pl.completeness(spark.createDataFrame(nations.collect(), nations.schema))
+    """A frame made from rows that a program holds: a figure per nation, from all customers."""
+    customers = views.dirty_customer(spark, sf_dir)
+    figures = customers.groupBy("c_nationkey").agg(
+        F.min("c_acctbal").alias("least"), F.max(F.when(F.col("c_acctbal") > 9990, F.col("c_name"))).alias("richest")
+    )
+    return pl.completeness(spark.createDataFrame(figures.collect(), figures.schema))
 
 
 @query
@@ -519,13 +522,11 @@ def date_formats_odd(spark, sf_dir):
 def trend_by_label(spark, sf_dir):
     """A history whose labels are text: leading zeros, the empty label and none survive."""
     folder = shared_folder(spark, "trend-by-label")
-    nations = views.table(spark, sf_dir, "nation")
-    region = "CAST(n_regionkey AS STRING)"
-    for label in (f"lpad({region}, 3, '0')", region, "''"):
-        scores = nations.selectExpr(f"{label} AS label").groupBy("label")
+    orders = views.table(spark, sf_dir, "orders")
+    priority = "substr(o_orderpriority, 1, 1)"
+    for label in (f"lpad({priority}, 3, '0')", priority, "if(o_orderstatus = 'P', NULL, '')"):
+        scores = orders.selectExpr(f"{label} AS label").groupBy("label")
         pl.append_history(scores.agg(F.count("*").cast("double").alias("overall_health_score")), folder, "label")
-    regions = views.table(spark, sf_dir, "region").selectExpr("CAST(NULL AS STRING) AS label").groupBy("label")
-    pl.append_history(regions.agg(F.count("*").cast("double").alias("overall_health_score")), folder, "label")
     return pl.quality_trend(spark, folder, "label")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions import scoring
 from plumbline.functions.rules import Rules
+from plumbline.operators.batch import Spec, run_batch
 from plumbline.operators.checks import Check, run_checks
 from plumbline.operators.clean import CleanSpec, clean
 from plumbline.operators.issues import issues_log
@@ -77,7 +78,7 @@ def inspect_csv(
     key: str | None = None,
     rules: Rules | None = None,
     cleaning: CleanSpec | None = None,
-    checks: Callable[[DataFrame], Mapping[str, Check]] | None = None,
+    checks: Callable[[DataFrame], Mapping[str, Check]] | Mapping[str, Spec] | None = None,
     schema: T.StructType | None = None,
     cleaned_table: str | None = None,
     **reading: Any,
@@ -86,7 +87,7 @@ def inspect_csv(
 
     staging/ (Parquet with row positions), reports/ (scorecard, summary, issues),
     checks/<label>/ and cleaned/ (CSV; also the table `cleaned_table`, replaced, if
-    named).  The CSV is parsed into staging once, with the options `reading` of
+    named).  Checks given as a batch of specs share their passes over the table.  The CSV is parsed into staging once, with the options `reading` of
     `read_csv`, and all else reads staging.  A key the table lacks is ignored.
     """
     staged = load_staging(spark, csv_path, path=f"{folder}/staging", schema=schema, row_id=ROW_ID, **reading)
@@ -97,7 +98,10 @@ def inspect_csv(
     }
     if checks is not None:
         data = staged.drop(ROW_ID)
-        result["checks"] = run_checks(spark, checks(data), f"{folder}/checks")
+        if callable(checks):
+            result["checks"] = run_checks(spark, checks(data), f"{folder}/checks")
+        else:
+            result["checks"] = run_batch(data, checks, f"{folder}/checks")
     if cleaning is not None:
         spec = replace(cleaning, drop=(*cleaning.drop, ROW_ID))
         written = Observation("cleaned")

@@ -58,8 +58,8 @@ def score_stream(
     of a micro-batch apart.  A batch is read from its source once and kept while it is scored.
 
     Without `seen_within`, batches share no state: a key that returns in a later batch is no duplicate.  With it
-    ("30 days"), it is one if the stream has had it within that time, by the clock or by the column `time`; see
-    `new_keys`.  Case variants across batches are not seen; `profile_stream` sees them.
+    ("30 days"), it is one if the stream has had it within that time, by the clock or by the column `time`; so is
+    one that comes too late to be judged, see `new_keys`.  Case variants across batches are not seen; `profile_stream` sees them.
     """
     source = stream
     if seen_within is not None:

@@ -27,7 +27,7 @@ def new_keys(
 
     Keys are remembered in the state store, by their bounded text form and nothing else, for as long as `within`
     says after they were first seen: by the clock, or by the column `time`. With `time`, rows that are older than
-    the newest one by more than that come too late to be judged, and announce nothing.
+    the newest one by more than that come too late to be judged, and announce nothing; nor do rows without a time.
     """
     t = Table(stream, row_id, by)
     field = t.field(key)
@@ -47,7 +47,7 @@ def new_keys(
             table = pa.Table.from_batches([batch]).group_by(names).aggregate([("at", "max")])
             yield from table.rename_columns([*names, "at"]).select(batch.schema.names).to_batches()
 
-    once = keys.mapInArrow(combined, keys.schema).withWatermark("at", within)
+    once = keys.where("at IS NOT NULL").mapInArrow(combined, keys.schema).withWatermark("at", within)
     return t.named(once.dropDuplicatesWithinWatermark(names).select(*t.by_refs))
 
 

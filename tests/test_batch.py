@@ -48,6 +48,14 @@ def test_a_batch_reads_the_table_once_for_each_grouping(spark, loans, tmp_path):
     same(got["e"], pl.categories_outside(data, "gender", ["male"]))
 
 
+def test_a_whole_run_with_a_batch(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,x\n1,5\n2,\n1,7\n")
+    done = pl.inspect_csv(
+        spark, str(tmp_path / "a.csv"), str(tmp_path / "out"), "id", checks={"keys": pl.DuplicateKeys("id"), "no": pl.Untrimmed("y")}
+    )
+    assert [tuple(r) for r in done["checks"]["keys"].collect()] == [(1, 2)] and "no_error" in done["checks"]
+
+
 def test_several_keys_and_empty_tables(spark, tmp_path):
     rows = [(1, "a", 1.0), (1, "a", None), (None, "b", float("nan")), (None, "b ", 9.0), (2, None, -1.0)]
     df = spark.createDataFrame(rows, "id int, t string, x double")

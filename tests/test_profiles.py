@@ -224,6 +224,24 @@ def test_old_keys_are_forgotten(spark, tmp_path):
     assert [r["duplicate_keys"] for r in repeats.collect()] == [0, 0, 0, 1]  # a is new again, c is not
 
 
+def test_rows_without_a_time_are_not_judged(spark, tmp_path):
+    import datetime as dt
+
+    schema = "id string, at timestamp"
+    day = dt.datetime(2024, 1, 1)
+    stream = stream_of(spark, tmp_path, [[("a", day), ("b", None)], [("a", day), ("b", day)]], schema)
+    history = str(tmp_path / "history")
+    finish(pl.score_stream(stream, history, str(tmp_path / "c"), "id", seen_within="3 days", time="at"))
+    repeats = pl.stream_history(spark, history, "counts").where("column = 'id'").orderBy("batch_id")
+    assert [r["duplicate_keys"] for r in repeats.collect()] == [1, 1]
+
+
+def test_footers_of_partitioned_files(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    spark.range(50).selectExpr("id", "if(id % 3 = 0, NULL, id) AS x", "id % 4 AS part").write.partitionBy("part").parquet(path)
+    same(pl.completeness_of_files(spark, path), pl.completeness(spark.read.parquet(path)))
+
+
 def test_repeats_are_counted_within_parts(spark, tmp_path):
     schema = "id string, region string, n int"
     stream = stream_of(spark, tmp_path, BATCHES, schema)
