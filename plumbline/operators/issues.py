@@ -28,6 +28,9 @@ SALTS = 64
 # Rows of one repeated key that go to one task; a key with more is dealt over as many tasks as it needs.
 ROWS_PER_TASK = 1_000_000
 
+# Rows of the flag that says whether there are several rows without a key.
+FLAG_ROWS = 16
+
 # Keys that are dealt over several tasks, those with most rows: any other has at most a 1000th of all rows.
 DEALT_KEYS = 1000
 
@@ -106,9 +109,10 @@ def _all_duplicates(rows: DataFrame, rows_per_task: int, clustered: bool) -> Dat
         parts = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
         wanted = repeated.join(heavy, "key", "left").select("key", parts)
         kept = dealt.join(wanted, ["key", "part"], "left_semi")
-    keyless = rows.where("key IS NULL").withColumn("many", F.lit(True))
-    several = keyless.groupBy("many").agg(F.count("*").alias("n")).where("n > 1").select("many")  # one row or none
-    return kept.select(ROW).union(keyless.join(F.broadcast(several), "many", "left_semi").select(ROW))
+    keyless = rows.where("key IS NULL").withColumn("part", F.pmod(F.xxhash64(ROW), F.lit(FLAG_ROWS)).cast("int"))
+    flag = F.explode(F.sequence(F.lit(0), F.lit(FLAG_ROWS - 1))).alias("part")
+    several = keyless.agg(F.count("*").alias("n")).where("n > 1").select(flag)  # FLAG_ROWS rows or none
+    return kept.select(ROW).union(keyless.join(F.broadcast(several), "part", "left_semi").select(ROW))
 
 
 def _first_duplicates(rows: DataFrame, cap: int) -> DataFrame:
