@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.llm.common import column, slices
-from plumbline.llm.wordmodel import _WORD, BINS, Codes, WordModel, count_grams, words
+from plumbline.llm.wordmodel import Codes, Scorer, count_grams, fitted, word_pattern, words
 
 #: First code point of each range and its script; ranges end where the next one starts.
 _SCRIPT_RANGES = [
@@ -69,8 +69,6 @@ _SCRIPT_OF = [SCRIPTS.index(script) for _, script in _SCRIPT_RANGES]
 CANDIDATE_SHARE = 0.002
 #: What a change of language costs, and how far one word may speak against a language, in nats.
 SWITCH, WORD_LIMIT = 12.0, 10.0
-#: Numbers that a model of all languages may hold, so that it can be sent to every task.
-MODEL_CELLS = BINS * 16
 
 
 def script(word: str) -> int:
@@ -79,30 +77,32 @@ def script(word: str) -> int:
 
 
 def _letters_by_script(unique: list[str], times: np.ndarray) -> dict[int, int]:
-    """Letters of each script, under negative bins."""
+    """Letters of each script."""
     size = np.fromiter(map(len, unique), np.int64, len(unique)) * times
     sums = np.bincount(np.fromiter(map(script, unique), np.int64, len(unique)), size, len(SCRIPTS))
-    return {-1 - s: int(n) for s, n in enumerate(sums) if n}
+    return {s: int(n) for s, n in enumerate(sums) if n}
 
 
 class LanguageModel:
-    """Word scores for each language, and the languages each script may stand for."""
+    """Scores of the words of each language, and the languages each script may stand for."""
 
-    def __init__(self, languages: list[str], counts: pa.Table, bins: int):
+    def __init__(self, languages: list[str], counts: DataFrame):
         self.languages = languages
-        self.model = WordModel(counts, [[i] for i in range(len(languages))], bins)
+        self.words = fitted(counts, [[i] for i in range(len(languages))] or [[]])
+        letters = counts.where("extra").toArrow()
         by_script = np.zeros((len(SCRIPTS), len(languages)))
-        bin_, class_, n = (counts.column(c).to_numpy() for c in ("bin", "class", "n"))
-        special = bin_ < 0
-        np.add.at(by_script, (-1 - bin_[special], class_[special]), n[special])
+        np.add.at(by_script, tuple(letters.column(c).to_numpy() for c in ("gram", "class")), letters.column("n").to_numpy())
         self.prior = by_script.sum(axis=0) / max(by_script.sum(), 1)
         # Of its own letters, so that a language is no less a candidate where others have far more text.
         fair = by_script / np.maximum(by_script.sum(axis=0), 1) >= CANDIDATE_SHARE
         self.candidates = fair | ~fair.any(axis=1, keepdims=True)
 
-    def scores(self, unique: list[str]) -> np.ndarray:
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "words"}  # sent to tasks by itself
+
+    def scores(self, unique: list[str], logs: np.ndarray) -> np.ndarray:
         """Log-likelihood of each word in each language, best 0; what a script rules out is at the limit."""
-        logs = self.model.log_probabilities(unique).astype(np.float64)
+        logs = logs.astype(np.float64)
         allowed = self.candidates[np.fromiter(map(script, unique), np.int64, len(unique))]
         logs[~allowed] = -np.inf
         return np.maximum(logs - logs.max(axis=1, keepdims=True), -WORD_LIMIT) if len(logs) else logs
@@ -151,19 +151,16 @@ def fit(documents: DataFrame, text: str = "text", lang: str = "lang", learn: Col
     """Counts all rows with a language for which `learn` holds (a condition on the columns of documents).
 
     Null texts and null languages teach nothing; repeated rows count again. The languages must be few
-    (labels, not free text): they are collected, and the size of the model is fixed whatever the corpus.
+    (labels, not free text): they are collected.
     """
     rows = documents.where(F.lit(True) if learn is None else learn).select(
         column(text).alias("text"), column(lang).cast("string").alias("lang")
     )
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
     languages = sorted(r[0] for r in rows.select("lang").distinct().collect())
-    bins = BINS
-    while bins * max(len(languages), 1) > MODEL_CELLS // 4:
-        bins //= 2
     number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")).cast("int") - 1 if languages else F.lit(None)
-    counts = count_grams(rows.select(number.cast("int").alias("class"), "text"), bins, _letters_by_script).toArrow()
-    return LanguageModel(languages, counts, bins)
+    counts = count_grams(rows.select(number.cast("int").alias("class"), "text"), _letters_by_script)
+    return LanguageModel(languages, counts)
 
 
 def identify(documents: DataFrame, model: LanguageModel, keys: list[str], text: str = "text") -> DataFrame:
@@ -173,8 +170,8 @@ def identify(documents: DataFrame, model: LanguageModel, keys: list[str], text:
     stretch of words in one language. `lang_pred` is the language of most letters; `score` the share of
     letters in it, times its probability against one other language throughout. A null text, one
     without letters, and any text under a model that has learnt no language get `und`, 0 and no spans.
-    On equal letters the language that sorts first wins. One row per input row, repeated rows included;
-    other columns are ignored, whatever their names.
+    On equal letters the language that sorts first wins. One row per input row, repeated rows included, none for
+    an empty table; texts of any length are read whole. Other columns are ignored, whatever their names.
     """
     slots = [f"k{i}" for i in range(len(keys))]
     rows = documents.select(*(column(c).alias(s) for c, s in zip(keys, slots, strict=True)), column(text).alias("text"))
@@ -182,29 +179,29 @@ def identify(documents: DataFrame, model: LanguageModel, keys: list[str], text:
     span = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
     schema = rows.drop("text").schema.add("lang_pred", "string", False).add("score", "double", False)
     schema = schema.add("spans", _SPANS, False)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    scorer = Scorer(model.words, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in slices(batches, "text"):
             texts = batch.column("text").to_pylist()
-            predicted = list(_identified(model, texts)) if model.languages else [("und", 0.0, [])] * len(texts)
+            predicted = list(_identified(model, scorer, batch)) if model.languages else [("und", 0.0, [])] * len(texts)
             lang, score, spans = (list(x) for x in zip(*predicted, strict=True))
             columns = [batch.column(s) for s in slots]
             columns += [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(spans, pa.list_(span))]
             yield pa.RecordBatch.from_arrays(columns, [*slots, *outputs])
 
-    return rows.mapInArrow(run, schema).toDF(*keys, *outputs)
+    return scorer.rows.mapInArrow(run, schema).toDF(*keys, *outputs)
 
 
-def _identified(model: LanguageModel, texts: list[str | None]) -> Iterator[tuple[str, float, list]]:
+def _identified(model: LanguageModel, scorer: Scorer, batch: pa.RecordBatch) -> Iterator[tuple[str, float, list]]:
+    texts = batch.column("text").to_pylist()
     codes = Codes()
     coded = []
     for text in texts:
         found = words(text)
         coded.append(np.fromiter(map(codes.__getitem__, found), np.int32, len(found)))
     unique = list(codes)
-    scores = model.scores(unique)
+    scores = model.scores(unique, scorer.log_probabilities(batch, unique))
     size = np.fromiter(map(len, unique), np.int64, len(unique))
     mixed = {i: scores[x] for i, x in enumerate(coded) if len(x) and not model.one_language(scores[x])}
     paths = dict(zip(mixed, viterbi(list(mixed.values())), strict=True)) if mixed else {}
@@ -216,7 +213,7 @@ def _identified(model: LanguageModel, texts: list[str | None]) -> Iterator[tuple
         if i not in paths:
             best, share = int(total.argmax()), 1.0
             low = text.lower()
-            first, last = _WORD.search(low).start(), len(low)
+            first, last = word_pattern(low).search(low).start(), len(low)
             spans = [{"lang": model.languages[best], "start": first, "end": last}]
         else:
             letters = np.bincount(paths[i], size[x], len(model.languages))
@@ -229,7 +226,8 @@ def _identified(model: LanguageModel, texts: list[str | None]) -> Iterator[tuple
 
 def _spans(model: LanguageModel, text: str, path: np.ndarray) -> list[dict]:
     starts = np.flatnonzero(np.r_[True, np.diff(path) != 0])
-    found = [(m.start(), m.end()) for m in _WORD.finditer(text.lower())]
+    low = text.lower()
+    found = [(m.start(), m.end()) for m in word_pattern(low).finditer(low)]
     ends = np.r_[starts[1:], len(path)] - 1
     return [
         {"lang": model.languages[path[a]], "start": found[a][0], "end": found[b][1]}

@@ -247,3 +247,92 @@ def test_texts_without_a_letter_have_no_language(spark):
     rows = [(i, "the letter of the language is here", "en") for i in range(9)] + [(9, "½ ② ²", None), (10, "12 ٣ _", "en")]
     found = langid.digest(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert {r.doc_id: r.lang_pred for r in found.where("doc_id > 8").collect()} == {9: "und", 10: "und"}
+
+
+# --- word models ------------------------------------------------------------------------------
+
+
+def plain_log_probability(counted, groups, word):
+    """Kneser-Ney by its definition; counted: class -> list of words."""
+    grams = {}
+    for j, group in enumerate(groups):
+        for w in (w for c in group for w in counted.get(c, [])):
+            marked = f"\x02{w}\x03"
+            for i in range(1, len(marked)):
+                gram = marked[max(0, i - 4) : i + 1]
+                grams.setdefault(gram, [0] * len(groups))[j] += 1
+    longer, followers = {}, {}
+    for gram in grams:
+        short = gram[-3:]
+        longer[short] = longer.get(short, 0) + 1
+    for short in longer:
+        followers.setdefault(short[:-1], set()).add(short)
+    out = np.zeros(len(groups))
+    marked = f"\x02{word}\x03"
+    for i in range(1, len(marked)):
+        gram = marked[max(0, i - 4) : i + 1]
+        short, back = gram[-3:], gram[-3:][:-1]
+        shared = wordmodel.FLOOR
+        if back in followers:
+            total = sum(longer[s] for s in followers[back])
+            shared = max(longer.get(short, 0) - 0.75, 0) + 0.75 * len(followers[back]) * wordmodel.FLOOR
+            shared = max(shared / total, wordmodel.LEAST)
+        for j in range(len(groups)):
+            own = {g: n[j] for g, n in grams.items() if g[:-1] == gram[:-1] and n[j]}
+            p = shared
+            if own:
+                p = (max(own.get(gram, 0) - 0.75, 0) + 0.75 * len(own) * shared) / sum(own.values())
+            out[j] += np.log(p)
+    return out
+
+
+@pytest.mark.parametrize("cells", [1 << 25, 0])
+def test_word_models_are_kneser_ney(spark, monkeypatch, cells):
+    """Sent to the tasks, or joined with the words: the same scores, by the definition."""
+    monkeypatch.setattr(wordmodel, "MODEL_CELLS", cells)
+    rng = random.Random(2)
+    counted = {c: ["".join(rng.choices("abcé", k=rng.randint(1, 7))) for _ in range(60)] for c in range(3)}
+    rows = [(c, " ".join(counted[c][i::4])) for c in counted for i in range(4)] + [(None, "x"), (1, None), (1, "")]
+    counts = wordmodel.count_grams(spark.createDataFrame(rows, "class int, text string"))
+    asked = [*counted[0][:10], "a", "zzz", "abzab", "bébébébéb", "日本"]
+    for groups in ([[0], [1], [2]], [[0, 1], [2]], [[2]]):
+        model = wordmodel.fitted(counts, groups)
+        texts = spark.createDataFrame([(i, w) for i, w in enumerate(asked)] + [(99, None)], "k0 int, text string")
+        scorer = wordmodel.Scorer(model, texts)
+        assert scorer.joined == (cells == 0)
+        (batch,) = scorer.rows.toArrow().combine_chunks().to_batches()
+        got = scorer.log_probabilities(batch, asked)
+        want = [plain_log_probability(counted, groups, w) for w in asked]
+        assert np.allclose(got, want, rtol=1e-4)
+
+
+def test_joined_models_predict_the_same(spark, monkeypatch):
+    rng = random.Random(3)
+
+    def text(letters):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(30))
+
+    rows = [(i, text("abcde" if i % 3 else "cdefg") + (" vile" if i % 5 == 0 else ""), "xy"[i % 3 == 0]) for i in range(120)]
+    rows += [(500, None, None), (501, "", "x"), (None, text("abcde") + " " + text("cdefg"), "x"), (7, rows[7][1], "x")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(120)], "doc_id long, toxic int")
+
+    def found():
+        lang = sorted((str(r[0]), r[2], round(r[3], 4), r[4]) for r in langid.digest(documents).collect())
+        return lang, sorted((str(r[0]), round(r[2], 3), r[3]) for r in toxicity.digest(documents, labels).collect())
+
+    whole = found()
+    monkeypatch.setattr(wordmodel, "MODEL_CELLS", 0)
+    assert found() == whole
+
+
+def test_held_out_toxicity(spark):
+    """Learnt from 41 toxic documents; a text is long and its toxic words are few."""
+    sf_dir = "/root/testdata/sf0.01"
+    documents, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    told = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [(r.score, told[r.doc_id]) for r in toxicity.digest(documents, labels).collect() if r.held_out and r.doc_id in told]
+    toxic, ordinary = (np.array([s for s, t in rows if t == label]) for label in (1, 0))
+    above = toxic[:, None] - ordinary
+    assert len(toxic) >= 5 and (above > 0).mean() + (above == 0).mean() / 2 > 0.9
+    assert (ordinary < 0.5).mean() > 0.97
