@@ -220,7 +220,8 @@ def encode(documents: DataFrame, keys: list[str], text: str, path: str, pattern:
     `ids` is binary, little-endian unsigned 32-bit; `decoded` holds the bytes those ids stand for. The
     vocabulary at `path` (base64 token and rank per line, all 256 bytes among them) is loaded on each
     worker; `pattern` cuts a text into the pieces that merge separately. A null or empty text has no ids.
-    One row per input row, repeated rows included; other columns are ignored, whatever their names.
+    One row per input row, repeated rows included, none for an empty table; texts of any length are encoded
+    whole. Other columns are ignored, whatever their names.
     """
     slots = [f"k{i}" for i in range(len(keys))]
     rows = documents.select(

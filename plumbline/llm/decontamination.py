@@ -254,7 +254,8 @@ def contamination(
     the text, end exclusive. Case and the amount of white space don't count; otherwise a passage of m
     characters may differ by EDIT_RATE * m edits. Documents without a passage give no row; null and empty
     texts have none. Empty and null items match nothing; of items longer than PIECE_CHARS,
-    each piece is a passage. Repeated documents and items give their rows again; a null id is kept.
+    each piece is a passage. Repeated documents and items give their rows again; a null id is kept. Very long texts
+    are searched in overlapping chunks; empty tables give no rows.
 
     The documents are read once for each BLOCK_CHARS characters of the benchmark; only the items of one
     block are in memory. Other columns are ignored, whatever their names.
