@@ -28,6 +28,8 @@ BINS_LOG2 = 18
 SHORT, LEADERS = 64, 16
 #: Rows that a part of a very frequent shingle's list should have.
 PART_ROWS = 4096
+#: Groups of a long list that one task compares with all others of the list.
+MEET_ROWS = 1 << 14
 #: Sets that a task remembers, so as not to list copies again.
 REMEMBERED = 1 << 18
 
@@ -326,8 +328,8 @@ def similar_documents(
     empty and linked with nothing, like a null text. Two documents are linked if the intersection of
     their sets is at least threshold percent of the union; no link is missed. One row per input row,
     repeated rows included; `component_id` is the smallest id reachable by links, itself included. Rows
-    without an id are linked with nothing, and have no component. Other columns are ignored, whatever
-    their names. Shingles and sets are compared by 64-bit hashes.
+    without an id are linked with nothing, and have no component; an empty table gives no rows. Texts of any
+    length are read whole. Other columns are ignored, whatever their names. Shingles and sets are compared by 64-bit hashes.
     """
     docs = documents.select(
         column(doc_id).cast("long").alias("doc_id"), column(text).cast("binary").alias("text")
@@ -415,14 +417,22 @@ def _across(members: DataFrame, short: DataFrame, belongs: DataFrame, threshold:
     # Only the first token that two groups share counts: they meet once, and positions bound what follows it.
     before = W.partitionBy("group", "component").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumn("earlier", F.collect_list("token").over(before))
-    left = rows.toDF(*(c if c == "token" else f"{c}_a" for c in rows.columns))
-    right = rows.toDF(*(c if c == "token" else f"{c}_b" for c in rows.columns))
+    # The members of a frequent token are dealt over as many tasks as their number asks for, each with all the others.
+    parts = rows.groupBy("token").agg(F.ceil(F.count("*") / MEET_ROWS).cast("int").alias("parts"))
+    rows = written(rows.join(parts.hint("merge"), "token"), "members")
+    own = F.pmod(F.xxhash64("group"), F.col("parts")).cast("int").alias("part")
+    left = rows.select("*", own).drop("parts")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    right = rows.where("parts = 1").withColumn("part", F.lit(0)).union(rows.where("parts > 1").select("*", every))
+    right = right.drop("parts")
+    left = left.toDF(*(c if c in ("token", "part") else f"{c}_a" for c in left.columns))
+    right = right.toDF(*(c if c in ("token", "part") else f"{c}_b" for c in right.columns))
     sizes = 100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
     rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
     places = _enough(rest, F.col("n_a"), F.col("n_b"), threshold)
     different = (F.col("group_a") <= F.col("group_b")) & (F.col("component_a") != F.col("component_b"))
     fresh = ~F.arrays_overlap("earlier_a", "earlier_b")
-    across = left.join(right, "token").where(different & sizes & places & fresh)
+    across = left.join(right.hint("merge"), ["token", "part"]).where(different & sizes & places & fresh)
     across = across.select("group_a", "component_a", "group_b", "component_b")
     inside = parted.where("low <> high").select("group").join(of_group, "group")
     inside = inside.toDF("group_a", "component_a").join(inside.toDF("group_b", "component_b"), F.col("group_a") == F.col("group_b"))
