@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task works on at once.
 SLICE_BYTES = 2 << 20
+#: Whole texts that Python is given at a time where a step holds several versions of them.
+TEXT_ROWS = 1000
 
 
 def column(name: str) -> Column:
@@ -80,6 +83,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/plumbline-llm/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
+    """What runs inside gives Python so many rows at a time; the session's own setting is put back afterwards."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written once to the shared folder and read from there: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import column, packed, slices, unpacked, written
+from plumbline.llm.common import column, packed, slices, text_batches, unpacked, written
 from plumbline.llm.shingles import mixed
 
 #: Bytes that must repeat.
@@ -28,8 +28,6 @@ LENGTH = 400
 #: Distinct phrases of one trigger whose suffixes one task puts in order; those of a more frequent
 #: trigger are cut into single stretches, which are counted everywhere.
 PHRASES = 128
-#: Texts in one Arrow batch.
-BATCH_ROWS = 1000
 #: Bytes of a text that are parsed at once.
 CHUNK_BYTES = 1 << 19
 
@@ -220,7 +218,18 @@ def _in_order(cut: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, hash long, first long, stop long")
 
 
-def _removed(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+def maximal_runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """First byte and the one after the last of each run of bytes that spans cover; spans that touch are one run."""
+    out: list[tuple[int, int]] = []
+    for first, stop in sorted(spans):
+        if out and first <= out[-1][1]:
+            out[-1] = out[-1][0], max(stop, out[-1][1])
+        else:
+            out.append((first, stop))
+    return out
+
+
+def _removed(docs: DataFrame, spans: DataFrame, length: int, least_words: int) -> DataFrame:
     """Every text without the bytes of its repeats, after the other columns."""
     lists = spans.groupBy("id", "hash").agg(F.collect_set(F.struct("first", "stop")).alias("spans"))
     keys = [c for c in docs.columns if c != "text"]
@@ -233,18 +242,11 @@ def _removed(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
         for batch in slices(batches, "packed", CHUNK_BYTES):
             results = []
             for text, list_ in zip(unpacked(batch), batch.column("spans").to_pylist(), strict=True):
-                kept, at, removed, runs, stop = [], 0, 0, 0, -1
-                for span in sorted((x["first"], x["stop"] + length - 1) for x in list_ or ()):
-                    if span[0] > stop:  # a new run: it doesn't touch the one before
-                        runs += 1
-                        kept.append(text[at : span[0]])
-                        removed += span[1] - span[0]
-                        at = stop = span[1]
-                    elif span[1] > stop:
-                        removed += span[1] - stop
-                        at = stop = span[1]
-                kept.append(text[at:])
-                results.append((len(text), removed, runs, b"".join(kept)))
+                runs = maximal_runs([(x["first"], x["stop"] + length - 1) for x in list_ or ()])
+                runs = [(i, j) for i, j in runs if not least_words or len(text[i:j].split()) >= least_words]
+                edges = [0, *(edge for run in runs for edge in run), len(text)]
+                kept = b"".join([text[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)])
+                results.append((len(text), len(text) - len(kept), len(runs), kept))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = [pa.array(x, t) for x, t in zip(zip(*results, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays([*map(batch.column, keys), *columns], names)
@@ -259,18 +261,17 @@ def without_repeats(
     text: str = "text",
     length: int = LENGTH,
     keep: list[str] | None = None,
+    least_words: int = 0,
 ) -> DataFrame:
     """Removes every byte covered by a string of `length` bytes that also starts anywhere else.
 
-    One row per input row: `doc_id`, or the columns to `keep`; `n_bytes`, `n_removed`, `n_spans` (maximal removed runs), `kept` (the
-    remaining UTF-8 bytes). Strings are judged on the whole input, never cross texts, and may overlap; a
+    One row per input row: `doc_id`, or the columns to `keep`; `n_bytes`, `n_removed`, `n_spans` (maximal removed
+    runs), `kept` (the remaining UTF-8 bytes). With `least_words`, maximal runs of fewer words stay. Strings are judged on the whole input, never cross texts, and may overlap; a
     repeat in the same text counts, and so does a repeated row, whose copies both lose it. A null text is
-    empty; texts shorter than `length` stay as they are. Null ids are kept. Other columns are ignored,
-    whatever their names. Phrases are told apart by 128-bit digests.
+    empty; texts shorter than `length` stay as they are, longer ones are parsed in overlapping chunks. Null ids are
+    kept, an empty table gives no rows. Other columns are ignored, whatever their names. Phrases are told apart by 128-bit digests.
     """
     keep = [doc_id] if keep is None else keep
-    # Whole texts go to Python in batches of so many rows; the default is more than two tasks need.
-    documents.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     # Equal texts lose the same bytes, so rows that agree in both keys may share what is found for one.
     everything = documents.select(
         F.coalesce(column(doc_id).cast("long"), F.lit(-1)).alias("id"),
@@ -283,7 +284,8 @@ def without_repeats(
     parse = _parse(docs, length)
     # What is joined is written first: both sides of a join are then plain shuffles, whose hot keys can be split.
     triggers = parse.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger")
-    parse = written(parse.join(written(triggers, "triggers").hint("merge"), "trigger"), "parse")
+    with text_batches(documents.sparkSession):
+        parse = written(parse.join(written(triggers, "triggers").hint("merge"), "trigger"), "parse")
     key = ["trigger", "d1", "d2"]
     dictionary = parse.groupBy(*key).agg(
         F.count("*").alias("n"), F.min(F.struct("id", "hash", "start", "number")).alias("one")
@@ -297,12 +299,14 @@ def without_repeats(
     wanted = dictionary.join(several.hint("merge"), "trigger").select(
         "trigger", "one.*", (F.col("n") == 1).alias("single"), (F.col("phrases") > PHRASES).alias("frequent")
     )
-    cut = written(_cut_out(docs, wanted, length), "phrases")
+    with text_batches(documents.sparkSession):
+        cut = written(_cut_out(docs, wanted, length), "phrases")
     stretches = cut.where("trigger IS NULL")
     again = stretches.groupBy("bytes").agg(F.count("*").alias("n")).where("n > 1").select("bytes")
     counted = stretches.where("single").join(again.hint("merge"), "bytes", "left_semi")
     counted = counted.select("id", "hash", F.col("start").alias("first"), (F.col("start") + 1).alias("stop"))
-    removed = _removed(everything, whole.union(_in_order(cut, length)).union(counted), length)
+    spans = whole.union(_in_order(cut, length)).union(counted)
+    removed = _removed(everything, spans, length, least_words)
     return removed.drop("id", "hash").toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
 
 
