@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from plumbline.llm import decontamination, multi_index, ngram_join, passages, queries, repeats
+from plumbline.llm.common import written
 from plumbline.llm.components import components
 from plumbline.llm.shingles import shingles
 
@@ -81,6 +82,30 @@ def test_repeats_against_all_strings(spark, monkeypatch, limit):
     assert (got[None].n_bytes, got[None].n_removed, bytes(got[None].kept)) == (0, 0, b"")
 
 
+def test_a_passage_in_very_many_texts_is_not_cut_into_all_its_stretches(spark, monkeypatch):
+    rng, rows = random.Random(11), []
+    passage = prose(rng, 60)
+    for i in range(60):
+        rows.append((i, f"{prose(rng, rng.randrange(4, 20))} {passage} {prose(rng, rng.randrange(4, 20))}"))
+    counts = {"phrases": 0, "parts": 0}
+
+    def counted(df, name):
+        out = written(df, name)
+        if name in counts:
+            counts[name] += out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "PHRASES", 4)
+    monkeypatch.setattr(repeats, "written", counted)
+    got = {r.doc_id: r for r in repeats.without_repeats(frame(spark, rows), length=100).collect()}
+    texts = [t.encode() for _, t in rows]
+    for (i, _), text, gone in zip(rows, texts, expected_repeats(texts, 100), strict=True):
+        assert bytes(got[i].kept) == bytes(c for c, g in zip(text, gone, strict=True) if not g)
+        assert got[i].n_removed == gone.sum() > 0
+    assert 0 < counts["parts"] < 60 * 100  # each text has two phrases at an edge of the passage, of some 80 stretches each
+    assert counts["phrases"] < 60 * 50
+
+
 def test_repeats_of_repeated_rows_and_empty_table(spark):
     docs = frame(spark, [(1, "z" * 10 + prose(random.Random(1), 100))] * 2)
     got = repeats.digest(docs).collect()
