@@ -164,6 +164,18 @@ def test_similar_documents_against_all_pairs(spark, monkeypatch, short):
     assert ngram_join.similar_documents(docs.limit(0)).count() == 0
 
 
+def test_outlines_tell_apart_sets_below_the_threshold():
+    chance, n = np.random.default_rng(5), 400
+    for share, possible in ((0.80, False), (0.86, True), (0.95, True)):  # 0.80: a similarity of 0.67
+        for _ in range(20):
+            values = chance.integers(0, 2**64, 2 * n, np.uint64)
+            other = n - round(share * n)
+            a, b = np.sort(values[:n]), np.sort(values[other : other + n])
+            most = ngram_join._overlap_bound(ngram_join._outline(a), ngram_join._outline(b), n, n)
+            assert most >= n - other
+            assert ngram_join._enough(most, n, n, ngram_join.THRESHOLD) == possible
+
+
 def test_groups_of_unlike_documents(spark):
     rng = random.Random(3)
     # Few words: many short texts of one size share a first shingle, and are one group, but are not alike.
