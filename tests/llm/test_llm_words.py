@@ -106,6 +106,19 @@ def test_collocations_of_empty_tables(spark):
     assert got_collocations(spark, []) == got_collocations(spark, [(1, None, "a"), (None, "", None)]) == []
 
 
+def test_pairs_of_rare_words_are_not_counted(spark):
+    words = spark.createDataFrame(
+        [("en", b"often", 9), ("en", b"rare", 2), ("de", b"rare", 8), ("de", b"often", 1)], "lang string, phrase binary, n long"
+    )
+    sieve = coll._word_sieve(words, 5)
+    hashes = coll._Hashes()
+    codes = [hashes.codes[w] for w in (b"often", b"rare", b".")]
+    assert (hashes.frequent("en", sieve)[codes] > 0).tolist() == [True, False, False]
+    assert (hashes.frequent("de", sieve)[codes] > 0).tolist() == [False, True, False]
+    new = hashes.codes[b"new"]
+    assert hashes.frequent("en", sieve)[new] == 0 and hashes.grown()[new] > 0
+
+
 def test_trie_counts_every_phrase_once():
     rng = random.Random(5)
     words = [b"w%d" % i for i in range(40)]
