@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,8 @@ _SCRIPT_OF = [SCRIPTS.index(script) for _, script in _SCRIPT_RANGES]
 CANDIDATE_SHARE = 0.002
 #: What a change of language costs, and how far one word may speak against a language, in nats.
 SWITCH, WORD_LIMIT = 12.0, 10.0
+#: Different words whose scores a task remembers.
+REMEMBERED = 1 << 18
 
 
 def script(word: str) -> int:
@@ -182,9 +185,10 @@ def identify(documents: DataFrame, model: LanguageModel, keys: list[str], text:
     scorer = Scorer(model.words, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words(len(model.languages))
         for batch in slices(batches, "text"):
             texts = batch.column("text").to_pylist()
-            predicted = list(_identified(model, scorer, batch)) if model.languages else [("und", 0.0, [])] * len(texts)
+            predicted = list(_identified(model, scorer, batch, known)) if model.languages else [("und", 0.0, [])] * len(texts)
             lang, score, spans = (list(x) for x in zip(*predicted, strict=True))
             columns = [batch.column(s) for s in slots]
             columns += [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(spans, pa.list_(span))]
@@ -193,16 +197,36 @@ def identify(documents: DataFrame, model: LanguageModel, keys: list[str], text:
     return scorer.rows.mapInArrow(run, schema).toDF(*keys, *outputs)
 
 
-def _identified(model: LanguageModel, scorer: Scorer, batch: pa.RecordBatch) -> Iterator[tuple[str, float, list]]:
+class _Words:
+    """The words that a task has met, with their letters and scores, so that each is scored once."""
+
+    def __init__(self, languages: int):
+        self.codes, self.size, self.scores = Codes(), np.zeros(0, np.int64), np.zeros((0, languages))
+
+    def renew(self) -> None:
+        if len(self.codes) > REMEMBERED:
+            self.__init__(self.scores.shape[1])
+
+    def scored(self, model: LanguageModel, scorer: Scorer, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Letters and scores of all words by code; words without scores are in texts of the batch."""
+        fresh = list(islice(self.codes, len(self.size), None))
+        if fresh:
+            self.size = np.concatenate([self.size, np.fromiter(map(len, fresh), np.int64, len(fresh))])
+            self.scores = np.concatenate([self.scores, model.scores(fresh, scorer.log_probabilities(batch, fresh))])
+        return self.size, self.scores
+
+
+def _identified(
+    model: LanguageModel, scorer: Scorer, batch: pa.RecordBatch, known: _Words
+) -> Iterator[tuple[str, float, list]]:
     texts = batch.column("text").to_pylist()
-    codes = Codes()
-    coded = []
+    known.renew()
+    coded, first_words = [], []
     for text in texts:
         found = words(text)
-        coded.append(np.fromiter(map(codes.__getitem__, found), np.int32, len(found)))
-    unique = list(codes)
-    scores = model.scores(unique, scorer.log_probabilities(batch, unique))
-    size = np.fromiter(map(len, unique), np.int64, len(unique))
+        first_words.append(found[0] if found else "")
+        coded.append(np.fromiter(map(known.codes.__getitem__, found), np.int32, len(found)))
+    size, scores = known.scored(model, scorer, batch)
     mixed = {i: scores[x] for i, x in enumerate(coded) if len(x) and not model.one_language(scores[x])}
     paths = dict(zip(mixed, viterbi(list(mixed.values())), strict=True)) if mixed else {}
     for i, (text, x) in enumerate(zip(texts, coded, strict=True)):
@@ -213,7 +237,7 @@ def _identified(model: LanguageModel, scorer: Scorer, batch: pa.RecordBatch) ->
         if i not in paths:
             best, share = int(total.argmax()), 1.0
             low = text.lower()
-            first, last = word_pattern(low).search(low).start(), len(low)
+            first, last = low.find(first_words[i]), len(low)  # letters before the first word would be a word
             spans = [{"lang": model.languages[best], "start": first, "end": last}]
         else:
             letters = np.bincount(paths[i], size[x], len(model.languages))

@@ -29,6 +29,8 @@ FLOOR, LEAST = 1 / 256, 1e-3 / 256
 MODEL_CELLS = 1 << 25
 #: Runs of letters that a task counts before it hands its counts on.
 HELD_GRAMS = 1 << 20
+#: Different words that a task holds, so as not to take them apart in each slice anew.
+HELD_WORDS = 1 << 16
 
 # Word characters without decimal digits; among them are other numbers, such as fractions and superscripts.
 _WORD = re.compile(r"[^\W\d_]+")
@@ -117,30 +119,24 @@ def count_grams(rows: DataFrame, extra=None) -> DataFrame:
             n = np.bincount(place, lines[4], len(gram)).astype(np.int64)
             return np.stack([gram, *lines[1:4, first], n])
 
-        for batch in slices(batches, source):
-            if source == "text":
-                texts = batch.column("text").to_pylist()
-            else:
-                texts = [str(x, "utf-8", "replace") for x in unpacked(batch)]
-            by_class: dict[int, Codes] = {}
-            times: dict[int, list[np.ndarray]] = {}
-            for label, text in zip(batch.column("class").to_pylist(), texts, strict=True):
-                if label is None or not text:
-                    continue
-                codes = by_class.setdefault(label, Codes())
-                found = words(text)
-                times.setdefault(label, []).append(np.fromiter(map(codes.__getitem__, found), np.int32, len(found)))
+        by_class: dict[int, Codes] = {}
+        times: dict[int, np.ndarray] = {}
+
+        def taken_apart() -> Iterator[pa.RecordBatch]:
+            """Adds the grams of the words so far; hands on those held where they are too many."""
+            nonlocal held, size
             for label, codes in by_class.items():
                 if not codes:
                     continue
-                unique = list(codes)
-                often = np.bincount(np.concatenate(times[label]), minlength=len(unique))
+                unique, often = list(codes), times[label]
                 g = Grams(unique)
                 lines = summed([np.stack([g.gram, g.context, g.short, g.short_context, often[g.word]])])
                 held.setdefault(label, []).append(lines)
                 size += lines.shape[1]
                 for key, n in (extra(unique, often) if extra else {}).items():
                     totals[label, key] = totals.get((label, key), 0) + int(n)
+            by_class.clear()
+            times.clear()
             if size > HELD_GRAMS:
                 for label, parts in held.items():
                     held[label] = [summed(parts)]
@@ -149,6 +145,27 @@ def count_grams(rows: DataFrame, extra=None) -> DataFrame:
                     for label, (lines,) in held.items():
                         yield _count_batch(label, False, lines)
                     held, size = {}, 0
+
+        for batch in slices(batches, source):
+            if source == "text":
+                texts = batch.column("text").to_pylist()
+            else:
+                texts = [str(x, "utf-8", "replace") for x in unpacked(batch)]
+            coded: dict[int, list[np.ndarray]] = {}
+            for label, text in zip(batch.column("class").to_pylist(), texts, strict=True):
+                if label is None or not text:
+                    continue
+                codes = by_class.setdefault(label, Codes())
+                found = words(text)
+                coded.setdefault(label, []).append(np.fromiter(map(codes.__getitem__, found), np.int32, len(found)))
+            for label, some in coded.items():
+                often = np.bincount(np.concatenate(some), minlength=len(by_class[label]))
+                before = times.get(label, often[:0])
+                often[: len(before)] += before
+                times[label] = often
+            if sum(map(len, by_class.values())) > HELD_WORDS:
+                yield from taken_apart()
+        yield from taken_apart()
         for label, parts in held.items():
             yield _count_batch(label, False, summed(parts))
         for (label, key), n in totals.items():

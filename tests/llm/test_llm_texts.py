@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -336,3 +337,37 @@ def test_held_out_toxicity(spark):
     above = toxic[:, None] - ordinary
     assert len(toxic) >= 5 and (above > 0).mean() + (above == 0).mean() / 2 > 0.9
     assert (ordinary < 0.5).mean() > 0.97
+
+
+def test_a_task_scores_each_word_once():
+    asked = []
+
+    class Model:
+        languages = ["a", "b"]
+        prior = np.zeros(2)
+
+        def scores(self, unique, logs):
+            return logs
+
+        def one_language(self, scores):
+            return True
+
+    class Scorer:
+        def log_probabilities(self, batch, unique):
+            asked.extend(unique)
+            return np.array([[-1.0, 0.0] if w == "two" else [0.0, -2.0] for w in unique])
+
+    known = langid._Words(2)
+    batches = [pa.RecordBatch.from_pydict({"text": x}) for x in (["one two", None], ["two two", "one 3 three", ""])]
+    found = [x[0] for b in batches for x in langid._identified(Model(), Scorer(), b, known)]
+    assert found == ["a", "und", "b", "a", "und"]
+    assert asked == ["one", "two", "three"]
+
+
+def test_grams_are_counted_over_slices(spark, monkeypatch):
+    texts = ["ab cd", "ab", "cd ef", "ab"] * 30
+    rows = spark.createDataFrame([(i % 2, t) for i, t in enumerate(texts)], "class int, text string")
+    once = sorted(tuple(r) for r in wordmodel.count_grams(rows).collect())
+    monkeypatch.setattr(wordmodel, "HELD_WORDS", 1)
+    assert sorted(tuple(r) for r in wordmodel.count_grams(rows).collect()) == once
+    assert sum(r[-1] for r in once) == sum(len(w) + 1 for t in texts for w in t.split())
