@@ -176,6 +176,18 @@ def test_outlines_tell_apart_sets_below_the_threshold():
             assert ngram_join._enough(most, n, n, ngram_join.THRESHOLD) == possible
 
 
+def test_outlines_are_short_and_tell_all_counts():
+    draw = np.random.default_rng(5)
+    for n in (1, 15, 16, 700, 20_000, 114_688, 114_689, 200_000):
+        values = draw.integers(0, 2**64, n, np.uint64)
+        outline = ngram_join._outline(values)
+        counts = ngram_join._outline_counts(outline, n)
+        bins = len(counts)
+        assert counts.tolist() == np.bincount(values >> np.uint64(65 - bins.bit_length()), minlength=bins).tolist()
+        assert len(outline) <= min(bins, (n + bins) // 8 + 1)
+        assert ngram_join._overlap_bound(outline, outline, n, n) == n
+
+
 def test_groups_of_unlike_documents(spark):
     rng = random.Random(3)
     # Few words: many short texts of one size share a first shingle, and are one group, but are not alike.
