@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -274,6 +275,34 @@ def test_near_passages_beside_a_frequent_line(spark):
     assert got == wanted  # the line alone is too short
 
 
+def test_near_passages_made_of_frequent_lines(spark):
+    """Passages put together from two lines that stand in many texts are all met, though hardly a window has a rare centre."""
+    rng = random.Random(19)
+    lines = [prose(rng, 38, 10**6) for _ in range(24)]
+    texts, wanted = [], set()
+    for i, j in combinations(range(len(lines)), 2):
+        at = len(texts)
+        for _ in range(2):
+            texts.append(" ".join([prose(rng, 25, 10**6), lines[i], lines[j], prose(rng, 25, 10**6)]))
+        wanted |= {(at, at + 1), (at + 1, at)}
+    got = {(r.doc_id, r.other_id) for r in passages.repeated_passages(frame(spark, enumerate(texts))).collect()}
+    assert got == wanted  # one line alone is too short
+
+
+def test_places_within_known_runs_against_definition():
+    rng = np.random.default_rng(12)
+    for share in (0.5, 0.7, 0.8, 0.9) * 10:
+        size = rng.integers(0, 40, 5)
+        known = rng.random(size.sum()) < share
+        want = np.zeros(len(known), bool)
+        for begin, n in zip((np.cumsum(size) - size).tolist(), size.tolist(), strict=True):
+            for first in range(begin, begin + n):
+                for end in range(first + 8, begin + n + 1):
+                    if known[first:end].sum() >= 0.75 * (end - first):
+                        want[first:end] = True
+        assert passages.within_known(known, size, 8).tolist() == want.tolist()
+
+
 def test_compact_windows_against_definition():
     rng = np.random.default_rng(11)
     values = (rng.integers(0, 40, 200) << 30).astype(np.uint64)  # with ties
