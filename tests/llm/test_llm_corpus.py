@@ -289,6 +289,36 @@ def test_near_passages_made_of_frequent_lines(spark):
     assert got == wanted  # one line alone is too short
 
 
+def test_windows_of_one_text_alone_give_nothing(spark):
+    """A text that says the same again and again makes long lists that hold no other text."""
+    rows = [(list_ << 8, doc, place << 32) for list_, docs in ((1, [7]), (2, [7, 9]), (3, [5] * 3)) for doc in docs for place in range(20)]
+    got = passages._joined(spark.createDataFrame(rows, "list long, doc long, place long").coalesce(1).sortWithinPartitions("list"))
+    assert {r.token for r in got.where(f"kind = {passages._MEMBER}").collect()} == {2}
+
+
+def test_outlines_of_windows_with_repeats():
+    """A word said again and again is one shingle that two windows have in common, however often it stands there."""
+    rng = random.Random(21)
+    around = [[prose(rng, 1, 10**9) for _ in range(4)] for _ in range(2)]
+    texts = [" ".join([*[a] * 30, *["same"] * 25, *[b] * 30, *[c, d] * 15]) for a, b, c, d in around]
+    words = prose(rng, 70, 10**9).split()
+    near = list(words)
+    near[36] = "other"
+    texts += [" ".join(words), " ".join(near), *[" ".join(["same", "again"] * 40)] * 2]
+    values, size = shingles([x.encode() for x in texts])
+    text = np.arange(len(texts))
+    centre = np.array([31, 31, 30, 30, 30, 30])
+    got = passages.surroundings(values, size, text, centre << 32 | np.minimum(centre, 45) << 16 | size - 1 - centre)
+    begin = np.cumsum(size) - size
+    for t, c in enumerate(centre.tolist()):
+        of_text = values[begin[t] : begin[t] + size[t]].tolist()
+        runs = [of_text[i : i + 46] for i in range(max(c - 45, 0), c + 1) if i + 46 <= size[t]]
+        assert got[t, passages.AROUND] == min(len(set(x)) for x in runs)
+        assert got[t, passages.AROUND + 1] == len(set(of_text[max(c - 45, 0) : c + 46]))
+    x, y, _ = passages.met(passages.outlines(got), passages.outlines(got))
+    assert {(i, j) for i, j in zip(x.tolist(), y.tolist(), strict=True) if i < j} == {(2, 3), (4, 5)}
+
+
 def test_places_within_known_runs_against_definition():
     rng = np.random.default_rng(12)
     for share in (0.5, 0.7, 0.8, 0.9) * 10:
