@@ -9,7 +9,7 @@ import pytest
 from plumbline.llm import decontamination, multi_index, ngram_join, passages, queries, repeats
 from plumbline.llm.common import written
 from plumbline.llm.components import components
-from plumbline.llm.shingles import shingles
+from plumbline.llm.shingles import _BASE, _BYTES, _MIX, RUN_BYTES, mixed, shingles, word_hashes
 
 DOCS = "doc_id long, text string, n_bytes string"
 
@@ -296,6 +296,55 @@ def test_windows_of_one_text_alone_give_nothing(spark):
     assert {r.token for r in got.where(f"kind = {passages._MEMBER}").collect()} == {2}
 
 
+def test_pairs_of_windows_go_in_blocks(spark):
+    """Pairs cost a task a row for each block, not for each pair; all of them arrive."""
+    rows = [(list_ << 8, doc, 100 << 32 | 40 << 16 | 40) for list_ in range(300) for doc in range(16)]
+    got = passages._joined(spark.createDataFrame(rows, "list long, doc long, place long").coalesce(1), 64)
+    pairs = got.where(f"kind = {passages._PAIR}").select("block", "size", "numbers").toArrow()
+    assert len(pairs) < 300 * 120 // 10
+    found = np.concatenate([*passages._blocks(pairs.sort_by("block").to_batches(), 5)], axis=1)
+    want = {(f, a, b) for f in range(8) for a, b in combinations(range(16), 2)}
+    assert found.shape[1] == 300 * 120 and {*zip(*found[[0, 1, 3]].tolist(), strict=True)} == want
+
+
+def test_stretches_against_definition():
+    """Windows of two texts make one stretch where each overlaps one before it on nearly its diagonal."""
+    rng = np.random.default_rng(22)
+    some = 0
+    for drift in (3, 12, 40):
+        n = 400
+        a, f, centre = rng.integers(0, 6, n), rng.integers(0, 8, n), rng.integers(50, 900, n)
+        b = a + 10
+        reach = rng.integers(19, 50, (2, n))
+        place_a = centre << 32 | reach[0] << 16 | reach[1]
+        place_b = centre + rng.integers(0, drift, n) << 32 | reach[0] << 16 | 60
+        rows = np.stack([f, a, place_a, b, place_b])
+        got = [*zip(*(x.tolist() for x in passages.aligned(rows, 3)), strict=True)]
+        want = []
+        for t in range(6):
+            of_pair = [(c - i, c + j + 1, (y >> 32) - c, k) for k, x, c, i, j, y in zip(f, a, centre, *reach, place_b, strict=True) if x == t]
+            spans = [tuple(map(int, x)) for x in sorted(of_pair)]
+            want += [(t, *s[:2], t + 10, *s[2:]) for s in passages._stretches(iter(spans), 3)]
+        assert sorted(got) == sorted((x, y, i, j, k, m) for x, i, j, y, k, m in want)
+        some += len(got)
+    assert some > 20
+
+
+def test_words_across_runs_of_bytes():
+    """A word's hash does not depend on where in a run of bytes it stands, nor on how many runs it takes."""
+    rng = random.Random(23)
+    words = ["".join(rng.choices("abcdefgh", k=n)) for n in (3, RUN_BYTES - 2, 5, RUN_BYTES, 2 * RUN_BYTES + 7, 1, 9)]
+    for lead in ("", "x ", "xy \t"):
+        values, starts = word_hashes(np.frombuffer((lead + " ".join(words)).encode(), np.uint8))
+        alone = [word_hashes(np.frombuffer(b" " + x.encode(), np.uint8))[0][0] for x in words]
+        assert values[len(lead.split()) :].tolist() == alone and len(starts) == len(lead.split()) + len(words)
+    definition = 0
+    for letter in words[3].encode():
+        definition = (definition * int(_BASE) + int(_BYTES[letter])) % 2**64
+    want = mixed(np.array([(definition + RUN_BYTES * int(_MIX)) % 2**64], np.uint64))[0]
+    assert word_hashes(np.frombuffer(words[3].encode(), np.uint8))[0].tolist() == [want]
+
+
 def test_outlines_of_windows_with_repeats():
     """A word said again and again is one shingle that two windows have in common, however often it stands there."""
     rng = random.Random(21)
