@@ -345,6 +345,20 @@ def test_words_across_runs_of_bytes():
     assert word_hashes(np.frombuffer(words[3].encode(), np.uint8))[0].tolist() == [want]
 
 
+def test_likeliest_partners_against_definition():
+    """Of a window's partners only as many as are compared are put in order, however many are as likely."""
+    rng = np.random.default_rng(24)
+    for most in (1, 4, 64):
+        window = np.sort(rng.integers(0, 30, 2000))
+        common = rng.integers(35, 40, 2000)
+        got = passages.likeliest(window, common, most)
+        want = [
+            {(-c, i) for i, c in sorted(enumerate(common.tolist()), key=lambda p: (-p[1], p[0])) if window[i] == w} for w in range(30)
+        ]
+        assert all({*sorted(x)[:most]} <= {(-int(common[i]), i) for i in got.tolist()} for x in want)
+        assert len(got) <= 30 * 2 * most
+
+
 def test_outlines_of_windows_with_repeats():
     """A word said again and again is one shingle that two windows have in common, however often it stands there."""
     rng = random.Random(21)
