@@ -91,6 +91,21 @@ def test_collocations_are_those_of_brute_force(spark, seed, cover, monkeypatch):
     assert got_collocations(spark, rows, least=4, cover=cover, most=40) == want
 
 
+def test_all_tries_are_gone_through_in_one_pass(spark, monkeypatch):
+    """More candidates make more tries, not more passes over the texts; with too many tries for one pass, nothing is lost either."""
+    rows = random_rows(3, WORDS)
+    want = plain_collocations(rows, 4, 100, 40)
+    passes = []
+    counts = coll._trie_counts
+    monkeypatch.setattr(coll, "_trie_counts", lambda *a: passes.append(1) or counts(*a))
+    monkeypatch.setattr(coll, "SHARD", 20)
+    assert got_collocations(spark, rows, least=4, cover=100, most=40) == want
+    assert len(passes) == 1
+    monkeypatch.setattr(coll, "TRIES", 2)
+    assert got_collocations(spark, rows, least=4, cover=100, most=40) == want
+    assert len(passes) > 2
+
+
 def test_collocations_of_one_hot_phrase_and_a_very_long_text(spark):
     """Runs of a text overlap by four words; nothing is counted twice or lost where they meet."""
     words = ["alpha", "beta", "gamma", "delta", "Epsilon"]
